@@ -1,0 +1,52 @@
+"""Order-dependent running values that stay bounded per task."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def last_before(
+    df: DataFrame,
+    group: Sequence[str],
+    order: str,
+    value: str,
+    out: str,
+    chunk_rows: int = 100_000,
+) -> DataFrame:
+    """Add ``out``: the last non-null ``value`` on strictly earlier rows of the group.
+
+    ``order`` is an integer sequence, unique inside a group. A plain window would put a
+    whole group into one task; here a group is cut into chunks of ``chunk_rows`` sequence
+    numbers. Each chunk is reduced to its last value (partial aggregation, one row per
+    chunk), a window over these few rows carries values from chunk to chunk, and the
+    row-level window then runs inside one chunk only.
+    """
+    group = list(group)
+    chunked = df.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk_rows)))
+
+    per_chunk = (
+        chunked.where(F.col(value).isNotNull())
+        .groupBy(*group, "_chunk")
+        .agg(F.max_by(value, order).alias("_chunk_last"))
+    )
+    # Carry into *later* chunks: a chunk takes the nearest earlier chunk that has a value.
+    chunk_rows_all = chunked.groupBy(*group, "_chunk").agg(F.lit(1).alias("_one")).drop("_one")
+    across = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    carried = chunk_rows_all.join(per_chunk, [*group, "_chunk"], "left").select(
+        *group, "_chunk", F.last("_chunk_last", ignorenulls=True).over(across).alias("_carry")
+    )
+
+    inside = Window.partitionBy(*group, "_chunk").orderBy(order).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    running = chunked.withColumn("_inside", F.last(value, ignorenulls=True).over(inside))
+    return (
+        running.join(carried, [*group, "_chunk"], "left")
+        .withColumn(out, F.coalesce("_inside", "_carry"))
+        .drop("_chunk", "_inside", "_carry")
+    )
