@@ -25,7 +25,9 @@ def last_before(
     row-level window then runs inside one chunk only.
     """
     group = list(group)
-    chunked = df.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk_rows)))
+    chunk = F.floor(F.col(order) / F.lit(chunk_rows))
+    # Explicit, since rows already placed by the group alone would stay together.
+    chunked = df.withColumn("_chunk", chunk).repartition(*group, "_chunk")
 
     per_chunk = (
         chunked.where(F.col(value).isNotNull())

@@ -12,6 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftgraph.functions.sets import absent_keys
 from weftgraph.specs import ScopeRule
 
 # Change types.
@@ -126,21 +127,20 @@ def snapshot_diff(
 
 
 def new_groups(current: DataFrame, previous: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Groups without a single row in the previous snapshot.
-
-    Both sides are reduced to distinct groups before they meet.
-    """
-    group = list(group)
-    before = previous.select(*group).distinct()
-    return current.select(*group).distinct().join(before, group, "left_anti")
+    """Groups without a single row in the previous snapshot, each once."""
+    return absent_keys(current, previous, group)
 
 
 def without_new_groups(
     changes: DataFrame, groups: DataFrame, group: Sequence[str], label: str = NEW_COLUMN
 ) -> DataFrame:
-    """Drop the new members of new groups, which are handled as a whole."""
+    """Drop the new members of new groups, which are handled as a whole.
+
+    ``groups`` is small beside ``changes``; a group with very many members skews only the
+    changes side, which an anti join can split.
+    """
     group = list(group)
-    marked = groups.select(*group).distinct().withColumn("change_type", F.lit(label))
+    marked = groups.select(*group).withColumn("change_type", F.lit(label))
     return changes.join(marked, [*group, "change_type"], "left_anti")
 
 

@@ -35,6 +35,8 @@ DRAFT = "DRAFT"
 
 MANUAL = "MANUAL"
 
+_EDGE_PARTS = [EDGE_TYPE_DDL, VIEW_DDL, POPULATION_SCRIPT]
+_NODE_PARTS = [NODE_TYPE_DDL, VIEW_DDL, POPULATION_SCRIPT]
 _TABLE = ["table_schema", "table_name"]
 _PLAN = [
     "artifact_id",
@@ -97,10 +99,21 @@ def key_lists(pks: DataFrame) -> DataFrame:
     )
 
 
-def reference_lists(fks: DataFrame) -> DataFrame:
-    """Reference columns per table in name order."""
-    return fks.groupBy(*_TABLE).agg(
-        F.array_sort(F.collect_set("column_name")).alias("fk_columns")
+def reference_lists(fks: DataFrame, node_types: DataFrame) -> DataFrame:
+    """Per table, in name order: all reference columns, and those that point at a known
+    node type with that type. Both are bounded by the width of the table."""
+    targets = node_types.select(
+        F.col("node_type").alias("to_type"), F.col("source_object").alias("_ref")
+    )
+    named = fks.withColumn("_ref", source_object("ref_table_schema", "ref_table_name"))
+    tied = F.when(F.col("to_type").isNotNull(), F.struct("column_name", "to_type"))
+    return (
+        named.join(targets, "_ref", "left")
+        .groupBy(*_TABLE)
+        .agg(
+            F.array_sort(F.collect_set("column_name")).alias("fk_columns"),
+            F.array_sort(F.collect_set(tied)).alias("ties"),
+        )
     )
 
 
@@ -117,103 +130,78 @@ def plan_changes(
     view and load, from the reference column or from the first two reference columns of a
     junction. NODE_TYPE: the same three, plus three per reference to a known type, so that
     the new node stays connected. A skipped proposal gets one entry with its reason.
-    """
-    rows = work.withColumn("source", source_object()).join(key_lists(pks), _TABLE, "left")
-    drafted = rows.where(F.col("skip_reason").isNull())
 
-    manual = _artifacts(
-        rows.where(F.col("skip_reason").isNotNull()), [DICTIONARY_ENTRY], kind=F.lit(MANUAL)
-    )
+    The proposals are read once: keys, references and owner are joined to them, and the
+    artifacts of each are listed in its row and exploded.
+    """
     owners = node_types.select(
         F.col("node_type").alias("owner"), F.col("source_object").alias("source")
     )
-    attributes = _artifacts(
-        drafted.where(F.col("final_object_kind") == ATTRIBUTE).join(owners, "source", "left"),
-        [DICTIONARY_ENTRY],
-        kind=F.lit(ATTRIBUTE),
-        owner_type=F.col("owner"),
+    rows = (
+        work.withColumn("source", source_object())
+        .join(key_lists(pks), _TABLE, "left")
+        .join(reference_lists(fks, node_types), _TABLE, "left")
+        .join(owners, "source", "left")
     )
+    name, kind = F.col("final_name"), F.col("final_object_kind")
     column_level = F.col("column_name").isNotNull()
-    edges = _artifacts(
-        drafted.where(F.col("final_object_kind") == EDGE_TYPE).join(
-            reference_lists(fks), _TABLE, "left"
-        ),
-        [EDGE_TYPE_DDL, VIEW_DDL, POPULATION_SCRIPT],
-        kind=F.lit(EDGE_TYPE),
-        from_type=F.col("edge_from"),
-        to_type=F.col("edge_to"),
-        src_column=F.when(~column_level, F.get("fk_columns", F.lit(0))),
-        dst_column=F.when(column_level, F.col("column_name")).otherwise(
+    edge = {
+        "from_type": F.col("edge_from"),
+        "to_type": F.col("edge_to"),
+        "src_column": F.when(~column_level, F.get("fk_columns", F.lit(0))),
+        "dst_column": F.when(column_level, F.col("column_name")).otherwise(
             F.get("fk_columns", F.lit(1))
         ),
-    )
-    nodes = drafted.where(F.col("final_object_kind") == NODE_TYPE)
-    promoted = _artifacts(
-        nodes, [NODE_TYPE_DDL, VIEW_DDL, POPULATION_SCRIPT], kind=F.lit(NODE_TYPE)
-    )
-    targets = node_types.select(
-        F.col("node_type").alias("ref_type"), F.col("source_object").alias("ref_source")
-    )
-    references = (
-        fks.select(
-            *_TABLE,
-            F.col("column_name").alias("fk_column"),
-            source_object("ref_table_schema", "ref_table_name").alias("ref_source"),
+    }
+
+    def bundled(tie: Column) -> Column:
+        label = F.concat(name, F.lit("_"), without_key_suffix(tie["column_name"], suffix))
+        ends = {
+            "from_type": name,
+            "to_type": tie["to_type"],
+            "dst_column": tie["column_name"],
+        }
+        return _parts(_EDGE_PARTS, EDGE_TYPE, label, **ends)
+
+    ties = F.coalesce(F.flatten(F.transform("ties", bundled)), F.array())
+    parts = (
+        F.when(F.col("skip_reason").isNotNull(), _parts([DICTIONARY_ENTRY], MANUAL, name))
+        .when(
+            kind == ATTRIBUTE,
+            _parts([DICTIONARY_ENTRY], ATTRIBUTE, name, owner_type=F.col("owner")),
         )
-        .distinct()
-        .join(targets, "ref_source")
-    )
-    bundled = _artifacts(
-        nodes.join(references, _TABLE),
-        [EDGE_TYPE_DDL, VIEW_DDL, POPULATION_SCRIPT],
-        kind=F.lit(EDGE_TYPE),
-        name=F.concat("final_name", F.lit("_"), without_key_suffix(F.col("fk_column"), suffix)),
-        from_type=F.col("final_name"),
-        to_type=F.col("ref_type"),
-        dst_column=F.col("fk_column"),
+        .when(kind == EDGE_TYPE, _parts(_EDGE_PARTS, EDGE_TYPE, name, **edge))
+        .otherwise(F.concat(_parts(_NODE_PARTS, NODE_TYPE, name), ties))
     )
-    return (
-        manual.unionByName(attributes)
-        .unionByName(edges)
-        .unionByName(promoted)
-        .unionByName(bundled)
-    )
-
-
-def _artifacts(
-    rows: DataFrame,
-    kinds: list[str],
-    kind: Column,
-    name: Column | None = None,
-    owner_type: Column | None = None,
-    from_type: Column | None = None,
-    to_type: Column | None = None,
-    src_column: Column | None = None,
-    dst_column: Column | None = None,
-) -> DataFrame:
-    absent = F.lit(None).cast("string")
-    named = rows.withColumn("_name", F.col("final_name") if name is None else name)
-    planned = named.select(
+    planned = rows.withColumn("part", F.explode(parts)).select(
         "proposal_id",
-        F.explode(F.array(*(F.lit(k) for k in kinds))).alias("artifact_type"),
-        kind.alias("object_kind"),
-        F.col("_name").alias("type_name"),
-        display_name(F.col("_name")).alias("display_name"),
-        (absent if owner_type is None else owner_type).alias("owner_type"),
-        (absent if from_type is None else from_type).alias("from_type"),
-        (absent if to_type is None else to_type).alias("to_type"),
+        "part.*",
+        display_name(F.col("part.type_name")).alias("display_name"),
         "key_columns",
-        (absent if src_column is None else src_column).alias("src_column"),
-        (absent if dst_column is None else dst_column).alias("dst_column"),
         F.col("source").alias("source_object"),
         F.col("column_name").alias("source_column"),
         "skip_reason",
     )
-    parts = (
-        F.coalesce(F.col(c), F.lit(""))
-        for c in ("proposal_id", "artifact_type", "type_name", "to_type", "dst_column")
+    identity = ("proposal_id", "artifact_type", "type_name", "to_type", "dst_column")
+    text = F.concat_ws("|", *(F.coalesce(F.col(c), F.lit("")) for c in identity))
+    return planned.withColumn("artifact_id", F.sha2(text, 256)).select(*_PLAN)
+
+
+def _parts(artifact_types: list[str], kind: str, name: Column, **fields: Column) -> Column:
+    """An array of plan entries of one object, all fields being text."""
+    absent = F.lit(None).cast("string")
+    rest = ("owner_type", "from_type", "to_type", "src_column", "dst_column")
+    return F.array(
+        *(
+            F.struct(
+                F.lit(artifact_type).alias("artifact_type"),
+                F.lit(kind).alias("object_kind"),
+                name.alias("type_name"),
+                *(fields.get(f, absent).alias(f) for f in rest),
+            )
+            for artifact_type in artifact_types
+        )
     )
-    return planned.withColumn("artifact_id", F.sha2(F.concat_ws("|", *parts), 256)).select(*_PLAN)
 
 
 def node_specs(plan: Iterable[Row]) -> list[NodeSpec]:

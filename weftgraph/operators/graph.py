@@ -25,6 +25,7 @@ from weftgraph.functions.keys import (
     node_key,
     props_of,
 )
+from weftgraph.functions.sets import absent_keys
 from weftgraph.functions.text import KEY_SUFFIX, without_key_suffix
 from weftgraph.specs import FkEdgeSpec, JunctionEdgeSpec, NodeSpec
 
@@ -337,8 +338,8 @@ def type_counts(df: DataFrame, type_col: str, out: str = "n") -> DataFrame:
 def orphan_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """The edges with a missing source or target node, each once.
 
-    The end points are made distinct first (hubs shrink to one row before any shuffle) and
-    compared with the node keys; only the missing keys are then matched with the edges.
+    The end points are first reduced to the missing keys (a hub shrinks to one row per task
+    before any shuffle); only these are then matched with the edges.
     """
     flagged = edges
     for end in BOTH_ENDS:
@@ -354,8 +355,8 @@ def orphan_count(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _missing_ends(edges: DataFrame, nodes: DataFrame, end: str) -> DataFrame:
-    keys = nodes.select(F.col("node_sk").alias(f"{end}_sk"))
-    return edges.select(f"{end}_sk").distinct().join(keys, f"{end}_sk", "left_anti")
+    key = f"{end}_sk"
+    return absent_keys(edges, nodes.select(F.col("node_sk").alias(key)), [key])
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], out: str = "n") -> DataFrame:

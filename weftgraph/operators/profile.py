@@ -1,7 +1,7 @@
 """Keys and references found in the data, for sources that declare none.
 
-A profile reads every table once, whatever number of keys or references is asked about,
-and combines equal values before anything is shuffled.
+A profile reads only the columns it is about, combines equal values inside each task
+before anything is shuffled, and ends in one row per key or reference.
 """
 
 from __future__ import annotations
@@ -71,41 +71,29 @@ def profile_uniqueness(
 ) -> DataFrame:
     """Per candidate key: rows, distinct complete keys, rows with a null part, verdict.
 
-    Output: table_name, key_columns, n_rows, n_distinct, n_null, is_unique.
+    Output: table_name, key_columns, n_rows, n_distinct, n_null, is_unique. A key is grouped
+    in its own types, so integers stay integers in the shuffle.
     """
-    wanted: dict[str, list[Sequence[str]]] = {}
-    for table, columns in candidates:
-        wanted.setdefault(table, []).append(tuple(columns))
-
-    values = []
-    for table, keys in wanted.items():
-        slots = [
-            F.struct(
-                F.lit(",".join(key)).alias("key_columns"),
-                F.when(_all_set(key), F.array(*(_text(c) for c in key))).alias("value"),
-            )
-            for key in keys
-        ]
-        values.append(
-            tables[table]
-            .select(F.lit(table).alias("table_name"), F.explode(F.array(*slots)).alias("s"))
-            .select("table_name", "s.*")
-        )
-
-    per_value = (
-        union_all(values)
-        .groupBy("table_name", "key_columns", "value")
-        .agg(F.count(F.lit(1)).alias("held"))
+    return union_all(_uniqueness(tables[t], t, list(key)) for t, key in candidates)
+
+
+def _uniqueness(df: DataFrame, table: str, key: list[str]) -> DataFrame:
+    complete = F.lit(True)
+    for name in key:
+        complete = complete & F.col(f"`{name}`").isNotNull()
+    per_value = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_held"))
+    totals = per_value.agg(
+        _total(F.col("_held")).alias("n_rows"),
+        F.count(F.when(complete, 1)).alias("n_distinct"),
+        _total(F.when(~complete, F.col("_held"))).alias("n_null"),
     )
-    complete = F.col("value").isNotNull()
-    return (
-        per_value.groupBy("table_name", "key_columns")
-        .agg(
-            F.sum("held").alias("n_rows"),
-            F.count("value").alias("n_distinct"),
-            F.coalesce(F.sum(F.when(~complete, F.col("held"))), F.lit(0)).alias("n_null"),
-        )
-        .withColumn("is_unique", F.col("n_rows") == F.col("n_distinct"))
+    return totals.select(
+        F.lit(table).alias("table_name"),
+        F.lit(",".join(key)).alias("key_columns"),
+        "n_rows",
+        "n_distinct",
+        "n_null",
+        (F.col("n_rows") == F.col("n_distinct")).alias("is_unique"),
     )
 
 
@@ -114,58 +102,49 @@ def profile_inclusion(tables: Mapping[str, DataFrame], pairs: Sequence[KeyPair])
 
     Output: child, child_col, parent, parent_col, n_rows, n_distinct, n_missing_rows,
     n_missing, inclusion (share of distinct values found; null without any value).
+
+    Child and parent values are unioned and grouped: one shuffle of combined values per
+    pair and no join, however often a value is repeated on either side.
     """
-    by_child: dict[str, list[KeyPair]] = {}
-    by_parent: dict[str, set[str]] = {}
-    for pair in pairs:
-        by_child.setdefault(pair.child, []).append(pair)
-        by_parent.setdefault(pair.parent, set()).add(pair.parent_col)
-
-    children = []
-    for child, own in by_child.items():
-        slots = [
-            F.struct(
-                F.lit(p.child_col).alias("child_col"),
-                F.lit(p.parent).alias("parent"),
-                F.lit(p.parent_col).alias("parent_col"),
-                _text(p.child_col).alias("value"),
-            )
-            for p in own
-        ]
-        children.append(
-            tables[child]
-            .select(F.lit(child).alias("child"), F.explode(F.array(*slots)).alias("s"))
-            .select("child", "s.*")
-        )
-    parents = [
-        tables[parent].select(
-            F.lit(parent).alias("parent"), F.lit(col).alias("parent_col"), _text(col).alias("value")
-        )
-        for parent, cols in by_parent.items()
-        for col in sorted(cols)
-    ]
-
-    pair_cols = ["child", "child_col", "parent", "parent_col"]
-    used = union_all(children).groupBy(*pair_cols, "value").agg(F.count(F.lit(1)).alias("held"))
-    there = union_all(parents).distinct().withColumn("found", F.lit(True))
-    missing = F.col("value").isNotNull() & F.col("found").isNull()
-    held = F.when(F.col("value").isNotNull(), F.col("held"))
-    return (
-        used.join(there, ["parent", "parent_col", "value"], "left")
-        .groupBy(*pair_cols)
-        .agg(
-            F.coalesce(F.sum(held), F.lit(0)).alias("n_rows"),
-            F.count("value").alias("n_distinct"),
-            F.coalesce(F.sum(F.when(missing, F.col("held"))), F.lit(0)).alias("n_missing_rows"),
-            F.count(F.when(missing, F.lit(1))).alias("n_missing"),
-        )
-        .withColumn(
-            "inclusion",
-            F.when(
-                F.col("n_distinct") > 0,
-                (F.col("n_distinct") - F.col("n_missing")) / F.col("n_distinct"),
-            ),
-        )
+    return union_all(_inclusion(tables[p.child], tables[p.parent], p) for p in pairs)
+
+
+def _inclusion(child: DataFrame, parent: DataFrame, pair: KeyPair) -> DataFrame:
+    family = type_family(child.schema[pair.child_col].dataType)
+    as_type = "bigint" if family == "integer" else "string"
+
+    def values(df: DataFrame, name: str, is_child: int) -> DataFrame:
+        return df.select(
+            F.col(f"`{name}`").cast(as_type).alias("_value"),
+            F.lit(is_child).cast("long").alias("_used"),
+            F.lit(1 - is_child).alias("_there"),
+        ).where(F.col("_value").isNotNull())
+
+    per_value = (
+        values(child, pair.child_col, 1)
+        .unionByName(values(parent, pair.parent_col, 0))
+        .groupBy("_value")
+        .agg(F.sum("_used").alias("_used"), F.max("_there").alias("_there"))
+        .where(F.col("_used") > 0)
+    )
+    lost = F.col("_there") == 0
+    totals = per_value.agg(
+        _total(F.col("_used")).alias("n_rows"),
+        F.count(F.lit(1)).alias("n_distinct"),
+        _total(F.when(lost, F.col("_used"))).alias("n_missing_rows"),
+        F.count(F.when(lost, 1)).alias("n_missing"),
+    )
+    share = (F.col("n_distinct") - F.col("n_missing")) / F.col("n_distinct")
+    return totals.select(
+        F.lit(pair.child).alias("child"),
+        F.lit(pair.child_col).alias("child_col"),
+        F.lit(pair.parent).alias("parent"),
+        F.lit(pair.parent_col).alias("parent_col"),
+        "n_rows",
+        "n_distinct",
+        "n_missing_rows",
+        "n_missing",
+        F.when(F.col("n_distinct") > 0, share).alias("inclusion"),
     )
 
 
@@ -202,12 +181,6 @@ def foreign_keys(
     )
 
 
-def _text(name: str) -> Column:
-    return F.col(f"`{name}`").cast("string")
-
-
-def _all_set(names: Sequence[str]) -> Column:
-    test = F.lit(True)
-    for name in names:
-        test = test & F.col(f"`{name}`").isNotNull()
-    return test
+def _total(column: Column) -> Column:
+    """A sum that is 0 over no rows."""
+    return F.coalesce(F.sum(column), F.lit(0).cast("long"))

@@ -405,7 +405,7 @@ SELECT o_orderkey::VARCHAR AS candidate_id, sha256(concat_ws(chr(10),
   'Rule: FK_TO_EDGE',
   'Proposed name: ORDER_' || o_orderstatus,
   'From: ORDERS',
-  'To: ' || CASE WHEN o_orderkey % 6 = 0 THEN 'none' ELSE 'CUSTOMER' END,
+  'To: ' || CASE WHEN o_orderkey % 5 = 0 THEN 'none' ELSE 'CUSTOMER' END,
   'Details: none',
   'Table comment: ' || coalesce('segment ' || c_mktsegment, 'none'),
   'Column comment: ' || CASE WHEN o_orderkey % 3 = 0 THEN 'status ' || o_orderstatus ELSE 'none' END,
@@ -445,7 +445,7 @@ SELECT {_PRINT} AS fingerprint_key, o_orderkey::VARCHAR AS candidate_id,
 FROM orders WHERE NOT (o_orderkey % 3 = 0 AND o_orderkey % 4 <> 3)
 """
 _FINAL_KIND = f"CASE WHEN o_orderkey % 4 = 3 THEN 'NODE_TYPE' ELSE {_KIND_OF_ORDER} END"
-_EDGE_TO = "CASE WHEN o_orderkey % 6 <> 0 THEN 'CUSTOMER' END"
+_EDGE_TO = "CASE WHEN o_orderkey % 5 <> 0 THEN 'CUSTOMER' END"
 _PENDING_QUEUE = f"""
 SELECT o_orderpriority AS table_schema, 'c' || o_custkey AS table_name, 'o' || o_orderkey AS column_name,
   'ORDER_' || o_orderstatus AS final_name, {_FINAL_KIND} AS final_object_kind,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from weftgraph.functions.keys import content_key
 from weftgraph.operators import classify, decide, detect, draft, graph, profile, review
-from weftgraph.session import configure, new_dir
+from weftgraph.session import configure, cut_lineage, new_dir
 from weftgraph.sources.tables import (
     catalog_snapshot,
     load_table,
@@ -232,11 +232,17 @@ def kg_edge_view_by_key(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def kg_orders_per_nation(spark: SparkSession, sf: str) -> DataFrame:
-    """Two edge types followed one after the other. Orders are counted per customer before
-    the customers are looked up, so a customer with very many orders is one row by then."""
-    edges = _fk_edges(spark, sf, [s for s in FK_EDGES if s.to_type in ("CUSTOMER", "NATION")])
-    ordered = graph.edge_view(edges, "ORDER_HAS_CUSTOMER", "order_id", "customer_id")
-    lives = graph.edge_view(edges, "CUSTOMER_HAS_NATION", "customer_id", "nation_id")
+    """Two edge types followed one after the other.
+
+    Orders are counted per customer before anything is joined, so a customer with very many
+    orders is one row by then. The join with the customers' own edges is the existence
+    check, so the order edges need none of their own.
+    """
+    by_type = {e.edge_type: e for e in FK_EDGES}
+    orders = graph.build_fk_edges(load_table(spark, sf, "orders"), by_type["ORDER_HAS_CUSTOMER"])
+    customers = _fk_edges(spark, sf, [by_type["CUSTOMER_HAS_NATION"]])
+    ordered = graph.edge_view(orders, "ORDER_HAS_CUSTOMER", "order_id", "customer_id")
+    lives = graph.edge_view(customers, "CUSTOMER_HAS_NATION", "customer_id", "nation_id")
     per_customer = ordered.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
     return (
         per_customer.join(lives.select("customer_id", "nation_id"), "customer_id")
@@ -249,7 +255,8 @@ def kg_type_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Registered types with their rows; a type registered twice stays once."""
     node_types = graph.node_type_rows(NODES, spark)
     edge_types = graph.edge_type_rows(FK_EDGES, spark)
-    registered = graph.insert_missing(node_types.limit(2), node_types, ["node_type"])
+    first = node_types.where(F.col("node_type").isin("REGION", "NATION"))
+    registered = graph.insert_missing(first, node_types, ["node_type"])
     nodes = registered.join(graph.type_counts(_nodes(spark, sf), "node_type"), "node_type", "left")
     edges = edge_types.join(
         graph.type_counts(_fk_edges(spark, sf), "edge_type"), "edge_type", "left"
@@ -463,13 +470,12 @@ def _profiled(
         tables |= {name: make(spark, sf) for name, make in _DERIVED.items()}
         tables["part_supplier"] = tables["part_supplier"].drop("quantity")
         keys += _DERIVED_KEYS
-    unique = profile.profile_uniqueness(tables, keys)
+    unique = cut_lineage(profile.profile_uniqueness(tables, keys))
     inclusion = profile.profile_inclusion(tables, _key_pairs(tables))
-    return (
-        tables,
-        profile.primary_keys(unique, SCHEMA),
-        profile.foreign_keys(inclusion, unique, SCHEMA),
-    )
+    # One row per key or reference. Written once, since many joins read them.
+    pks = cut_lineage(profile.primary_keys(unique, SCHEMA))
+    fks = cut_lineage(profile.foreign_keys(inclusion, unique, SCHEMA))
+    return tables, pks, fks
 
 
 # ---------------------------------------------------------------- classification
@@ -571,7 +577,7 @@ def _order_candidates(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(classify.FK_TO_EDGE).alias("rule_applied"),
         F.concat(F.lit("ORDER_"), F.col("o_orderstatus")).alias("proposed_name"),
         F.lit("ORDERS").alias("edge_from"),
-        F.when(_remainder("o_orderkey", 6) != 0, F.lit("CUSTOMER")).alias("edge_to"),
+        F.when(_remainder("o_orderkey", 5) != 0, F.lit("CUSTOMER")).alias("edge_to"),
         F.lit(None).cast("string").alias("raw_details"),
     )
     return review.as_candidates(rows)

@@ -13,6 +13,8 @@ _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key even where this costs one more shuffle afterwards.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
