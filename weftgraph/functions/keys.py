@@ -59,14 +59,20 @@ def props_of(columns: Iterable[tuple[str, T.DataType]]) -> Column:
     Scalars are cast to text; nested values are written as JSON.
     """
     entries: list[Column] = []
+    all_set = F.lit(True)
     for name, data_type in columns:
         value = F.col(f"`{name}`")
         nested = isinstance(data_type, (T.ArrayType, T.MapType, T.StructType))
         entries.append(F.lit(name))
         entries.append(F.to_json(value) if nested else value.cast("string"))
+        all_set = all_set & value.isNotNull()
     if not entries:
         return no_props()
-    return F.map_filter(F.create_map(*entries), lambda _, value: value.isNotNull())
+    whole = F.create_map(*entries)
+    # Rows without nulls, usually most of them, skip the filter.
+    return F.when(all_set, whole).otherwise(
+        F.map_filter(whole, lambda _, value: value.isNotNull())
+    )
 
 
 def no_props() -> Column:

@@ -27,6 +27,7 @@ from weftgraph.functions.keys import (
 )
 from weftgraph.functions.sets import absent_keys
 from weftgraph.functions.text import KEY_SUFFIX, without_key_suffix
+from weftgraph.session import local_rows
 from weftgraph.specs import FkEdgeSpec, JunctionEdgeSpec, NodeSpec
 
 BOTH_ENDS = ("src", "dst")
@@ -284,14 +285,14 @@ def register_views(
 
 def node_type_rows(specs: Sequence[NodeSpec], spark) -> DataFrame:
     """Registry rows (node_type, source_object) of the given specs."""
-    return spark.createDataFrame(
-        [(s.node_type, s.source) for s in specs], "node_type string, source_object string"
-    )
+    rows = [(s.node_type, s.source) for s in specs]
+    return local_rows(spark, rows, "node_type string, source_object string")
 
 
 def edge_type_rows(specs: Sequence[FkEdgeSpec | JunctionEdgeSpec], spark) -> DataFrame:
     """Registry rows (edge_type, from_node_type, to_node_type, source_object)."""
-    return spark.createDataFrame(
+    return local_rows(
+        spark,
         [(s.edge_type, s.from_type, s.to_type, s.source) for s in specs],
         "edge_type string, from_node_type string, to_node_type string, source_object string",
     )
@@ -343,8 +344,9 @@ def orphan_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """
     flagged = edges
     for end in BOTH_ENDS:
+        keys = _end_keys(edges, end)
         missing = _missing_ends(edges, nodes, end).withColumn(f"_no_{end}", F.lit(True))
-        flagged = flagged.join(missing, f"{end}_sk", "left")
+        flagged = flagged.join(missing, keys, "left")
     bad = F.col("_no_src").isNotNull() | F.col("_no_dst").isNotNull()
     return flagged.where(bad).select(*edges.columns)
 
@@ -354,9 +356,16 @@ def orphan_count(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return orphan_edges(edges, nodes).agg(F.count(F.lit(1)).alias("orphans"))
 
 
+def _end_keys(edges: DataFrame, end: str) -> list[str]:
+    """The natural key of an end where edges carry it (shorter), else the hash key."""
+    natural = [f"{end}_type", f"{end}_id"]
+    return natural if set(natural) <= set(edges.columns) else [f"{end}_sk"]
+
+
 def _missing_ends(edges: DataFrame, nodes: DataFrame, end: str) -> DataFrame:
-    key = f"{end}_sk"
-    return absent_keys(edges, nodes.select(F.col("node_sk").alias(key)), [key])
+    keys = _end_keys(edges, end)
+    there = nodes.select(*(F.col(k.replace(f"{end}_", "node_")).alias(k) for k in keys))
+    return absent_keys(edges, there, keys)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], out: str = "n") -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftgraph.operators.graph import union_all
+from weftgraph.session import local_rows
 
 # Fixed value: the one-letter table prefix of a column name.
 STEM_PREFIX = "^[a-z]_"
@@ -71,29 +72,43 @@ def profile_uniqueness(
 ) -> DataFrame:
     """Per candidate key: rows, distinct complete keys, rows with a null part, verdict.
 
-    Output: table_name, key_columns, n_rows, n_distinct, n_null, is_unique. A key is grouped
-    in its own types, so integers stay integers in the shuffle.
+    Output: table_name, key_columns, n_rows, n_distinct, n_null, is_unique.
+
+    Keys of the same shape (the type families of their columns) share one aggregation, in
+    which integers stay integers and a key is named by a number.
     """
-    return union_all(_uniqueness(tables[t], t, list(key)) for t, key in candidates)
-
-
-def _uniqueness(df: DataFrame, table: str, key: list[str]) -> DataFrame:
-    complete = F.lit(True)
-    for name in key:
-        complete = complete & F.col(f"`{name}`").isNotNull()
-    per_value = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_held"))
-    totals = per_value.agg(
-        _total(F.col("_held")).alias("n_rows"),
-        F.count(F.when(complete, 1)).alias("n_distinct"),
-        _total(F.when(~complete, F.col("_held"))).alias("n_null"),
-    )
-    return totals.select(
-        F.lit(table).alias("table_name"),
-        F.lit(",".join(key)).alias("key_columns"),
-        "n_rows",
-        "n_distinct",
-        "n_null",
-        (F.col("n_rows") == F.col("n_distinct")).alias("is_unique"),
+    by_shape: dict[tuple[str, ...], list[DataFrame]] = {}
+    names = []
+    for number, (table, key) in enumerate(candidates):
+        df = tables[table]
+        shape = tuple(_key_type(df, c) for c in key)
+        values = [F.col(f"`{c}`").cast(t).alias(f"v{i}") for i, (c, t) in enumerate(zip(key, shape))]
+        by_shape.setdefault(shape, []).append(df.select(F.lit(number).alias("no"), *values))
+        names.append((number, table, ",".join(key)))
+
+    counted = []
+    for shape, keyed in by_shape.items():
+        values = [f"v{i}" for i in range(len(shape))]
+        complete = F.lit(True)
+        for value in values:
+            complete = complete & F.col(value).isNotNull()
+        counted.append(
+            union_all(keyed)
+            .groupBy("no", *values)
+            .agg(F.count(F.lit(1)).alias("held"))
+            .groupBy("no")
+            .agg(
+                F.sum("held").alias("n_rows"),
+                F.count(F.when(complete, 1)).alias("n_distinct"),
+                F.sum(F.when(~complete, F.col("held"))).alias("n_null"),
+            )
+        )
+    return (
+        _named(names, "no int, table_name string, key_columns string", tables)
+        .join(union_all(counted), "no", "left")
+        .drop("no")
+        .fillna(0, ["n_rows", "n_distinct", "n_null"])
+        .withColumn("is_unique", F.col("n_rows") == F.col("n_distinct"))
     )
 
 
@@ -103,51 +118,62 @@ def profile_inclusion(tables: Mapping[str, DataFrame], pairs: Sequence[KeyPair])
     Output: child, child_col, parent, parent_col, n_rows, n_distinct, n_missing_rows,
     n_missing, inclusion (share of distinct values found; null without any value).
 
-    Child and parent values are unioned and grouped: one shuffle of combined values per
-    pair and no join, however often a value is repeated on either side.
+    Child and parent values are unioned and grouped: one shuffle of combined values and no
+    join, however often a value is repeated on either side.
     """
-    return union_all(_inclusion(tables[p.child], tables[p.parent], p) for p in pairs)
-
-
-def _inclusion(child: DataFrame, parent: DataFrame, pair: KeyPair) -> DataFrame:
-    family = type_family(child.schema[pair.child_col].dataType)
-    as_type = "bigint" if family == "integer" else "string"
-
-    def values(df: DataFrame, name: str, is_child: int) -> DataFrame:
-        return df.select(
-            F.col(f"`{name}`").cast(as_type).alias("_value"),
-            F.lit(is_child).cast("long").alias("_used"),
-            F.lit(1 - is_child).alias("_there"),
-        ).where(F.col("_value").isNotNull())
-
-    per_value = (
-        values(child, pair.child_col, 1)
-        .unionByName(values(parent, pair.parent_col, 0))
-        .groupBy("_value")
-        .agg(F.sum("_used").alias("_used"), F.max("_there").alias("_there"))
-        .where(F.col("_used") > 0)
-    )
-    lost = F.col("_there") == 0
-    totals = per_value.agg(
-        _total(F.col("_used")).alias("n_rows"),
-        F.count(F.lit(1)).alias("n_distinct"),
-        _total(F.when(lost, F.col("_used"))).alias("n_missing_rows"),
-        F.count(F.when(lost, 1)).alias("n_missing"),
-    )
+    by_type: dict[str, list[DataFrame]] = {}
+    names = []
+    for number, pair in enumerate(pairs):
+        child, parent = tables[pair.child], tables[pair.parent]
+        as_type = _key_type(child, pair.child_col)
+        sides = ((child, pair.child_col, 1, 0), (parent, pair.parent_col, 0, 1))
+        for df, name, used, there in sides:
+            value = F.col(f"`{name}`").cast(as_type)
+            by_type.setdefault(as_type, []).append(
+                df.where(value.isNotNull()).select(
+                    F.lit(number).alias("no"),
+                    value.alias("value"),
+                    F.lit(used).cast("long").alias("used"),
+                    F.lit(there).alias("there"),
+                )
+            )
+        names.append((number, pair.child, pair.child_col, pair.parent, pair.parent_col))
+
+    lost = F.col("there") == 0
+    counted = [
+        union_all(values)
+        .groupBy("no", "value")
+        .agg(F.sum("used").alias("used"), F.max("there").alias("there"))
+        .where(F.col("used") > 0)
+        .groupBy("no")
+        .agg(
+            F.sum("used").alias("n_rows"),
+            F.count(F.lit(1)).alias("n_distinct"),
+            F.sum(F.when(lost, F.col("used"))).alias("n_missing_rows"),
+            F.count(F.when(lost, 1)).alias("n_missing"),
+        )
+        for values in by_type.values()
+    ]
     share = (F.col("n_distinct") - F.col("n_missing")) / F.col("n_distinct")
-    return totals.select(
-        F.lit(pair.child).alias("child"),
-        F.lit(pair.child_col).alias("child_col"),
-        F.lit(pair.parent).alias("parent"),
-        F.lit(pair.parent_col).alias("parent_col"),
-        "n_rows",
-        "n_distinct",
-        "n_missing_rows",
-        "n_missing",
-        F.when(F.col("n_distinct") > 0, share).alias("inclusion"),
+    return (
+        _named(names, "no int, child string, child_col string, parent string, parent_col string", tables)
+        .join(union_all(counted), "no", "left")
+        .drop("no")
+        .fillna(0, ["n_rows", "n_distinct", "n_missing_rows", "n_missing"])
+        .withColumn("inclusion", F.when(F.col("n_distinct") > 0, share))
     )
 
 
+def _key_type(df: DataFrame, column: str) -> str:
+    """The type a key column is grouped in."""
+    return "bigint" if type_family(df.schema[column].dataType) == "integer" else "string"
+
+
+def _named(rows: list[tuple], schema: str, tables: Mapping[str, DataFrame]) -> DataFrame:
+    spark = next(iter(tables.values())).sparkSession
+    return local_rows(spark, rows, schema)
+
+
 def primary_keys(uniqueness: DataFrame, schema: str) -> DataFrame:
     """Profiled keys in the declared form: table_schema, table_name, column_name."""
     return uniqueness.where("is_unique").select(
@@ -179,8 +205,3 @@ def foreign_keys(
             F.col("parent").alias("ref_table_name"),
         )
     )
-
-
-def _total(column: Column) -> Column:
-    """A sum that is 0 over no rows."""
-    return F.coalesce(F.sum(column), F.lit(0).cast("long"))

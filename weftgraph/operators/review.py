@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftgraph.functions.keys import content_key
+from weftgraph.functions.parsing import with_parsed
 from weftgraph.operators.classify import ATTRIBUTE, EDGE_TYPE, FLAGGED, NODE_TYPE
 from weftgraph.operators.graph import one_per_key
 
@@ -175,9 +176,8 @@ def parse_responses(responses: DataFrame, id_col: str = "candidate_id") -> DataF
 
     Valid means: every field is there, the kind is known and the confidence is in 0..1.
     """
-    got = responses.select(
-        id_col, "response", F.from_json("response", RESPONSE_SCHEMA, {"mode": "PERMISSIVE"}).alias("r")
-    )
+    answer = F.from_json("response", RESPONSE_SCHEMA, {"mode": "PERMISSIVE"})
+    got = with_parsed(responses.select(id_col, "response"), answer, "r")
     complete = F.lit(True)
     for field in RESPONSE_SCHEMA.split(", "):
         complete = complete & F.col(f"r.{field.split()[0]}").isNotNull()
@@ -312,7 +312,7 @@ def persist(
 def unpack_source(proposals: DataFrame) -> DataFrame:
     """Add the place fields held in ``source_object``; the text is parsed once."""
     place = F.from_json("source_object", ", ".join(f"{c} string" for c in _PLACE))
-    return proposals.withColumn("_place", place).select(
+    return with_parsed(proposals, place, "_place").select(
         *proposals.columns, *(F.col(f"_place.{c}").alias(c) for c in _PLACE)
     )
 

@@ -17,16 +17,15 @@ from weftgraph.functions.keys import content_key
 from weftgraph.operators import classify, decide, detect, draft, graph, profile, review
 from weftgraph.session import configure, cut_lineage, new_dir
 from weftgraph.sources.tables import (
+    Tables,
     catalog_snapshot,
-    load_table,
-    load_tables,
     observed_catalog,
     row_counts,
 )
 from weftgraph.specs import FkEdgeSpec, JunctionEdgeSpec, NodeSpec, ScopeRule
 from weftgraph.streaming.first_seen import track_first_seen
 
-Query = Callable[[SparkSession, str], DataFrame]
+Query = Callable[[Tables], DataFrame]
 
 SCHEMA = "src"
 TABLES = (
@@ -95,36 +94,36 @@ def _plain_text(df: DataFrame) -> DataFrame:
     return df.select(*(F.col(c).cast(as_type.get(t, t)).alias(c) for c, t in df.dtypes))
 
 
-def _nodes(spark: SparkSession, sf: str, types: list[NodeSpec] = NODES) -> DataFrame:
+def _nodes(t: Tables, types: list[NodeSpec] = NODES) -> DataFrame:
     return graph.union_all(
-        graph.build_nodes(_plain_text(load_table(spark, sf, _source(s))), s) for s in types
+        graph.build_nodes(_plain_text(t[_source(s)]), s) for s in types
     )
 
 
-def _fk_edges(spark: SparkSession, sf: str, specs: list[FkEdgeSpec] = FK_EDGES) -> DataFrame:
+def _fk_edges(t: Tables, specs: list[FkEdgeSpec] = FK_EDGES) -> DataFrame:
     """Edges whose target exists. The source end is the row the node is built from."""
     targets = {s.node_type: s for s in NODES}
     return graph.union_all(
         graph.build_fk_edges(
-            load_table(spark, sf, _source(s)), s, _nodes(spark, sf, [targets[s.to_type]]), ["dst"]
+            t[_source(s)], s, _nodes(t, [targets[s.to_type]]), ["dst"]
         )
         for s in specs
     )
 
 
-def part_supplier(spark: SparkSession, sf: str) -> DataFrame:
+def part_supplier(t: Tables) -> DataFrame:
     """Distinct (part, supplier) pairs with the quantity ordered."""
     return (
-        load_table(spark, sf, "lineitem")
+        t["lineitem"]
         .groupBy("l_partkey", "l_suppkey")
         .agg(F.sum("l_quantity").cast("long").alias("quantity"))
     )
 
 
-def part_supplier_stats(spark: SparkSession, sf: str) -> DataFrame:
+def part_supplier_stats(t: Tables) -> DataFrame:
     """The pairs with three measures of their own."""
     return (
-        load_table(spark, sf, "lineitem")
+        t["lineitem"]
         .groupBy("l_partkey", "l_suppkey")
         .agg(
             F.sum("l_quantity").cast("long").alias("quantity"),
@@ -134,19 +133,19 @@ def part_supplier_stats(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def order_line(spark: SparkSession, sf: str) -> DataFrame:
+def order_line(t: Tables) -> DataFrame:
     """Lines unique on (order, line number)."""
     return (
-        load_table(spark, sf, "lineitem")
+        t["lineitem"]
         .groupBy("l_orderkey", "l_linenumber")
         .agg(F.max("l_partkey").alias("l_partkey"), F.max("l_suppkey").alias("l_suppkey"))
     )
 
 
-def customer_ref(spark: SparkSession, sf: str) -> DataFrame:
+def customer_ref(t: Tables) -> DataFrame:
     """Customers with a reference to the one before them; the first has none."""
     ref = F.when(F.col("c_custkey") > 0, F.col("c_custkey") - 1)
-    return load_table(spark, sf, "customer").withColumn("ref_custkey", ref)
+    return t["customer"].withColumn("ref_custkey", ref)
 
 
 def _as_text(name: str) -> Column:
@@ -160,78 +159,78 @@ def _remainder(name: str, by: int) -> Column:
 # ---------------------------------------------------------------- graph
 
 
-def kg_nodes(spark: SparkSession, sf: str) -> DataFrame:
-    return _nodes(spark, sf).select(
+def kg_nodes(t: Tables) -> DataFrame:
+    return _nodes(t).select(
         "node_type", "node_id", "source_object", F.size("props").cast("long").alias("n_props")
     )
 
 
-def kg_node_sk(spark: SparkSession, sf: str) -> DataFrame:
-    return _nodes(spark, sf).select("node_type", "node_id", "node_sk")
+def kg_node_sk(t: Tables) -> DataFrame:
+    return _nodes(t).select("node_type", "node_id", "node_sk")
 
 
-def kg_fk_edges(spark: SparkSession, sf: str) -> DataFrame:
-    return _fk_edges(spark, sf).select("edge_type", "src_id", "dst_id")
+def kg_fk_edges(t: Tables) -> DataFrame:
+    return _fk_edges(t).select("edge_type", "src_id", "dst_id")
 
 
-def kg_junction_edges(spark: SparkSession, sf: str) -> DataFrame:
-    nodes = _nodes(spark, sf, [s for s in NODES if s.node_type in ("PART", "SUPPLIER")])
-    return graph.build_junction_edges(part_supplier(spark, sf), SUPPLIES, nodes).select(
+def kg_junction_edges(t: Tables) -> DataFrame:
+    nodes = _nodes(t, [s for s in NODES if s.node_type in ("PART", "SUPPLIER")])
+    return graph.build_junction_edges(part_supplier(t), SUPPLIES, nodes).select(
         "edge_type", "src_id", "dst_id", F.col("props")["quantity"].alias("quantity")
     )
 
 
-def kg_self_edges(spark: SparkSession, sf: str) -> DataFrame:
-    nodes = _nodes(spark, sf, [s for s in NODES if s.node_type == "CUSTOMER"])
-    return graph.build_fk_edges(customer_ref(spark, sf), SELF_EDGE, nodes, ["dst"]).select(
+def kg_self_edges(t: Tables) -> DataFrame:
+    nodes = _nodes(t, [s for s in NODES if s.node_type == "CUSTOMER"])
+    return graph.build_fk_edges(customer_ref(t), SELF_EDGE, nodes, ["dst"]).select(
         "edge_type", "src_type", "src_id", "dst_type", "dst_id"
     )
 
 
-def kg_reified_nodes(spark: SparkSession, sf: str) -> DataFrame:
+def kg_reified_nodes(t: Tables) -> DataFrame:
     return graph.node_view(
-        graph.build_nodes(part_supplier_stats(spark, sf), SUPPLY_NODE),
+        graph.build_nodes(part_supplier_stats(t), SUPPLY_NODE),
         "SUPPLY",
         {"quantity": "bigint", "n_lines": "bigint", "first_ship": "date"},
     ).drop("node_sk")
 
 
-def kg_bundled_edges(spark: SparkSession, sf: str) -> DataFrame:
-    nodes = _nodes(spark, sf, [s for s in NODES if s.node_type in ("PART", "SUPPLIER")])
+def kg_bundled_edges(t: Tables) -> DataFrame:
+    nodes = _nodes(t, [s for s in NODES if s.node_type in ("PART", "SUPPLIER")])
     references = {"l_partkey": "PART", "l_suppkey": "SUPPLIER", "first_ship": None}
     return graph.build_bundled_edges(
-        part_supplier_stats(spark, sf), SUPPLY_NODE, references, nodes, ["dst"], suffix="key$"
+        part_supplier_stats(t), SUPPLY_NODE, references, nodes, ["dst"], suffix="key$"
     ).select("edge_type", "src_id", "dst_type", "dst_id")
 
 
-def kg_attribute_triples(spark: SparkSession, sf: str) -> DataFrame:
-    return graph.attribute_triples(_nodes(spark, sf))
+def kg_attribute_triples(t: Tables) -> DataFrame:
+    return graph.attribute_triples(_nodes(t))
 
 
-def kg_triples(spark: SparkSession, sf: str) -> DataFrame:
-    return graph.triples(_nodes(spark, sf), _fk_edges(spark, sf))
+def kg_triples(t: Tables) -> DataFrame:
+    return graph.triples(_nodes(t), _fk_edges(t))
 
 
-def kg_node_view(spark: SparkSession, sf: str) -> DataFrame:
+def kg_node_view(t: Tables) -> DataFrame:
     props = {"c_name": "string", "c_mktsegment": "string", "c_nationkey": "int"}
-    return graph.node_view(_nodes(spark, sf), "CUSTOMER", props, "customer_id").drop("node_sk")
+    return graph.node_view(_nodes(t), "CUSTOMER", props, "customer_id").drop("node_sk")
 
 
-def kg_edge_view(spark: SparkSession, sf: str) -> DataFrame:
+def kg_edge_view(t: Tables) -> DataFrame:
     return graph.edge_view(
-        _fk_edges(spark, sf), "ORDER_HAS_CUSTOMER", "order_id", "customer_id"
+        _fk_edges(t), "ORDER_HAS_CUSTOMER", "order_id", "customer_id"
     ).select("order_id", "customer_id")
 
 
-def kg_edge_view_by_key(spark: SparkSession, sf: str) -> DataFrame:
+def kg_edge_view_by_key(t: Tables) -> DataFrame:
     """The same view from edges that hold surrogate keys only."""
-    stored = _fk_edges(spark, sf).drop("src_type", "src_id", "dst_type", "dst_id")
+    stored = _fk_edges(t).drop("src_type", "src_id", "dst_type", "dst_id")
     return graph.edge_view(
-        stored, "CUSTOMER_HAS_NATION", "customer_id", "nation_id", _nodes(spark, sf)
+        stored, "CUSTOMER_HAS_NATION", "customer_id", "nation_id", _nodes(t)
     ).select("customer_id", "nation_id")
 
 
-def kg_orders_per_nation(spark: SparkSession, sf: str) -> DataFrame:
+def kg_orders_per_nation(t: Tables) -> DataFrame:
     """Two edge types followed one after the other.
 
     Orders are counted per customer before anything is joined, so a customer with very many
@@ -239,8 +238,8 @@ def kg_orders_per_nation(spark: SparkSession, sf: str) -> DataFrame:
     check, so the order edges need none of their own.
     """
     by_type = {e.edge_type: e for e in FK_EDGES}
-    orders = graph.build_fk_edges(load_table(spark, sf, "orders"), by_type["ORDER_HAS_CUSTOMER"])
-    customers = _fk_edges(spark, sf, [by_type["CUSTOMER_HAS_NATION"]])
+    orders = graph.build_fk_edges(t["orders"], by_type["ORDER_HAS_CUSTOMER"])
+    customers = _fk_edges(t, [by_type["CUSTOMER_HAS_NATION"]])
     ordered = graph.edge_view(orders, "ORDER_HAS_CUSTOMER", "order_id", "customer_id")
     lives = graph.edge_view(customers, "CUSTOMER_HAS_NATION", "customer_id", "nation_id")
     per_customer = ordered.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
@@ -251,15 +250,15 @@ def kg_orders_per_nation(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def kg_type_counts(spark: SparkSession, sf: str) -> DataFrame:
+def kg_type_counts(t: Tables) -> DataFrame:
     """Registered types with their rows; a type registered twice stays once."""
-    node_types = graph.node_type_rows(NODES, spark)
-    edge_types = graph.edge_type_rows(FK_EDGES, spark)
+    node_types = graph.node_type_rows(NODES, t.spark)
+    edge_types = graph.edge_type_rows(FK_EDGES, t.spark)
     first = node_types.where(F.col("node_type").isin("REGION", "NATION"))
     registered = graph.insert_missing(first, node_types, ["node_type"])
-    nodes = registered.join(graph.type_counts(_nodes(spark, sf), "node_type"), "node_type", "left")
+    nodes = registered.join(graph.type_counts(_nodes(t), "node_type"), "node_type", "left")
     edges = edge_types.join(
-        graph.type_counts(_fk_edges(spark, sf), "edge_type"), "edge_type", "left"
+        graph.type_counts(_fk_edges(t), "edge_type"), "edge_type", "left"
     )
     absent = F.lit(None).cast("string")
     return nodes.select(
@@ -277,32 +276,32 @@ def kg_type_counts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _unchecked_supplies(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    edges = graph.build_junction_edges(part_supplier(spark, sf), SUPPLIES)
+def _unchecked_supplies(t: Tables) -> tuple[DataFrame, DataFrame]:
+    edges = graph.build_junction_edges(part_supplier(t), SUPPLIES)
     by_type = {s.node_type: s for s in NODES}
-    small = load_table(spark, sf, "part").where("p_size <= 25")
+    small = t["part"].where("p_size <= 25")
     nodes = graph.build_nodes(small, by_type["PART"]).unionByName(
-        graph.build_nodes(load_table(spark, sf, "supplier"), by_type["SUPPLIER"])
+        graph.build_nodes(t["supplier"], by_type["SUPPLIER"])
     )
     return edges, nodes
 
 
-def kg_orphans(spark: SparkSession, sf: str) -> DataFrame:
-    return graph.orphan_count(*_unchecked_supplies(spark, sf))
+def kg_orphans(t: Tables) -> DataFrame:
+    return graph.orphan_count(*_unchecked_supplies(t))
 
 
-def kg_orphan_edges(spark: SparkSession, sf: str) -> DataFrame:
-    return graph.orphan_edges(*_unchecked_supplies(spark, sf)).select("src_id", "dst_id")
+def kg_orphan_edges(t: Tables) -> DataFrame:
+    return graph.orphan_edges(*_unchecked_supplies(t)).select("src_id", "dst_id")
 
 
-def kg_duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
+def kg_duplicate_keys(t: Tables) -> DataFrame:
     spec = NodeSpec("LINE", "src.lineitem", ("l_orderkey", "l_linenumber"))
-    nodes = graph.build_nodes(load_table(spark, sf, "lineitem"), spec)
+    nodes = graph.build_nodes(t["lineitem"], spec)
     return graph.duplicate_keys(nodes, ["node_type", "node_id"])
 
 
-def insert_missing(spark: SparkSession, sf: str) -> DataFrame:
-    rows = load_table(spark, sf, "customer").select("c_custkey", "c_name")
+def insert_missing(t: Tables) -> DataFrame:
+    rows = t["customer"].select("c_custkey", "c_name")
     existing = rows.where(_remainder("c_custkey", 2) == 0).withColumn("origin", F.lit("existing"))
     new = rows.withColumn("origin", F.lit("new"))
     again = rows.withColumn("origin", F.lit("newer"))
@@ -312,58 +311,58 @@ def insert_missing(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- detection
 
 
-def scope_filter(spark: SparkSession, sf: str) -> DataFrame:
+def scope_filter(t: Tables) -> DataFrame:
     rules = [ScopeRule("INCLUDE", "src1%", "%"), ScopeRule("EXCLUDE", "%", "fr")]
-    documents = load_table(spark, sf, "documents").select("doc_id", "source", "lang")
+    documents = t["documents"].select("doc_id", "source", "lang")
     return detect.in_scope(documents, rules, "source", "lang")
 
 
-def _order_snapshots(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def _order_snapshots(t: Tables) -> tuple[DataFrame, DataFrame]:
     """(current, previous): orders grouped by customer, with the status as the value."""
-    rows = load_table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
+    rows = t["orders"].select("o_custkey", "o_orderkey", "o_orderstatus")
     current = rows.where(_remainder("o_orderkey", 11) != 0)
     touched = F.when(_remainder("o_orderkey", 7) == 0, "X").otherwise(F.col("o_orderstatus"))
     previous = rows.where(_remainder("o_orderkey", 10) != 0).withColumn("o_orderstatus", touched)
     return current, previous
 
 
-def snapshot_diff(spark: SparkSession, sf: str) -> DataFrame:
+def snapshot_diff(t: Tables) -> DataFrame:
     return detect.snapshot_diff(
-        *_order_snapshots(spark, sf), ["o_custkey", "o_orderkey"], ["o_orderstatus"]
+        *_order_snapshots(t), ["o_custkey", "o_orderkey"], ["o_orderstatus"]
     )
 
 
-def _early_orders(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    rows = load_table(spark, sf, "orders").select(
+def _early_orders(t: Tables) -> tuple[DataFrame, DataFrame]:
+    rows = t["orders"].select(
         "o_custkey", "o_orderkey", "o_orderstatus", "o_orderdate"
     )
     before = F.col("o_orderdate") < F.lit(WATERMARK).cast("timestamp_ntz")
     return rows.drop("o_orderdate"), rows.where(before).drop("o_orderdate")
 
 
-def new_groups(spark: SparkSession, sf: str) -> DataFrame:
-    return detect.new_groups(*_early_orders(spark, sf), ["o_custkey"])
+def new_groups(t: Tables) -> DataFrame:
+    return detect.new_groups(*_early_orders(t), ["o_custkey"])
 
 
-def diff_demoted(spark: SparkSession, sf: str) -> DataFrame:
+def diff_demoted(t: Tables) -> DataFrame:
     return detect.detect_changes(
-        *_early_orders(spark, sf), ["o_custkey"], "o_orderkey", ["o_orderstatus"]
+        *_early_orders(t), ["o_custkey"], "o_orderkey", ["o_orderstatus"]
     )
 
 
-def fingerprint_refresh(spark: SparkSession, sf: str) -> DataFrame:
-    current, previous = _order_snapshots(spark, sf)
+def fingerprint_refresh(t: Tables) -> DataFrame:
+    current, previous = _order_snapshots(t)
     scope = _remainder("o_custkey", 2) == 0
     return detect.refreshed(previous, current.where(scope), scope)
 
 
-def _order_history(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def _order_history(t: Tables) -> tuple[DataFrame, DataFrame]:
     """(children, parents): orders under customers, with created and deleted times."""
-    orders = load_table(spark, sf, "orders").select(
+    orders = t["orders"].select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"
     )
     shipped = (
-        load_table(spark, sf, "lineitem")
+        t["lineitem"]
         .groupBy("l_orderkey")
         .agg(F.max("l_shipdate").alias("last_ship"))
     )
@@ -382,41 +381,41 @@ def _order_history(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return children, parents
 
 
-def changes_since(spark: SparkSession, sf: str) -> DataFrame:
-    children, parents = _order_history(spark, sf)
+def changes_since(t: Tables) -> DataFrame:
+    children, parents = _order_history(t)
     keep = ["o_custkey", "o_orderkey", "o_orderstatus"]
     return detect.changes_since(children, parents, "o_custkey", WATERMARK, keep)
 
 
-def new_since(spark: SparkSession, sf: str) -> DataFrame:
-    _, parents = _order_history(spark, sf)
+def new_since(t: Tables) -> DataFrame:
+    _, parents = _order_history(t)
     return detect.new_since(parents, WATERMARK, ["o_custkey"])
 
 
-def next_watermark(spark: SparkSession, sf: str) -> DataFrame:
-    return detect.next_watermark(_order_history(spark, sf), WATERMARK, overlap_seconds=3600)
+def next_watermark(t: Tables) -> DataFrame:
+    return detect.next_watermark(_order_history(t), WATERMARK, overlap_seconds=3600)
 
 
-def _event_runs(spark: SparkSession, sf: str) -> DataFrame:
-    events = load_table(spark, sf, "events").select("ts")
+def _event_runs(t: Tables) -> DataFrame:
+    events = t["events"].select("ts")
     return events.select(
         F.date_format("ts", "yyyy-MM-dd").alias("run_id"), F.col("ts").alias("detected_ts")
     )
 
 
-def latest_run(spark: SparkSession, sf: str) -> DataFrame:
-    return detect.run_summary(_event_runs(spark, sf))
+def latest_run(t: Tables) -> DataFrame:
+    return detect.run_summary(_event_runs(t))
 
 
-def catalog_columns(spark: SparkSession, sf: str) -> DataFrame:
-    tables = load_tables(spark, sf, TABLES)
+def catalog_columns(t: Tables) -> DataFrame:
+    tables = t.all(TABLES)
     place = ["table_schema", "table_name"]
     columns = detect.members_per_group(catalog_snapshot(tables, SCHEMA), place, "n_columns")
     return columns.join(row_counts(tables, SCHEMA), place).drop("table_schema")
 
 
-def observed_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return observed_catalog(load_table(spark, sf, "events"), "props", ["event_type"])
+def observed_keys(t: Tables) -> DataFrame:
+    return observed_catalog(t["events"], "props", ["event_type"])
 
 
 # ---------------------------------------------------------------- keys
@@ -444,8 +443,8 @@ def _key_pairs(tables: dict[str, DataFrame]) -> list[profile.KeyPair]:
     return [*named, profile.KeyPair("events", "user_id", "customer", "c_custkey")]
 
 
-def key_uniqueness(spark: SparkSession, sf: str) -> DataFrame:
-    tables = load_tables(spark, sf, TABLES)
+def key_uniqueness(t: Tables) -> DataFrame:
+    tables = t.all(TABLES)
     more = [
         ("lineitem", ("l_partkey", "l_suppkey")),
         ("orders", ("o_custkey",)),
@@ -454,20 +453,20 @@ def key_uniqueness(spark: SparkSession, sf: str) -> DataFrame:
     return profile.profile_uniqueness(tables, [*_BASE_KEYS, *more])
 
 
-def key_inclusion(spark: SparkSession, sf: str) -> DataFrame:
-    tables = load_tables(spark, sf, TABLES)
+def key_inclusion(t: Tables) -> DataFrame:
+    tables = t.all(TABLES)
     return profile.profile_inclusion(tables, _key_pairs(tables))
 
 
 def _profiled(
-    spark: SparkSession, sf: str, derived: bool
+    t: Tables, derived: bool
 ) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
     """(tables, primary keys, foreign keys), the keys found in the data."""
-    tables = load_tables(spark, sf, TABLES)
+    tables = t.all(TABLES)
     keys = list(_BASE_KEYS)
     if derived:
         # A pair table without measures: the junction shape.
-        tables |= {name: make(spark, sf) for name, make in _DERIVED.items()}
+        tables |= {name: make(t) for name, make in _DERIVED.items()}
         tables["part_supplier"] = tables["part_supplier"].drop("quantity")
         keys += _DERIVED_KEYS
     unique = cut_lineage(profile.profile_uniqueness(tables, keys))
@@ -496,9 +495,9 @@ def _new_columns(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def classify_columns(spark: SparkSession, sf: str) -> DataFrame:
-    tables, _, fks = _profiled(spark, sf, derived=False)
-    types = graph.node_type_rows(NODES, spark)
+def classify_columns(t: Tables) -> DataFrame:
+    tables, _, fks = _profiled(t, derived=False)
+    types = graph.node_type_rows(NODES, t.spark)
     return classify.classify_columns(_new_columns(tables), fks, types, suffix="key$").select(
         "table_name",
         "column_name",
@@ -510,15 +509,15 @@ def classify_columns(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def unresolved_references(spark: SparkSession, sf: str) -> DataFrame:
-    tables, _, fks = _profiled(spark, sf, derived=False)
-    types = graph.node_type_rows(NODES, spark)
+def unresolved_references(t: Tables) -> DataFrame:
+    tables, _, fks = _profiled(t, derived=False)
+    types = graph.node_type_rows(NODES, t.spark)
     return classify.unresolved_references(_new_columns(tables), fks, types).select(
         "table_name", "column_name", "ref_table_name", "reason"
     )
 
 
-def _new_tables(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
+def _new_tables(tables: dict[str, DataFrame]) -> DataFrame:
     return catalog_snapshot(tables, SCHEMA).select(
         F.lit("run-1").alias("run_id"),
         "table_schema",
@@ -527,21 +526,21 @@ def _new_tables(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
     ).distinct()
 
 
-def table_shapes(spark: SparkSession, sf: str) -> DataFrame:
-    tables, pks, fks = _profiled(spark, sf, derived=True)
+def table_shapes(t: Tables) -> DataFrame:
+    tables, pks, fks = _profiled(t, derived=True)
     columns = catalog_snapshot(tables, SCHEMA)
     new = columns.select("table_schema", "table_name").distinct()
     return classify.table_shapes(new, fks, pks, columns).drop("table_schema")
 
 
-def classify_tables(spark: SparkSession, sf: str) -> DataFrame:
-    tables, pks, fks = _profiled(spark, sf, derived=True)
+def classify_tables(t: Tables) -> DataFrame:
+    tables, pks, fks = _profiled(t, derived=True)
     candidates = classify.classify_tables(
-        _new_tables(spark, tables),
+        _new_tables(tables),
         fks,
         pks,
         catalog_snapshot(tables, SCHEMA),
-        graph.node_type_rows(NODES, spark),
+        graph.node_type_rows(NODES, t.spark),
         prefix="^part_",
     )
     return candidates.select(
@@ -549,11 +548,11 @@ def classify_tables(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def candidate_summary(spark: SparkSession, sf: str) -> DataFrame:
-    tables, pks, fks = _profiled(spark, sf, derived=True)
-    types = graph.node_type_rows(NODES, spark)
+def candidate_summary(t: Tables) -> DataFrame:
+    tables, pks, fks = _profiled(t, derived=True)
+    types = graph.node_type_rows(NODES, t.spark)
     rows = classify.classify_tables(
-        _new_tables(spark, tables), fks, pks, catalog_snapshot(tables, SCHEMA), types
+        _new_tables(tables), fks, pks, catalog_snapshot(tables, SCHEMA), types
     )
     return classify.candidate_summary(rows)
 
@@ -561,9 +560,9 @@ def candidate_summary(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- review
 
 
-def _order_candidates(spark: SparkSession, sf: str) -> DataFrame:
+def _order_candidates(t: Tables) -> DataFrame:
     """One candidate per order: schema = priority, table = customer, column = order."""
-    orders = load_table(spark, sf, "orders")
+    orders = t["orders"]
     kinds = F.element_at(
         F.array(*(F.lit(k) for k in review.KINDS)), (_remainder("o_orderkey", 4) + 1).cast("int")
     )
@@ -583,8 +582,8 @@ def _order_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return review.as_candidates(rows)
 
 
-def review_prompts(spark: SparkSession, sf: str) -> DataFrame:
-    orders, customers = (load_table(spark, sf, t) for t in ("orders", "customer"))
+def review_prompts(t: Tables) -> DataFrame:
+    orders, customers = (t[name] for name in ("orders", "customer"))
     place = orders.select(
         F.col("o_orderpriority").alias("table_schema"),
         F.concat(F.lit("c"), _as_text("o_custkey")).alias("table_name"),
@@ -599,14 +598,14 @@ def review_prompts(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("segment "), F.col("c_mktsegment")).alias("comment"),
     )
     prompts = review.build_prompts(
-        _order_candidates(spark, sf), place.unionByName(about), "wholesale"
+        _order_candidates(t), place.unionByName(about), "wholesale"
     )
     return prompts.select("candidate_id", F.sha2("prompt", 256).alias("prompt_hash"))
 
 
-def review_scores(spark: SparkSession, sf: str) -> DataFrame:
+def review_scores(t: Tables) -> DataFrame:
     """References judged on evidence: share of values found, uniqueness of the target."""
-    tables = load_tables(spark, sf, TABLES)
+    tables = t.all(TABLES)
     pairs = [*_key_pairs(tables), profile.KeyPair("events", "user_id", "orders", "o_custkey")]
     inclusion = profile.profile_inclusion(tables, pairs)
     keys = sorted({(p.parent, (p.parent_col,)) for p in pairs})
@@ -639,10 +638,10 @@ def review_scores(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _event_answers(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def _event_answers(t: Tables) -> tuple[DataFrame, DataFrame]:
     """(candidates, responses) from events: some answers are out of range, of an unknown
     kind or cut off, and some candidates have an opinion already."""
-    events = load_table(spark, sf, "events").select("event_id", "event_type", "props")
+    events = t["events"].select("event_id", "event_type", "props")
     k = F.get_json_object("props", "$.k").cast("int")
     kind = (
         F.when(F.col("event_type") == "click", "ATTRIBUTE")
@@ -674,15 +673,15 @@ def _event_answers(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return candidates, responses
 
 
-def review_parse(spark: SparkSession, sf: str) -> DataFrame:
-    candidates, responses = _event_answers(spark, sf)
+def review_parse(t: Tables) -> DataFrame:
+    candidates, responses = _event_answers(t)
     return review.write_back(candidates, review.parse_responses(responses)).drop(
         "ai_industry_note"
     )
 
 
-def review_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    _, responses = _event_answers(spark, sf)
+def review_rejects(t: Tables) -> DataFrame:
+    _, responses = _event_answers(t)
     rejected = review.rejected_responses(review.parse_responses(responses))
     return rejected.select("candidate_id", F.length("response").cast("long").alias("n_chars"))
 
@@ -690,8 +689,8 @@ def review_rejects(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- proposals
 
 
-def fingerprints(spark: SparkSession, sf: str) -> DataFrame:
-    return load_table(spark, sf, "orders").select(
+def fingerprints(t: Tables) -> DataFrame:
+    return t["orders"].select(
         "o_orderkey",
         content_key(
             F.col("o_orderpriority"), _as_text("o_custkey"), _as_text("o_orderkey")
@@ -699,8 +698,8 @@ def fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _order_changes(spark: SparkSession, sf: str) -> DataFrame:
-    return load_table(spark, sf, "orders").select(
+def _order_changes(t: Tables) -> DataFrame:
+    return t["orders"].select(
         F.lit("run-1").alias("run_id"),
         F.col("o_orderpriority").alias("table_schema"),
         F.concat(F.lit("c"), _as_text("o_custkey")).alias("table_name"),
@@ -709,15 +708,15 @@ def _order_changes(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _order_proposals(spark: SparkSession, sf: str) -> DataFrame:
+def _order_proposals(t: Tables) -> DataFrame:
     """Every order as a proposal, pending."""
     opinion = F.when(F.col("object_kind") == classify.FLAGGED, F.lit("NODE_TYPE"))
-    candidates = _order_candidates(spark, sf).withColumn("ai_recommended_kind", opinion)
-    return review.to_proposals(candidates, _order_changes(spark, sf))
+    candidates = _order_candidates(t).withColumn("ai_recommended_kind", opinion)
+    return review.to_proposals(candidates, _order_changes(t))
 
 
-def persist_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    candidates = _order_candidates(spark, sf)
+def persist_dedup(t: Tables) -> DataFrame:
+    candidates = _order_candidates(t)
     number = F.col("candidate_id").cast("long")
     again = candidates.where(number % 5 == 0).withColumn(
         "candidate_id", F.concat(F.lit("x"), "candidate_id")
@@ -728,7 +727,7 @@ def persist_dedup(spark: SparkSession, sf: str) -> DataFrame:
         F.element_at(statuses, (number % 4 + 1).cast("int")).alias("status"),
     )
     added = review.new_proposals(
-        candidates.unionByName(again), _order_changes(spark, sf), existing
+        candidates.unionByName(again), _order_changes(t), existing
     )
     return added.select(
         "fingerprint_key",
@@ -741,10 +740,10 @@ def persist_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def pending_queue(spark: SparkSession, sf: str) -> DataFrame:
+def pending_queue(t: Tables) -> DataFrame:
     number = F.substring(F.get_json_object("source_object", "$.column_name"), 2, 20).cast("long")
     status = F.when(number % 4 == 0, "APPROVED").when(number % 4 == 1, "DEFERRED")
-    proposals = _order_proposals(spark, sf).withColumn(
+    proposals = _order_proposals(t).withColumn(
         "status", F.coalesce(status, F.col("status"))
     )
     return review.pending_queue(proposals).select(
@@ -763,10 +762,10 @@ def pending_queue(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- decisions
 
 
-def _decision_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _decision_inputs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(proposals, decisions, artifacts): three decisions on every order, made so that all
     checks fire, and some on orders that do not exist."""
-    orders = load_table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
+    orders = t["orders"].select("o_orderkey", "o_orderdate", "o_orderstatus")
 
     def pick(values: list[str | None], number: Column) -> Column:
         listed = F.array(*(F.lit(v).cast("string") for v in values))
@@ -807,24 +806,24 @@ def _decision_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame
     return proposals, decisions, artifacts
 
 
-def judge_decisions(spark: SparkSession, sf: str) -> DataFrame:
-    return decide.judge_decisions(*_decision_inputs(spark, sf)).select(
+def judge_decisions(t: Tables) -> DataFrame:
+    return decide.judge_decisions(*_decision_inputs(t)).select(
         "proposal_id", "decision_seq", "result"
     )
 
 
-def apply_decisions(spark: SparkSession, sf: str) -> DataFrame:
-    inputs = _decision_inputs(spark, sf)
+def apply_decisions(t: Tables) -> DataFrame:
+    inputs = _decision_inputs(t)
     return decide.apply_decisions(inputs[0], decide.judge_decisions(*inputs))
 
 
-def decision_audit(spark: SparkSession, sf: str) -> DataFrame:
-    judged = decide.judge_decisions(*_decision_inputs(spark, sf))
+def decision_audit(t: Tables) -> DataFrame:
+    judged = decide.judge_decisions(*_decision_inputs(t))
     return decide.audit_rows(judged).drop("log_id")
 
 
-def recent_decisions(spark: SparkSession, sf: str) -> DataFrame:
-    inputs = _decision_inputs(spark, sf)
+def recent_decisions(t: Tables) -> DataFrame:
+    inputs = _decision_inputs(t)
     applied = decide.apply_decisions(inputs[0], decide.judge_decisions(*inputs))
     return decide.recent_decisions(applied).select("proposal_id", "status", "decided_ts")
 
@@ -832,34 +831,33 @@ def recent_decisions(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- drafting
 
 
-def _draft_inputs(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+def _draft_inputs(t: Tables) -> dict[str, DataFrame]:
     """Proposals from orders; tables are customers, with two key columns and two references
     each, to a nation and to a segment. Only some of the targets are node types."""
-    number = F.substring(F.get_json_object("source_object", "$.column_name"), 2, 20).cast("long")
-    table_level = number % 3 == 0
-    proposals = _order_proposals(spark, sf)
+    orders = t["orders"]
+    number = F.col("o_orderkey")
+    kind = F.element_at(
+        F.array(*(F.lit(k) for k in ("ATTRIBUTE", "EDGE_TYPE", "NODE_TYPE", "NODE_TYPE"))),
+        (number % 4 + 1).cast("int"),
+    )
     source = F.struct(
-        F.get_json_object("source_object", "$.table_schema").alias("table_schema"),
-        F.get_json_object("source_object", "$.table_name").alias("table_name"),
-        F.when(~table_level, F.get_json_object("source_object", "$.column_name")).alias(
-            "column_name"
-        ),
+        F.col("o_orderpriority").alias("table_schema"),
+        F.concat(F.lit("c"), _as_text("o_custkey")).alias("table_name"),
+        F.when(number % 3 != 0, F.concat(F.lit("o"), _as_text("o_orderkey"))).alias("column_name"),
     )
-    proposals = proposals.select(
+    proposals = orders.select(
         number.cast("string").alias("proposal_id"),
         F.when(number % 7 == 0, "PENDING").otherwise("APPROVED").alias("status"),
-        F.when(number % 10 == 0, F.lit(None)).otherwise(F.col("final_object_kind")).alias(
-            "final_object_kind"
-        ),
-        F.concat(F.lit("new_"), F.lower("final_name")).alias("final_name"),
-        "edge_from",
-        "edge_to",
+        F.when(number % 10 != 0, kind).alias("final_object_kind"),
+        F.concat(F.lit("new_order_"), F.lower("o_orderstatus")).alias("final_name"),
+        F.lit("ORDERS").alias("edge_from"),
+        F.when(number % 5 != 0, F.lit("CUSTOMER")).alias("edge_to"),
         F.to_json(source).alias("source_object"),
     )
-    artifacts = load_table(spark, sf, "orders").where(_remainder("o_orderkey", 8) == 1).select(
+    artifacts = orders.where(number % 8 == 1).select(
         _as_text("o_orderkey").alias("proposal_id")
     )
-    customers = load_table(spark, sf, "customer")
+    customers = t["customer"]
     table = [
         F.lit("5-LOW").alias("table_schema"),
         F.concat(F.lit("c"), _as_text("c_custkey")).alias("table_name"),
@@ -885,7 +883,7 @@ def _draft_inputs(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         .select("table_schema", "table_name", "r.*")
         .withColumn("ref_table_schema", F.lit("ref"))
     )
-    nations = load_table(spark, sf, "nation").where("n_nationkey < 20")
+    nations = t["nation"].where("n_nationkey < 20")
     types = nations.select(
         F.concat(F.lit("NATION_"), _as_text("n_nationkey")).alias("node_type"),
         F.concat(F.lit("ref.n"), _as_text("n_nationkey")).alias("source_object"),
@@ -904,21 +902,21 @@ def _draft_inputs(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     }
 
 
-def plan_work(spark: SparkSession, sf: str) -> DataFrame:
-    given = _draft_inputs(spark, sf)
+def plan_work(t: Tables) -> DataFrame:
+    given = _draft_inputs(t)
     return draft.pending_work(given["proposals"], given["artifacts"]).select(
         "proposal_id", "final_object_kind", "column_name", "skip_reason"
     )
 
 
-def _plan(spark: SparkSession, sf: str) -> DataFrame:
-    given = _draft_inputs(spark, sf)
+def _plan(t: Tables) -> DataFrame:
+    given = _draft_inputs(t)
     work = draft.pending_work(given["proposals"], given["artifacts"])
     return draft.plan_changes(work, given["pks"], given["fks"], given["node_types"])
 
 
-def plan_changes(spark: SparkSession, sf: str) -> DataFrame:
-    return _plan(spark, sf).select(
+def plan_changes(t: Tables) -> DataFrame:
+    return _plan(t).select(
         "proposal_id",
         "artifact_type",
         "object_kind",
@@ -934,16 +932,16 @@ def plan_changes(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def draft_text(spark: SparkSession, sf: str) -> DataFrame:
-    drafts = draft.with_draft_text(_plan(spark, sf), "-- draft")
+def draft_text(t: Tables) -> DataFrame:
+    drafts = draft.with_draft_text(_plan(t), "-- draft")
     return drafts.where(F.col("artifact_type") == draft.EDGE_TYPE_DDL).select(
         "proposal_id", "type_name", F.sha2("template_sql", 256).alias("text_hash")
     )
 
 
-def attach_descriptions(spark: SparkSession, sf: str) -> DataFrame:
+def attach_descriptions(t: Tables) -> DataFrame:
     """Drafts and descriptions from orders, the latter with quotes, dollars and line breaks."""
-    orders = load_table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    orders = t["orders"].select("o_orderkey", "o_orderstatus", "o_orderpriority")
     key = F.col("o_orderkey")
     name = F.concat(F.lit("T"), key.cast("string"))
     is_view = key % 3 == 0
@@ -976,9 +974,9 @@ def attach_descriptions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _order_artifacts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def _order_artifacts(t: Tables) -> tuple[DataFrame, DataFrame]:
     """(artifacts, proposals): orders drafted under the proposal of their customer."""
-    orders = load_table(spark, sf, "orders")
+    orders = t["orders"]
     artifacts = orders.select(
         _as_text("o_orderkey").alias("artifact_id"),
         _as_text("o_custkey").alias("proposal_id"),
@@ -989,7 +987,7 @@ def _order_artifacts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame
         F.lit(None).cast("string").alias("ai_notes"),
         F.col("o_orderdate").alias("generated_ts"),
     )
-    customers = load_table(spark, sf, "customer")
+    customers = t["customer"]
     source = F.struct(
         F.col("c_mktsegment").alias("table_schema"),
         F.col("c_name").alias("table_name"),
@@ -1006,8 +1004,8 @@ def _order_artifacts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame
     return artifacts, proposals
 
 
-def artifact_listing(spark: SparkSession, sf: str) -> DataFrame:
-    return draft.artifact_listing(*_order_artifacts(spark, sf)).select(
+def artifact_listing(t: Tables) -> DataFrame:
+    return draft.artifact_listing(*_order_artifacts(t)).select(
         "proposal_id",
         "final_name",
         "artifact_id",
@@ -1018,8 +1016,8 @@ def artifact_listing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def export_json(spark: SparkSession, sf: str) -> DataFrame:
-    exported = draft.export_rows(*_order_artifacts(spark, sf))
+def export_json(t: Tables) -> DataFrame:
+    exported = draft.export_rows(*_order_artifacts(t))
     fields = [
         "proposal_id",
         "final_name",
@@ -1037,20 +1035,20 @@ def export_json(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- stream
 
 
-def stream_first_seen(spark: SparkSession, sf: str) -> DataFrame:
+def stream_first_seen(t: Tables) -> DataFrame:
     """Event files read as a stream up to their end; the (event type, JSON key) pairs."""
-    path = f"{sf}/events.parque[t]"
-    schema = load_table(spark, sf, "events").schema
-    stream = spark.readStream.schema(schema).parquet(path)
+    path = f"{t.folder}/events.parque[t]"
+    schema = t["events"].schema
+    stream = t.spark.readStream.schema(schema).parquet(path)
     pairs = stream.select(
         F.col("ts").cast("timestamp").alias("ts"),
         "event_type",
         F.explode(F.json_object_keys("props")).alias("json_key"),
     )
-    work = new_dir(spark, "first-seen")
+    work = new_dir(t.spark, "first-seen")
     run = track_first_seen(pairs, ["event_type", "json_key"], "ts", f"{work}/out", f"{work}/state")
     run.awaitTermination()
-    return spark.read.parquet(f"{work}/out").select("event_type", "json_key")
+    return t.spark.read.parquet(f"{work}/out").select("event_type", "json_key")
 
 
 QUERIES: dict[str, Query] = {
@@ -1114,12 +1112,12 @@ QUERIES: dict[str, Query] = {
 QUERIES["observed_catalog"] = observed_keys
 
 
-def queries() -> dict[str, Query]:
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """All queries by key, each with the session settings applied first."""
 
-    def prepared(query: Query) -> Query:
+    def prepared(query: Query) -> Callable[[SparkSession, str], DataFrame]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return query(configure(spark), sf_dir)
+            return query(Tables(configure(spark), sf_dir))
 
         run.__name__ = query.__name__
         return run

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Runtime settings the plans rely on. Broadcasts are left to Spark's own size checks.
 _SETTINGS = {
@@ -56,3 +60,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = new_dir(spark, "cut")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A frame of a few driver-side rows (specs, catalogs) whose size Spark knows.
+
+    Handed over as Arrow it becomes a local relation, so joins with it are planned by its
+    true size; plain Python rows would count as unboundedly large.
+    """
+    parsed = T._parse_datatype_string(schema)
+    columns = list(zip(*rows)) if rows else [()] * len(parsed.fields)
+    arrow = to_arrow_schema(parsed)
+    table = pa.table([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+    return spark.createDataFrame(table, parsed)

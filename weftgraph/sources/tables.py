@@ -7,19 +7,32 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftgraph.session import local_rows
+
 CATALOG = (
     "table_schema string, table_name string, column_name string, data_type string, comment string"
 )
 
 
-def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One parquet table of a folder."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+class Tables:
+    """The parquet tables of one folder, each opened on first use and then reused.
+
+    Opening a table lists its files and reads a footer, so one run opens each table once.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark = spark
+        self.folder = folder.rstrip("/")
+        self._open: dict[str, DataFrame] = {}
 
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._open:
+            self._open[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._open[name]
 
-def load_tables(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[str, DataFrame]:
-    """Several parquet tables by name."""
-    return {name: load_table(spark, folder, name) for name in names}
+    def all(self, names: Iterable[str]) -> dict[str, DataFrame]:
+        """Several tables by name."""
+        return {name: self[name] for name in names}
 
 
 def catalog_snapshot(tables: Mapping[str, DataFrame], schema: str = "src") -> DataFrame:
@@ -30,7 +43,7 @@ def catalog_snapshot(tables: Mapping[str, DataFrame], schema: str = "src") -> Da
         for f in df.schema.fields
     ]
     spark = next(iter(tables.values())).sparkSession
-    return spark.createDataFrame(rows, CATALOG)
+    return local_rows(spark, rows, CATALOG)
 
 
 def catalog_of_database(spark: SparkSession, database: str) -> DataFrame:
@@ -41,7 +54,7 @@ def catalog_of_database(spark: SparkSession, database: str) -> DataFrame:
         if not table.isTemporary
         for c in spark.catalog.listColumns(f"{database}.{table.name}")
     ]
-    return spark.createDataFrame(rows, CATALOG)
+    return local_rows(spark, rows, CATALOG)
 
 
 def row_counts(tables: Mapping[str, DataFrame], schema: str = "src") -> DataFrame:

@@ -13,6 +13,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftgraph.session import local_rows
+
 _MANIFEST = "version long, path string"
 
 
@@ -23,7 +25,7 @@ def versions(spark: SparkSession, base: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], _MANIFEST)
+        return local_rows(spark, [], _MANIFEST)
 
 
 def latest_version(spark: SparkSession, base: str) -> int:
@@ -42,7 +44,7 @@ def write_version(df: DataFrame, base: str, partition_by: Sequence[str] = ()) ->
     number = latest_version(spark, base) + 1
     path = f"{base}/data/v{number:06d}-{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(path)
-    spark.createDataFrame([(number, path)], _MANIFEST).coalesce(1).write.mode("append").parquet(
+    local_rows(spark, [(number, path)], _MANIFEST).coalesce(1).write.mode("append").parquet(
         f"{base}/manifest"
     )
     return number
