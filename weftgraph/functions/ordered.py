@@ -29,17 +29,15 @@ def last_before(
     # Explicit, since rows already placed by the group alone would stay together.
     chunked = df.withColumn("_chunk", chunk).repartition(*group, "_chunk")
 
-    per_chunk = (
-        chunked.where(F.col(value).isNotNull())
-        .groupBy(*group, "_chunk")
-        .agg(F.max_by(value, order).alias("_chunk_last"))
+    # One row per chunk, also for chunks without a value, each carrying the nearest earlier one.
+    has_value = F.when(F.col(value).isNotNull(), F.col(order))
+    per_chunk = chunked.groupBy(*group, "_chunk").agg(
+        F.max_by(value, has_value).alias("_chunk_last")
     )
-    # Carry into *later* chunks: a chunk takes the nearest earlier chunk that has a value.
-    chunk_rows_all = chunked.groupBy(*group, "_chunk").agg(F.lit(1).alias("_one")).drop("_one")
     across = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    carried = chunk_rows_all.join(per_chunk, [*group, "_chunk"], "left").select(
+    carried = per_chunk.select(
         *group, "_chunk", F.last("_chunk_last", ignorenulls=True).over(across).alias("_carry")
     )
 

@@ -35,17 +35,16 @@ def judge_decisions(
     also after the earlier decisions of the batch; no edit once drafts exist; an approval
     ends with a kind that can be built.
     """
+    drafted = artifacts.select("proposal_id").distinct().withColumn("_drafted", F.lit(True))
     state = proposals.select(
         "proposal_id",
         F.coalesce(F.col("status"), F.lit("")).alias("_was"),
         F.col("final_object_kind").alias("_kind"),
-    )
-    drafted = artifacts.select("proposal_id").distinct().withColumn("_drafted", F.lit(True))
+    ).join(drafted, "proposal_id", "left")
     rows = (
         decisions.withColumn("status", F.upper("status"))
         .withColumn("final_kind", F.upper("final_kind"))
         .join(state, "proposal_id", "left")
-        .join(drafted, "proposal_id", "left")
     )
 
     edits = F.col("final_name").isNotNull() | F.col("final_kind").isNotNull()

@@ -426,11 +426,6 @@ _MORE_KEYS = [
     ("lineitem", ("l_orderkey", "l_linenumber")),
 ]
 _BASE_KEYS = [*((t, (c,)) for t, c in SINGLE_KEYS.items()), *_MORE_KEYS]
-_DERIVED = {
-    "part_supplier": part_supplier,
-    "part_supplier_stats": part_supplier_stats,
-    "order_line": order_line,
-}
 _DERIVED_KEYS = [
     ("part_supplier", ("l_partkey", "l_suppkey")),
     ("part_supplier_stats", ("l_partkey", "l_suppkey")),
@@ -465,9 +460,12 @@ def _profiled(
     tables = t.all(TABLES)
     keys = list(_BASE_KEYS)
     if derived:
-        # A pair table without measures: the junction shape.
-        tables |= {name: make(t) for name, make in _DERIVED.items()}
-        tables["part_supplier"] = tables["part_supplier"].drop("quantity")
+        # Aggregates of the largest table: computed once, then read by every profile branch.
+        stats = cut_lineage(part_supplier_stats(t))
+        tables["part_supplier_stats"] = stats
+        # The pair table without measures has the junction shape.
+        tables["part_supplier"] = stats.select("l_partkey", "l_suppkey")
+        tables["order_line"] = cut_lineage(order_line(t))
         keys += _DERIVED_KEYS
     unique = cut_lineage(profile.profile_uniqueness(tables, keys))
     inclusion = profile.profile_inclusion(tables, _key_pairs(tables))
