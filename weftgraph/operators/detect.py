@@ -39,23 +39,26 @@ def scope_predicate(
     """True for rows that match an INCLUDE rule and no EXCLUDE rule.
 
     A plain filter: Spark turns the simple patterns into prefix tests and pushes them to
-    the scan. LIKE keeps its meaning, so ``_`` matches any one character.
+    the scan. LIKE keeps its meaning, so ``_`` matches any one character. A null name
+    matches no rule; the predicate is then false or null, both of which drop the row.
     """
 
+    def like(name: str, pattern: str) -> Column:
+        column = F.col(name)
+        return column.isNotNull() if pattern == "%" else column.like(pattern)
+
     def matches(kind: str) -> Column:
         hit = F.lit(False)
         for rule in rules:
             if rule.filter_type.upper() != kind:
                 continue
-            test = F.col(schema_col).like(rule.schema_pattern) & F.col(table_col).like(
-                rule.table_pattern
-            )
+            test = like(schema_col, rule.schema_pattern) & like(table_col, rule.table_pattern)
             if catalog_col is not None:
-                test = test & F.col(catalog_col).like(rule.catalog_pattern)
+                test = test & like(catalog_col, rule.catalog_pattern)
             hit = hit | test
-        return F.coalesce(hit, F.lit(False))
+        return hit
 
-    return matches("INCLUDE") & ~matches("EXCLUDE")
+    return matches("INCLUDE") & ~F.coalesce(matches("EXCLUDE"), F.lit(False))
 
 
 def in_scope(
