@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,8 +33,13 @@ BOTH_ENDS = ("src", "dst")
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
-    """UNION ALL by column name."""
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    """UNION ALL by column name. Pairs are joined level by level: the plan of many frames
+    then stays shallow, and each is analysed a few times only."""
+    level = list(frames)
+    while len(level) > 1:
+        pairs = [a.unionByName(b) for a, b in zip(level[::2], level[1::2])]
+        level = pairs + level[len(pairs) * 2 :]
+    return level[0]
 
 
 # ---------------------------------------------------------------- building

@@ -95,6 +95,7 @@ def _plain_text(df: DataFrame) -> DataFrame:
 
 
 def _nodes(t: Tables, types: list[NodeSpec] = NODES) -> DataFrame:
+    t.all(_source(s) for s in types)
     return graph.union_all(
         graph.build_nodes(_plain_text(t[_source(s)]), s) for s in types
     )
@@ -470,7 +471,7 @@ def _profiled(
     unique = cut_lineage(profile.profile_uniqueness(tables, keys))
     inclusion = profile.profile_inclusion(tables, _key_pairs(tables))
     # One row per key or reference. Written once, since many joins read them.
-    pks = cut_lineage(profile.primary_keys(unique, SCHEMA))
+    pks = profile.primary_keys(unique, SCHEMA)
     fks = cut_lineage(profile.foreign_keys(inclusion, unique, SCHEMA))
     return tables, pks, fks
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftgraph.operators.graph import union_all
 from weftgraph.session import local_rows
 
 CATALOG = (
@@ -31,8 +33,10 @@ class Tables:
         return self._open[name]
 
     def all(self, names: Iterable[str]) -> dict[str, DataFrame]:
-        """Several tables by name."""
-        return {name: self[name] for name in names}
+        """Several tables by name; those not yet open are opened side by side."""
+        names = list(names)
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            return dict(zip(names, pool.map(self.__getitem__, names)))
 
 
 def catalog_snapshot(tables: Mapping[str, DataFrame], schema: str = "src") -> DataFrame:
@@ -65,10 +69,7 @@ def row_counts(tables: Mapping[str, DataFrame], schema: str = "src") -> DataFram
         )
         for name, df in tables.items()
     ]
-    union = counted[0]
-    for more in counted[1:]:
-        union = union.unionByName(more)
-    return union
+    return union_all(counted)
 
 
 def observed_catalog(df: DataFrame, json_col: str, by: Sequence[str]) -> DataFrame:
