@@ -71,25 +71,58 @@ def in_scope(
     ``filter_type``, ``schema_pattern`` and ``table_pattern``.
 
     A frame of up to 500 rules is read once and becomes a filter. A longer one stays a
-    frame: it is matched against the distinct (schema, table) names by semi and anti
-    joins, and the surviving names select the rows.
+    frame and is joined with the distinct (schema, table) names; the surviving names select
+    the rows.
     """
     if not isinstance(rules, DataFrame):
         return df.where(scope_predicate(rules, schema_col, table_col))
 
-    head = rules.select("filter_type", "schema_pattern", "table_pattern").take(
-        _RULES_AS_FILTER + 1
-    )
+    rules = rules.select("filter_type", "schema_pattern", "table_pattern")
+    head = rules.take(_RULES_AS_FILTER + 1)
     if len(head) <= _RULES_AS_FILTER:
         listed = [ScopeRule(*row) for row in head]
         return df.where(scope_predicate(listed, schema_col, table_col))
 
-    names = df.select(schema_col, table_col).distinct()
-    test = F.expr(f"`{schema_col}` LIKE schema_pattern AND `{table_col}` LIKE table_pattern")
-    kind = F.upper("filter_type")
-    names = names.join(rules.where(kind == "INCLUDE"), test, "left_semi")
-    names = names.join(rules.where(kind == "EXCLUDE"), test, "left_anti")
-    return df.join(names, [schema_col, table_col], "left_semi")
+    names = [schema_col, table_col]
+    distinct = df.select(*names).distinct()
+    included = _names_matching(distinct, rules, "INCLUDE", schema_col, table_col)
+    excluded = _names_matching(distinct, rules, "EXCLUDE", schema_col, table_col)
+    return df.join(included.join(excluded, names, "left_anti"), names, "left_semi")
+
+
+def _names_matching(
+    names: DataFrame, rules: DataFrame, kind: str, schema_col: str, table_col: str
+) -> DataFrame:
+    """Names matched by some rule of the kind, by an equality join and no broadcast.
+
+    A pattern can only match names that begin with its literal start, so rules are keyed by
+    the literal starts of both patterns and names by all their own beginnings.
+    """
+
+    def beginnings(name: str) -> Column:
+        sizes = F.sequence(F.lit(0), F.length(name))
+        return F.explode(F.transform(sizes, lambda n: F.substring(F.col(name), F.lit(1), n)))
+
+    def literal(pattern: str) -> Column:
+        return F.regexp_extract(pattern, r"^[^%_\\]*", 0)
+
+    keyed = (
+        names.where(F.col(schema_col).isNotNull() & F.col(table_col).isNotNull())
+        .withColumn("_schema_start", beginnings(schema_col))
+        .withColumn("_table_start", beginnings(table_col))
+    )
+    wanted = rules.where(F.upper("filter_type") == kind).select(
+        "schema_pattern",
+        "table_pattern",
+        literal("schema_pattern").alias("_schema_literal"),
+        literal("table_pattern").alias("_table_literal"),
+    )
+    same_start = (F.col("_schema_start") == F.col("_schema_literal")) & (
+        F.col("_table_start") == F.col("_table_literal")
+    )
+    like = F.expr(f"`{schema_col}` LIKE schema_pattern AND `{table_col}` LIKE table_pattern")
+    hits = keyed.join(wanted, same_start & like, "left_semi")
+    return hits.select(schema_col, table_col).distinct()
 
 
 # ---------------------------------------------------------------- snapshots

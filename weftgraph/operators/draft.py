@@ -34,6 +34,8 @@ POPULATION_SCRIPT = "POPULATION_SCRIPT"
 DRAFT = "DRAFT"
 
 MANUAL = "MANUAL"
+PROMPT_INTRO = "Describe this part of a graph model in one plain sentence."
+PROMPT_TASK = "Answer with the JSON field description; return no part of the draft."
 
 _EDGE_PARTS = [EDGE_TYPE_DDL, VIEW_DDL, POPULATION_SCRIPT]
 _NODE_PARTS = [NODE_TYPE_DDL, VIEW_DDL, POPULATION_SCRIPT]
@@ -405,7 +407,7 @@ def description_prompts(
 
     prompt = F.concat_ws(
         "\n",
-        F.lit("Describe this part of a graph model in one plain sentence."),
+        F.lit(PROMPT_INTRO),
         line("Domain", F.lit(context or None)),
         line("Artifact", F.col("artifact_type")),
         line("Kind", F.col("final_object_kind")),
@@ -416,7 +418,7 @@ def description_prompts(
         line("Table comment", F.col("_table_comment")),
         line("Column comment", F.col("_column_comment")),
         line("Draft, for reference only", F.col("template_sql")),
-        F.lit("Answer with the JSON field description; return no part of the draft."),
+        F.lit(PROMPT_TASK),
     )
     return rows.select("artifact_id", prompt.alias("prompt"))
 

@@ -7,7 +7,7 @@ are replayed one after the other by recursion, profiles are counted pair by pair
 from __future__ import annotations
 
 from weftgraph.functions.text import DESCRIPTION_SLOT
-from weftgraph.operators import decide
+from weftgraph.operators import decide, draft
 from weftgraph.operators.review import PROMPT_INTRO, PROMPT_TASK
 
 # (node type, table, key, properties) of the six node types.
@@ -601,7 +601,68 @@ SELECT o_orderkey::VARCHAR AS artifact_id,
 FROM orders
 """
 
+_CYCLE = f"""
+WITH early AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01'),
+o AS (
+  SELECT o_custkey, o_orderkey, o_orderdate, 'c' || o_custkey AS tab, 'o' || o_orderkey AS col,
+    o_orderkey % 4 = 0 AS is_fk, o_custkey IN (SELECT o_custkey FROM early) AS old,
+    'C' || (o_custkey - o_custkey % 2) AS target,
+    CASE WHEN o_custkey % 2 = 0 THEN 'C' || o_custkey END AS own
+  FROM orders WHERE NOT starts_with(o_custkey::VARCHAR, '1')),
+single AS (SELECT * FROM o WHERE old AND o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderkey % 9 <> 0),
+whole AS (
+  SELECT tab, count(*) FILTER (WHERE is_fk) AS fks, count(*) AS cols,
+    list(target ORDER BY col) FILTER (WHERE is_fk) AS targets
+  FROM o WHERE NOT old GROUP BY tab)
+SELECT tab AS table_name, col AS column_name, 'ATTRIBUTE' AS object_kind,
+  'COLUMN_TO_ATTRIBUTE' AS rule_applied, 'ATTRIBUTE' AS final_object_kind, col AS proposed_name,
+  NULL AS edge_from, NULL AS edge_to, 'PENDING' AS status
+FROM single WHERE NOT is_fk
+UNION ALL
+SELECT tab, col, 'EDGE_TYPE', 'FK_TO_EDGE', 'EDGE_TYPE', col, own, target, 'PENDING'
+FROM single WHERE is_fk AND own IS NOT NULL
+UNION ALL
+SELECT tab, NULL, CASE WHEN fks < 2 THEN 'NODE_TYPE' ELSE 'FLAGGED' END,
+  CASE WHEN fks < 2 THEN 'FEW_FKS' ELSE 'REIFIED_ENTITY?' END,
+  CASE WHEN fks < 2 THEN 'NODE_TYPE' END, tab,
+  CASE WHEN fks >= 2 THEN targets[1] END, CASE WHEN fks >= 2 THEN targets[2] END, 'PENDING'
+FROM whole
+"""
+
 ORACLES: dict[str, str] = {
+    "refresh_cycle": _CYCLE,
+    "scope_rules": """
+WITH rule AS (
+  SELECT s_suppkey % 3 = 0 AS excludes,
+    'src' || (s_suppkey % 13) || CASE WHEN s_suppkey % 2 = 0 THEN '%' ELSE '_' END AS sp,
+    CASE WHEN s_suppkey % 3 = 0 THEN '_r' ELSE '%' END AS tp FROM supplier)
+SELECT doc_id, source, lang FROM documents
+WHERE EXISTS (SELECT 1 FROM rule WHERE NOT excludes AND source LIKE sp AND lang LIKE tp)
+  AND NOT EXISTS (SELECT 1 FROM rule WHERE excludes AND source LIKE sp AND lang LIKE tp)""",
+    "review_listing": f"""
+SELECT 'c' || o_custkey AS table_name, 'o' || o_orderkey AS column_name, {_KIND_OF_ORDER} AS rule_kind,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'NODE_TYPE' END AS ai_recommended_kind,
+  CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey % 3 = 0 END AS ai_agrees_with_rule,
+  CASE WHEN o_orderkey % 2 = 0 THEN 0.75::DOUBLE END AS ai_confidence,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'c' || o_custkey END AS ai_rationale,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'none' END AS ai_industry_note
+FROM orders""",
+    "confidence_bands": f"""
+SELECT CASE WHEN {_K} >= 0.85 THEN 'EXPLICIT' WHEN {_K} >= 0.5 THEN 'INFERRED' ELSE 'SPECULATIVE' END
+  AS band, count(*) AS n FROM events WHERE {_VALID} GROUP BY 1""",
+    "work_count": "SELECT count(*) AS proposals FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderkey % 8 <> 1",
+    "description_prompts": f"""
+SELECT o_orderkey::VARCHAR AS artifact_id, sha256(concat_ws(chr(10),
+  {_quoted(draft.PROMPT_INTRO)}, 'Domain: wholesale', 'Artifact: ' || o_orderpriority, 'Kind: NODE_TYPE',
+  'Name: ' || c_name, 'From: none', 'To: none', 'Source: ' || c_mktsegment || '.' || c_name,
+  'Table comment: ' || CASE WHEN c_custkey % 2 = 0 THEN 'nation ' || c_nationkey ELSE 'none' END,
+  'Column comment: none',
+  'Draft, for reference only: say "' || o_orderstatus || '"' || chr(10),
+  {_quoted(draft.PROMPT_TASK)})) AS prompt_hash
+FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderkey % 2 <> 0""",
+    "description_answers": """
+SELECT event_id::VARCHAR AS artifact_id, event_type AS description FROM events
+WHERE event_id % 3 <> 0 AND event_id % 5 <> 0""",
     "kg_nodes": _KG_NODES,
     "kg_node_sk": _KG_NODE_SK,
     "kg_fk_edges": _KG_FK_EDGES,

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from weftgraph.functions.keys import content_key
 from weftgraph.operators import classify, decide, detect, draft, graph, profile, review
+from weftgraph.plans.cycle import run_cycle
 from weftgraph.session import configure, cut_lineage, new_dir
 from weftgraph.sources.tables import (
     Tables,
@@ -318,6 +319,20 @@ def scope_filter(t: Tables) -> DataFrame:
     return detect.in_scope(documents, rules, "source", "lang")
 
 
+def scope_rules(t: Tables) -> DataFrame:
+    """The same with a frame of rules, as many as there are suppliers."""
+    key = F.col("s_suppkey")
+    rules = t["supplier"].select(
+        F.when(key % 3 == 0, "EXCLUDE").otherwise("INCLUDE").alias("filter_type"),
+        F.concat(F.lit("src"), (key % 13).cast("string"), F.when(key % 2 == 0, "%").otherwise("_")).alias(
+            "schema_pattern"
+        ),
+        F.when(key % 3 == 0, "_r").otherwise("%").alias("table_pattern"),
+    )
+    documents = t["documents"].select("doc_id", "source", "lang")
+    return detect.in_scope(documents, rules, "source", "lang")
+
+
 def _order_snapshots(t: Tables) -> tuple[DataFrame, DataFrame]:
     """(current, previous): orders grouped by customer, with the status as the value."""
     rows = t["orders"].select("o_custkey", "o_orderkey", "o_orderstatus")
@@ -542,7 +557,7 @@ def classify_tables(t: Tables) -> DataFrame:
         graph.node_type_rows(NODES, t.spark),
         prefix="^part_",
     )
-    return candidates.select(
+    return classify.table_candidates(candidates).select(
         "table_name", "object_kind", "rule_applied", "proposed_name", "edge_from", "edge_to"
     )
 
@@ -688,6 +703,33 @@ def review_rejects(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------- proposals
 
 
+def review_listing(t: Tables) -> DataFrame:
+    """Rule beside opinion, the opinions being those of half of the candidates."""
+    candidates = _order_candidates(t)
+    number = F.col("candidate_id").cast("long")
+    answers = candidates.where(number % 2 == 0).select(
+        "candidate_id",
+        F.to_json(
+            F.struct(
+                (number % 3 == 0).alias("agrees_with_rule"),
+                F.lit("NODE_TYPE").alias("recommended_object_kind"),
+                F.lit(0.75).alias("confidence"),
+                F.col("table_name").alias("rationale"),
+                F.lit("none").alias("industry_note"),
+            )
+        ).alias("response"),
+    )
+    return review.review_listing(review.write_back(candidates, review.parse_responses(answers)))
+
+
+def confidence_bands(t: Tables) -> DataFrame:
+    """Valid answers per band."""
+    _, responses = _event_answers(t)
+    band = review.confidence_band(F.col("ai_confidence")).alias("band")
+    valid = review.parse_responses(responses).where("is_valid")
+    return valid.groupBy(band).agg(F.count(F.lit(1)).alias("n"))
+
+
 def fingerprints(t: Tables) -> DataFrame:
     return t["orders"].select(
         "o_orderkey",
@@ -908,6 +950,11 @@ def plan_work(t: Tables) -> DataFrame:
     )
 
 
+def work_count(t: Tables) -> DataFrame:
+    given = _draft_inputs(t)
+    return draft.work_count(given["proposals"], given["artifacts"])
+
+
 def _plan(t: Tables) -> DataFrame:
     given = _draft_inputs(t)
     work = draft.pending_work(given["proposals"], given["artifacts"])
@@ -1003,6 +1050,28 @@ def _order_artifacts(t: Tables) -> tuple[DataFrame, DataFrame]:
     return artifacts, proposals
 
 
+def description_prompts(t: Tables) -> DataFrame:
+    customers = t["customer"]
+    comments = customers.where(_remainder("c_custkey", 2) == 0).select(
+        F.col("c_mktsegment").alias("table_schema"),
+        F.col("c_name").alias("table_name"),
+        F.lit(None).cast("string").alias("column_name"),
+        F.concat(F.lit("nation "), _as_text("c_nationkey")).alias("comment"),
+    )
+    prompts = draft.description_prompts(*_order_artifacts(t), comments, "wholesale")
+    return prompts.select("artifact_id", F.sha2("prompt", 256).alias("prompt_hash"))
+
+
+def description_answers(t: Tables) -> DataFrame:
+    """Readable descriptions among answers of which some are empty and some cut off."""
+    key = F.col("event_id")
+    text = F.when(key % 3 == 0, " ").otherwise(F.col("event_type"))
+    answer = F.to_json(F.struct(text.alias("description")))
+    response = F.when(key % 5 == 0, F.substring(answer, 1, 12)).otherwise(answer)
+    answers = t["events"].select(key.cast("string").alias("artifact_id"), response.alias("response"))
+    return draft.parse_descriptions(answers)
+
+
 def artifact_listing(t: Tables) -> DataFrame:
     return draft.artifact_listing(*_order_artifacts(t)).select(
         "proposal_id",
@@ -1031,6 +1100,58 @@ def export_json(t: Tables) -> DataFrame:
     return exported.select(parsed.alias("r")).select("r.*")
 
 
+# ---------------------------------------------------------------- the whole cycle
+
+
+def refresh_cycle(t: Tables) -> DataFrame:
+    """New proposals of one cycle over a catalog with a table per customer and a column per
+    order; the baseline is what was there before 1996. Every fourth column references the
+    table of an even customer, and even customers are node types."""
+
+    def catalog(orders: DataFrame) -> DataFrame:
+        return orders.select(
+            F.lit(SCHEMA).alias("table_schema"),
+            F.concat(F.lit("c"), _as_text("o_custkey")).alias("table_name"),
+            F.concat(F.lit("o"), _as_text("o_orderkey")).alias("column_name"),
+            F.col("o_orderstatus").alias("data_type"),
+        )
+
+    now, was = _early_orders(t)
+    even = F.col("o_custkey") - _remainder("o_custkey", 2)
+    fks = now.where(_remainder("o_orderkey", 4) == 0).select(
+        F.lit(SCHEMA).alias("table_schema"),
+        F.concat(F.lit("c"), _as_text("o_custkey")).alias("table_name"),
+        F.concat(F.lit("o"), _as_text("o_orderkey")).alias("column_name"),
+        F.lit(SCHEMA).alias("ref_table_schema"),
+        F.concat(F.lit("c"), even.cast("string")).alias("ref_table_name"),
+    )
+    no_keys = fks.select("table_schema", "table_name", "column_name").where(F.lit(False))
+    types = t["customer"].where(_remainder("c_custkey", 2) == 0).select(
+        F.concat(F.lit("C"), _as_text("c_custkey")).alias("node_type"),
+        F.concat(F.lit(f"{SCHEMA}.c"), _as_text("c_custkey")).alias("source_object"),
+    )
+    place = catalog(now.where(_remainder("o_orderkey", 9) == 0))
+    existing = place.select(
+        content_key(F.col("table_schema"), F.col("table_name"), F.col("column_name")).alias(
+            "fingerprint_key"
+        ),
+        F.lit("REJECTED").alias("status"),
+    )
+    rules = [ScopeRule("INCLUDE", SCHEMA, "c%"), ScopeRule("EXCLUDE", "%", "c1%")]
+    cycle = run_cycle("run-1", catalog(now), catalog(was), rules, fks, no_keys, types, existing)
+    return review.unpack_source(cycle.new_proposals).select(
+        "table_name",
+        "column_name",
+        "object_kind",
+        "rule_applied",
+        "final_object_kind",
+        "proposed_name",
+        "edge_from",
+        "edge_to",
+        "status",
+    )
+
+
 # ---------------------------------------------------------------- stream
 
 
@@ -1072,6 +1193,7 @@ QUERIES: dict[str, Query] = {
         kg_duplicate_keys,
         insert_missing,
         scope_filter,
+        scope_rules,
         snapshot_diff,
         new_groups,
         diff_demoted,
@@ -1092,6 +1214,8 @@ QUERIES: dict[str, Query] = {
         review_scores,
         review_parse,
         review_rejects,
+        review_listing,
+        confidence_bands,
         fingerprints,
         persist_dedup,
         pending_queue,
@@ -1100,11 +1224,15 @@ QUERIES: dict[str, Query] = {
         decision_audit,
         recent_decisions,
         plan_work,
+        work_count,
         plan_changes,
         draft_text,
         attach_descriptions,
+        description_prompts,
+        description_answers,
         artifact_listing,
         export_json,
+        refresh_cycle,
         stream_first_seen,
     )
 }

@@ -41,6 +41,8 @@ def shared_dir(spark: SparkSession) -> str:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = known.get() if known.isDefined() else None
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         found = tempfile.mkdtemp(prefix="weftgraph-")
         spark.sparkContext.setCheckpointDir(found)
     return str(found).rstrip("/")
