@@ -163,8 +163,16 @@ def snapshot_diff(
 
 
 def new_groups(current: DataFrame, previous: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Groups without a single row in the previous snapshot, each once."""
-    return absent_keys(current, previous, group)
+    """Groups without a single row in the previous snapshot, each once.
+
+    Rows with a null group part belong to no group. They are left out up front, which also
+    lets two uses of the result in one plan share their shuffle.
+    """
+    group = list(group)
+    named = F.lit(True)
+    for part in group:
+        named = named & F.col(part).isNotNull()
+    return absent_keys(current.where(named), previous.where(named), group)
 
 
 def without_new_groups(
