@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from weftgraph.operators import detect
 from weftgraph.session import local_rows
-from weftgraph.sources.tables import observed_catalog
+from weftgraph.sources.tables import catalog_of_database, observed_catalog
 from weftgraph.specs import ScopeRule
 
 SNAPSHOT = "table_schema string, table_name string, column_name string, data_type string"
@@ -41,6 +41,32 @@ def test_many_scope_rules_stay_exact(spark, monkeypatch):
     assert sorted(r.table_name for r in kept.collect()) == ["T0", "T1", "T2", "T4"]
 
 
+@pytest.mark.parametrize("limit", [500, 1])
+def test_catalog_pattern(spark, monkeypatch, limit):
+    monkeypatch.setattr(detect, "_RULES_AS_FILTER", limit)
+    rows = local_rows(spark, [("db1", "s", "T"), ("db2", "s", "T"), ("db2", "s", "U")],
+                      "db string, table_schema string, table_name string")
+    rules = [ScopeRule("INCLUDE", "%", "%", "db_"), ScopeRule("EXCLUDE", "s", "T", "%2")]
+    frame = local_rows(
+        spark,
+        [(r.filter_type, r.schema_pattern, r.table_pattern, r.catalog_pattern) for r in rules],
+        "filter_type string, schema_pattern string, table_pattern string, catalog_pattern string",
+    )
+    for given in (rules, frame):
+        kept = detect.in_scope(rows, given, catalog_col="db").collect()
+        assert sorted(map(tuple, kept)) == [("db1", "s", "T"), ("db2", "s", "U")]
+
+
+def test_catalog_of_a_database(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE lending LOCATION '{tmp_path}/lending'")
+    spark.sql("CREATE TABLE lending.loan (id BIGINT COMMENT 'key', due DATE) USING parquet")
+    rows = catalog_of_database(spark, "lending").collect()
+    assert [tuple(r) for r in rows] == [
+        ("lending", "loan", "id", "bigint", "key"), ("lending", "loan", "due", "date", None)
+    ]
+    spark.sql("DROP DATABASE lending CASCADE")
+
+
 def test_null_names_are_out_of_scope(spark):
     rows = local_rows(spark, [(None, "T", "c", "t"), ("s", "T", "c", "t")], SNAPSHOT)
     rules = [ScopeRule("INCLUDE", "%", "%"), ScopeRule("EXCLUDE", "x", "%")]

@@ -66,63 +66,63 @@ def in_scope(
     rules: Sequence[ScopeRule] | DataFrame,
     schema_col: str = "table_schema",
     table_col: str = "table_name",
+    catalog_col: str | None = None,
 ) -> DataFrame:
     """Keep the rows in scope. Rules come as a list, or as a frame with the columns
-    ``filter_type``, ``schema_pattern`` and ``table_pattern``.
+    ``filter_type``, ``schema_pattern`` and ``table_pattern`` (and ``catalog_pattern`` when
+    a catalog column is named).
 
     A frame of up to 500 rules is read once and becomes a filter. A longer one stays a
-    frame and is joined with the distinct (schema, table) names; the surviving names select
-    the rows.
+    frame and is joined with the distinct names; the surviving names select the rows.
     """
     if not isinstance(rules, DataFrame):
-        return df.where(scope_predicate(rules, schema_col, table_col))
+        return df.where(scope_predicate(rules, schema_col, table_col, catalog_col))
 
-    rules = rules.select("filter_type", "schema_pattern", "table_pattern")
+    names = {"schema_pattern": schema_col, "table_pattern": table_col}
+    if catalog_col is not None:
+        names["catalog_pattern"] = catalog_col
+    rules = rules.select("filter_type", *names)
     head = rules.take(_RULES_AS_FILTER + 1)
     if len(head) <= _RULES_AS_FILTER:
         listed = [ScopeRule(*row) for row in head]
-        return df.where(scope_predicate(listed, schema_col, table_col))
+        return df.where(scope_predicate(listed, schema_col, table_col, catalog_col))
 
-    names = [schema_col, table_col]
-    distinct = df.select(*names).distinct()
-    included = _names_matching(distinct, rules, "INCLUDE", schema_col, table_col)
-    excluded = _names_matching(distinct, rules, "EXCLUDE", schema_col, table_col)
-    return df.join(included.join(excluded, names, "left_anti"), names, "left_semi")
+    columns = list(names.values())
+    distinct = df.select(*columns).distinct()
+    included = _names_matching(distinct, rules, "INCLUDE", names)
+    excluded = _names_matching(distinct, rules, "EXCLUDE", names)
+    return df.join(included.join(excluded, columns, "left_anti"), columns, "left_semi")
 
 
 def _names_matching(
-    names: DataFrame, rules: DataFrame, kind: str, schema_col: str, table_col: str
+    distinct: DataFrame, rules: DataFrame, kind: str, names: dict[str, str]
 ) -> DataFrame:
     """Names matched by some rule of the kind, by an equality join and no broadcast.
 
-    A pattern can only match names that begin with its literal start, so rules are keyed by
-    the literal starts of both patterns and names by all their own beginnings.
+    ``names`` maps pattern columns to name columns. A pattern can only match names that
+    begin with its literal start, so rules are keyed by the literal starts of their schema
+    and table patterns, and names by all their own beginnings.
     """
+    keyed, wanted = distinct, rules.where(F.upper("filter_type") == kind)
+    like, same_start = F.lit(True), F.lit(True)
+    for pattern, name in names.items():
+        keyed = keyed.where(F.col(name).isNotNull())
+        like = like & F.expr(f"`{name}` LIKE {pattern}")
+    for pattern in ("schema_pattern", "table_pattern"):
+        name = names[pattern]
+        keyed = keyed.withColumn(f"_start_{pattern}", F.explode(_beginnings(name)))
+        wanted = wanted.withColumn(
+            f"_literal_{pattern}", F.regexp_extract(pattern, r"^[^%_\\]*", 0)
+        )
+        same_start = same_start & (F.col(f"_start_{pattern}") == F.col(f"_literal_{pattern}"))
+    hits = keyed.join(wanted, same_start & like, "left_semi")
+    return hits.select(*names.values()).distinct()
 
-    def beginnings(name: str) -> Column:
-        sizes = F.sequence(F.lit(0), F.length(name))
-        return F.explode(F.transform(sizes, lambda n: F.substring(F.col(name), F.lit(1), n)))
-
-    def literal(pattern: str) -> Column:
-        return F.regexp_extract(pattern, r"^[^%_\\]*", 0)
 
-    keyed = (
-        names.where(F.col(schema_col).isNotNull() & F.col(table_col).isNotNull())
-        .withColumn("_schema_start", beginnings(schema_col))
-        .withColumn("_table_start", beginnings(table_col))
-    )
-    wanted = rules.where(F.upper("filter_type") == kind).select(
-        "schema_pattern",
-        "table_pattern",
-        literal("schema_pattern").alias("_schema_literal"),
-        literal("table_pattern").alias("_table_literal"),
-    )
-    same_start = (F.col("_schema_start") == F.col("_schema_literal")) & (
-        F.col("_table_start") == F.col("_table_literal")
-    )
-    like = F.expr(f"`{schema_col}` LIKE schema_pattern AND `{table_col}` LIKE table_pattern")
-    hits = keyed.join(wanted, same_start & like, "left_semi")
-    return hits.select(schema_col, table_col).distinct()
+def _beginnings(name: str) -> Column:
+    """All beginnings of a text, the empty one and the whole included."""
+    sizes = F.sequence(F.lit(0), F.length(name))
+    return F.transform(sizes, lambda size: F.substring(F.col(name), F.lit(1), size))
 
 
 # ---------------------------------------------------------------- snapshots

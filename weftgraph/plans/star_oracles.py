@@ -630,6 +630,10 @@ FROM whole
 """
 
 ORACLES: dict[str, str] = {
+    "observed_changes": """
+SELECT DISTINCT event_type, NULL::VARCHAR AS json_key, NULL::VARCHAR AS json_type,
+  'NEW_TABLE' AS change_type
+FROM events WHERE event_type IN ('error', 'click') AND len(json_keys(props)) > 0""",
     "refresh_cycle": _CYCLE,
     "scope_rules": """
 WITH rule AS (

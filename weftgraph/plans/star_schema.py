@@ -434,6 +434,16 @@ def observed_keys(t: Tables) -> DataFrame:
     return observed_catalog(t["events"], "props", ["event_type"])
 
 
+def observed_changes(t: Tables) -> DataFrame:
+    """The catalog seen in the rows compared with that of an earlier part of the rows."""
+    early = (F.col("event_type") != "error") & (F.col("event_id") % 3 != 0)
+    now = observed_catalog(t["events"], "props", ["event_type"])
+    was = observed_catalog(t["events"].where(early), "props", ["event_type"]).where(
+        F.col("event_type") != "click"
+    )
+    return detect.detect_changes(now, was, ["event_type"], "json_key", ["json_type"])
+
+
 # ---------------------------------------------------------------- keys
 
 
@@ -1203,6 +1213,7 @@ QUERIES: dict[str, Query] = {
         next_watermark,
         latest_run,
         catalog_columns,
+        observed_changes,
         key_uniqueness,
         key_inclusion,
         classify_columns,
