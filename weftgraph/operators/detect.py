@@ -91,7 +91,8 @@ def in_scope(
     distinct = df.select(*columns).distinct()
     included = _names_matching(distinct, rules, "INCLUDE", names)
     excluded = _names_matching(distinct, rules, "EXCLUDE", names)
-    return df.join(included.join(excluded, columns, "left_anti"), columns, "left_semi")
+    kept = included.join(excluded, columns, "left_anti")
+    return df.join(kept, columns, "left_semi").select(*df.columns)
 
 
 def _names_matching(
