@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from collections import Counter
@@ -19,6 +20,9 @@ from weftgraph.plans.star_schema import TABLES
 
 
 def session(cores: str = "8") -> SparkSession:
+    # Python workers import the library too, wherever the tests are started.
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [root, os.environ.get("PYTHONPATH")]))
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("weftgraph")
