@@ -4,34 +4,112 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftgraph import configure
-from weftgraph.llm import substring_dedup, suffix_dedup
+from weftgraph.llm import (
+    fingerprints,
+    jaccard_join,
+    language_id,
+    license_scan,
+    mixing,
+    packing,
+    quality,
+    substring_dedup,
+    suffix_dedup,
+    vector_search,
+)
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(folds: int) -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("rest.doc_id", "license", "score", "n_matches")
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(fold(3) != 1))
+    found = language_id.predict(docs.select("doc_id", "text"), model)
+    return found.select("rest.doc_id", "lang_pred", "score").withColumn("held_out", F.coalesce(fold(3) == 1, F.lit(False)))
+
+
+def op3_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return vector_search.nearest(vectors, vectors.where(F.pmod("vec_id", F.lit(20)) == 0))
+
+
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.similarity_classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "group_id")
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
         "rest.doc_id", F.col("n_units").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
         "rest.doc_id", F.col("n_units").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256")
     )
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    taken = F.aggregate("entries", F.lit(0).cast("long"), lambda n, e: n + e.words).alias("taken")
+    return mixing.schedule(docs).select("rest.doc_id", "size", "source_size", "target", taken)
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(fold(5) != 0)
+    found = quality.scores(docs.select("doc_id", "text"), quality.fit(docs, labels))
+    return found.select(
+        "rest.doc_id", F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted")
+    )
+
+
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.edit_check(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_suffix_dedup, op6_substring_dedup)}
+    found = (
+        op1_license_scan,
+        op2_language_id,
+        op3_vector_search,
+        op4_jaccard_join,
+        op5_suffix_dedup,
+        op6_substring_dedup,
+        op7_packing,
+        op8_mixing,
+        op9_quality,
+        op10_order_minhash,
+    )
+    return {f.__name__: f for f in found}
 
 
 ORACLES: dict[str, str] = {}
