@@ -23,6 +23,10 @@ from weftgraph.llm.ordered import numbered
 from weftgraph.session import cut_lineage
 
 
+# 2**28 k-mers of one text have places of their own, which leaves 36 bits to tell hashes apart.
+_PLACE_BITS = 28
+
+
 @dataclass(frozen=True)
 class Shape:
     """``slots`` is a power of two."""
@@ -46,13 +50,26 @@ def _kmers(pieces: Column, k: int) -> Column:
     )
 
 
+def _packed(hash_: Column, place: Column) -> Column:
+    """A hash's upper bits and a place in one number: plain numbers sort faster than structs."""
+    return F.shiftleft(F.shiftrightunsigned(hash_, _PLACE_BITS), _PLACE_BITS).bitwiseOR(place.cast("long"))
+
+
+def _hash_part(x: Column) -> Column:
+    return F.shiftright(x, _PLACE_BITS)
+
+
+def _place(x: Column) -> Column:
+    return x.bitwiseAND((1 << _PLACE_BITS) - 1)
+
+
 def _first_equal(ordered: Column, hash_: Column, last: Column) -> Column:
     """The first index up to ``last`` with this hash, by halving."""
     steps = F.sequence(F.lit(0), F.ceil(F.log2(last + 1)).cast("int"))
 
     def halve(ends: Column, _: Column) -> Column:
         middle = F.floor((ends.lo + ends.hi) / 2).cast("int")
-        above = F.get(ordered, middle).getField("hash") >= hash_
+        above = _hash_part(F.get(ordered, middle)) >= hash_
         done = ends.lo >= ends.hi
         return F.struct(
             F.when(done | above, ends.lo).otherwise(middle + 1).cast("int").alias("lo"),
@@ -63,37 +80,37 @@ def _first_equal(ordered: Column, hash_: Column, last: Column) -> Column:
 
 
 def _numbered(kmers: Column) -> Column:
-    """(value, at) of each k-mer: a hash of k-mer and occurrence number, and its place."""
-    spots = F.transform(kmers, lambda h, i: F.struct(h.alias("hash"), i.alias("at")))
+    """Hash of (k-mer, occurrence number) and place of each k-mer, packed."""
 
     def number(ordered: Column) -> Column:
         def one(x: Column, i: Column) -> Column:
-            repeated = (i > 0) & (F.get(ordered, i - 1).getField("hash") == x.hash)
-            nth = F.when(repeated, i - _first_equal(ordered, x.hash, i)).otherwise(0)
-            return F.struct(F.xxhash64(x.hash, nth.cast("int")).alias("value"), x["at"].alias("at"))
+            equal = lambda d: (i >= d) & (_hash_part(F.get(ordered, i - d)) == _hash_part(x))
+            nth = F.when(~equal(1), 0).when(~equal(2), 1).otherwise(i - _first_equal(ordered, _hash_part(x), i))
+            return _packed(F.xxhash64(_hash_part(x), nth.cast("int")), _place(x))
 
         return F.transform(ordered, one)
 
-    return _let(F.sort_array(spots), number)
+    return _let(F.sort_array(F.transform(kmers, _packed)), number)
 
 
 def signature(text: Column, shape: Shape = Shape()) -> Column:
     """Array of (slot, code) of the slots that hold a k-mer; equal texts have equal arrays."""
     pieces = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]{1,%d}" % shape.piece), F.lit(0))
     bits = 64 - (shape.slots.bit_length() - 1)
-    slot = lambda x: F.shiftright(x.value, bits)
+    slot = lambda x: F.shiftright(x, bits)
+    width = 64 - _PLACE_BITS
 
     def tuples(items: Column) -> Column:
-        starts = F.filter(
-            F.transform(items, lambda x, i: F.when((i == 0) | (slot(F.get(items, i - 1)) != slot(x)), i).otherwise(-1)), lambda i: i >= 0
-        )
+        new = F.transform(items, lambda x, i: F.when((i > 0) & (slot(F.get(items, i - 1)) == slot(x)), -1).otherwise(i))
 
         def code(i: Column) -> Column:
             own = F.filter(F.slice(items, i + 1, F.lit(shape.keep)), lambda y: slot(y) == slot(F.get(items, i)))
-            in_text = F.transform(F.sort_array(F.transform(own, lambda y: F.struct(y["at"].alias("at"), y.value.alias("value")))), lambda z: z.value)
-            return F.struct(slot(F.get(items, i)).cast("int").alias("slot"), F.shiftright(F.xxhash64(in_text), 32).cast("int").alias("code"))
+            # Back into the order of the text: the place first, then the hash.
+            by_place = F.sort_array(F.transform(own, lambda y: F.shiftleft(_place(y), width).bitwiseOR(F.shiftrightunsigned(y, _PLACE_BITS))))
+            hashes = F.transform(by_place, lambda y: y.bitwiseAND((1 << width) - 1))
+            return F.struct(slot(F.get(items, i)).cast("int").alias("slot"), F.shiftright(F.xxhash64(hashes), 32).cast("int").alias("code"))
 
-        return F.transform(starts, code)
+        return F.transform(F.filter(new, lambda i: i >= 0), code)
 
     return _let(pieces, lambda p: _let(F.sort_array(_numbered(_kmers(p, shape.k))), tuples))
 
