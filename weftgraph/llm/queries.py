@@ -112,4 +112,32 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in found}
 
 
-ORACLES: dict[str, str] = {}
+def _license_sql() -> str:
+    """Lines and paragraphs against the templates, by joins on bigrams."""
+    wordings = license_scan.template_bigrams(license_scan.TEMPLATES)
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    rows = ", ".join(f"({i}, {quoted(n)}, {len(g)}, {quoted(b)})" for i, (n, g) in enumerate(wordings) for b in g)
+    return f"""
+WITH template(i, license, n, gram) AS (VALUES {rows}),
+units AS (
+  SELECT doc_id, row_number() OVER () AS u, unit FROM (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS unit FROM documents
+    UNION ALL
+    SELECT doc_id, unit FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '\n[ \t\r]*\n')) AS unit FROM documents)
+    WHERE contains(unit, chr(10)))),
+split AS (SELECT doc_id, u, string_split(trim(regexp_replace(lower(unit), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ') AS w FROM units),
+grams AS (SELECT DISTINCT doc_id, u, w[k] || ' ' || w[k + 1] AS gram FROM (SELECT *, unnest(range(1, len(w))) AS k FROM split WHERE len(w) > 1)),
+sized AS (SELECT *, count(*) OVER (PARTITION BY u) AS m FROM grams),
+dice AS (
+  SELECT doc_id, u, i, license, 2.0::DOUBLE * count(*) / (m + n) AS score
+  FROM sized JOIN template USING (gram) GROUP BY doc_id, u, i, license, m, n),
+hits AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY score DESC, i) AS nth FROM dice WHERE score >= 0.8) WHERE nth = 1),
+best AS (
+  SELECT *, count(*) OVER (PARTITION BY doc_id) AS n_matches, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, i) AS place FROM hits)
+SELECT d.doc_id, b.license, b.score, coalesce(b.n_matches, 0)::INTEGER AS n_matches
+FROM documents d LEFT JOIN (SELECT * FROM best WHERE place = 1) b USING (doc_id)
+"""
+
+
+ORACLES: dict[str, str] = {"op1_license_scan": _license_sql()}
