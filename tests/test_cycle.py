@@ -1,4 +1,4 @@
-"""The whole flow on the library fixture, with counts worked out by hand."""
+"""The whole flow on the harbour fixture, with counts worked out by hand."""
 
 import json
 from collections import Counter
@@ -6,47 +6,41 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tests import library
-from weftgraph.operators import decide, draft, graph, review
+from tests import harbour
+from weftgraph.operators import classify, decide, draft, graph, review
 from weftgraph.plans.cycle import Cycle, run_cycle
 from weftgraph.session import cut_lineage, local_rows
 from weftgraph.sources.tables import catalog_snapshot
-from weftgraph.specs import FkEdgeSpec, JunctionEdgeSpec, ScopeRule
+from weftgraph.specs import FkEdgeSpec, JunctionEdgeSpec
 
-SCOPE = [ScopeRule("INCLUDE", "SRC", "SRC_%")]
+
+def _table(tables, spec):
+    return tables[spec.source.split(".")[1]]
 
 
 def _graph(tables):
-    nodes = graph.union_all(
-        graph.build_nodes(tables[s.source.split(".")[1]], s) for s in library.NODES
-    )
-    edges = graph.union_all(
-        [graph.build_fk_edges(tables[s.source.split(".")[1]], s, nodes) for s in library.FK_EDGES]
-        + [
-            graph.build_junction_edges(tables[s.source.split(".")[1]], s, nodes)
-            for s in library.JUNCTIONS
-        ]
-    )
-    return nodes, edges
+    nodes = graph.union_all(graph.build_nodes(_table(tables, s), s) for s in harbour.NODES)
+    edges = [graph.build_fk_edges(_table(tables, s), s, nodes) for s in harbour.FK_EDGES]
+    edges += [graph.build_junction_edges(_table(tables, s), s, nodes) for s in harbour.JUNCTIONS]
+    return nodes, graph.union_all(edges)
 
 
-def test_v1_graph(spark):
-    nodes, edges = _graph(library.v1_tables(spark))
+def test_graph_before(spark):
+    nodes, edges = _graph(harbour.before(spark))
     counts = {r.node_type: r.n for r in graph.type_counts(nodes, "node_type").collect()}
-    assert counts == {
-        "GENRE": 4, "LIBRARIAN": 4, "LIBRARY": 2, "PLACE": 3, "READING_ROOM": 3, "TONGUE": 4
-    }
+    assert counts == {"BERTH": 7, "PORT": 5, "TUG": 3, "VESSEL": 6}
     by_edge = {r.edge_type: r.n for r in graph.type_counts(edges, "edge_type").collect()}
-    assert by_edge == {"HAS_GENRE": 4, "LIBRARY_AT": 2, "ROOM_AT": 3, "SPEAKS": 4, "WORKS_IN": 4}
+    assert by_edge == {"BERTH_IN": 7, "CALLS_AT": 8, "HOME_PORT": 4, "TUG_BASE": 3}
     assert graph.orphan_count(edges, nodes).first().orphans == 0
     kinds = Counter(r.triple_kind for r in graph.triples(nodes, edges).collect())
-    assert kinds == {"ATTRIBUTE": 61, "EDGE": 17}
+    # Set properties: ports 5 + 4 + 3, vessels 6 + 4 + 6 + 5 + 4, berths 5, tugs 3 + 3 + 3.
+    assert kinds == {"ATTRIBUTE": 12 + 25 + 5 + 9, "EDGE": 22}
 
 
 @pytest.fixture(scope="module")
 def cycle(spark):
-    old = catalog_snapshot(library.v1_tables(spark), "SRC")
-    assert old.count() == 30
+    old = catalog_snapshot(harbour.before(spark), "SRC")
+    assert old.count() == 22
     proposals = review.to_proposals(
         review.as_candidates(
             local_rows(spark, [], "run_id string, table_schema string, table_name string, "
@@ -59,62 +53,78 @@ def cycle(spark):
     # Each stage is written before the next one reads it, as in a real run.
     found = run_cycle(
         "run-1",
-        catalog_snapshot(library.v2_tables(spark), "SRC"),
+        catalog_snapshot(harbour.after(spark), "SRC"),
         old,
-        SCOPE,
-        library.foreign_keys(spark),
-        library.primary_keys(spark),
-        graph.node_type_rows(library.NODES, spark),
+        harbour.SCOPE,
+        harbour.foreign_keys(spark),
+        harbour.primary_keys(spark),
+        graph.node_type_rows(harbour.NODES, spark),
         proposals,
     )
     new, baseline = cut_lineage(found.new_proposals), cut_lineage(found.baseline)
     return Cycle(found.changes, found.candidates, new, baseline), proposals
 
 
-def test_v2_changes(cycle):
+def test_changes(cycle):
     found, _ = cycle
     kinds = Counter(r.change_type for r in found.changes.collect())
-    assert kinds == {"NEW_COLUMN": 2, "NEW_TABLE": 2}
+    assert kinds == {"NEW_COLUMN": 4, "DROPPED_COLUMN": 3, "TYPE_CHANGED": 1, "NEW_TABLE": 4}
 
 
-def test_v2_candidates(cycle):
+def test_column_candidates(spark, cycle):
     found, _ = cycle
-    rows = {(r.table_name, r.column_name): r for r in found.candidates.collect()}
-    assert len(rows) == 4
-    left = rows["SRC_LIBRARIAN", "LEFT_DATE"]
-    assert (left.object_kind, left.rule_applied, left.proposed_name) == (
-        "ATTRIBUTE", "COLUMN_TO_ATTRIBUTE", "left_date"
-    )
-    chief = rows["SRC_LIBRARIAN", "CHIEF_LIBRARIAN_ID"]
-    assert (chief.object_kind, chief.proposed_name) == ("EDGE_TYPE", "CHIEF_LIBRARIAN")
-    assert (chief.edge_from, chief.edge_to) == ("LIBRARIAN", "LIBRARIAN")
-    assert json.loads(chief.raw_details)["self_referencing"] is True
-    spoken = rows["SRC_LIBRARIAN_TONGUE", None]
-    assert (spoken.object_kind, spoken.rule_applied) == ("EDGE_TYPE", "PURE_JUNCTION")
-    assert (spoken.edge_from, spoken.edge_to) == ("LIBRARIAN", "TONGUE")
-    shift = rows["SRC_LIBRARIAN_SHIFT", None]
-    assert (shift.object_kind, shift.rule_applied) == ("FLAGGED", "REIFIED_ENTITY?")
-    details = json.loads(shift.raw_details)
-    assert [details[k] for k in ("fk_count", "pk_count", "fk_in_pk", "total_columns", "attr_count")] == [
-        2, 2, 2, 6, 4
-    ]
-
-
-def test_baseline_moves_on(spark, cycle):
+    rows = {(r.column_name, r.edge_to): r for r in found.candidates.where("column_name is not null").collect()}
+    assert set(rows) == {
+        ("SCRAPPED", None), ("SISTER_VESSEL_NO", "VESSEL"), ("ASSIST_NO", "VESSEL"), ("ASSIST_NO", "TUG")
+    }
+    gone = rows["SCRAPPED", None]
+    assert (gone.object_kind, gone.rule_applied, gone.proposed_name) == ("ATTRIBUTE", "COLUMN_TO_ATTRIBUTE", "scrapped")
+    sister = rows["SISTER_VESSEL_NO", "VESSEL"]
+    assert (sister.object_kind, sister.edge_from) == ("EDGE_TYPE", "VESSEL")
+    assert json.loads(sister.raw_details)["self_referencing"] is True
+    lost = classify.unresolved_references(
+        found.changes, harbour.foreign_keys(spark), graph.node_type_rows(harbour.NODES, spark)
+    ).collect()
+    assert [(r.column_name, r.reason) for r in lost] == [("CARGO_CODE", "TARGET_UNKNOWN")]
+
+
+def test_table_candidates(cycle):
+    found, _ = cycle
+    rows = {r.table_name: r for r in found.candidates.where("column_name is null").collect()}
+    kinds = {t: (r.object_kind, r.rule_applied, r.edge_from, r.edge_to) for t, r in rows.items()}
+    assert kinds == {
+        "SRC_PILOTAGE": ("EDGE_TYPE", "PURE_JUNCTION", "PORT", "VESSEL"),
+        "SRC_MOORING": ("FLAGGED", "REIFIED_ENTITY?", "BERTH", "BERTH"),
+        "SRC_SIGHTING": ("FLAGGED", "REIFIED_ENTITY?", "PORT", "VESSEL"),
+        "SRC_TARIFF": ("NODE_TYPE", classify.FEW_FKS, None, None),
+    }
+    names = ("fk_count", "pk_count", "fk_in_pk", "total_columns", "attr_count")
+    shapes = {t: [json.loads(r.raw_details)[k] for k in names] for t, r in rows.items()}
+    assert shapes == {
+        "SRC_PILOTAGE": [2, 2, 2, 3, 1], "SRC_MOORING": [3, 3, 3, 7, 4],
+        "SRC_SIGHTING": [2, 0, 0, 3, 3], "SRC_TARIFF": [0, 1, 0, 3, 2],
+    }
+
+
+def test_baseline_moves_on(cycle):
     found, _ = cycle
-    assert found.baseline.count() == 30 + 11
+    assert found.baseline.count() == 5 + 7 + 3 + 5 + 3 + 3 + 7 + 3 + 3
+    assert found.baseline.where("table_name in ('SRC_OLD_LIGHT', 'SRC_TMP_LOAD')").count() == 0
 
 
 def test_same_run_twice_adds_nothing(cycle):
+    """Eight candidates; both references of ASSIST_NO are one proposal."""
     found, proposals = cycle
     once = proposals.unionByName(found.new_proposals)
-    assert once.count() == 4
+    assert found.candidates.count() == 8 and once.count() == 7
     assert review.new_proposals(found.candidates, found.changes, once).count() == 0
     deferred = once.withColumn("status", F.lit("DEFERRED"))
-    assert review.new_proposals(found.candidates, found.changes, deferred).count() == 4
+    assert review.new_proposals(found.candidates, found.changes, deferred).count() == 7
 
 
-@pytest.mark.parametrize(("flagged_as", "expected"), [("NODE_TYPE", 16), ("EDGE_TYPE", 10)])
+# Attribute 1; sister, assist and pilotage 3 each; tariff 3; as node: mooring 3 + 3 x 3 and one
+# entry for the keyless sightings; as edges: 3 each.
+@pytest.mark.parametrize(("flagged_as", "expected"), [("NODE_TYPE", 13 + 12 + 1), ("EDGE_TYPE", 13 + 3 + 3)])
 def test_drafts(spark, cycle, flagged_as, expected):
     found, _ = cycle
     proposals = found.new_proposals
@@ -133,36 +143,85 @@ def test_drafts(spark, cycle, flagged_as, expected):
     assert {r.result for r in judged.collect()} == {"OK"}
     approved = cut_lineage(decide.apply_decisions(proposals, judged))
     work = draft.pending_work(approved, no_artifacts)
-    assert draft.work_count(approved, no_artifacts).first().proposals == 4
+    assert draft.work_count(approved, no_artifacts).first().proposals == 7
     plan = cut_lineage(draft.plan_changes(
         work,
-        library.primary_keys(spark),
-        library.foreign_keys(spark),
-        graph.node_type_rows(library.NODES, spark),
+        harbour.primary_keys(spark),
+        harbour.foreign_keys(spark),
+        graph.node_type_rows(harbour.NODES, spark),
     ))
     rows = plan.collect()
     assert len(rows) == expected
     assert len({r.artifact_id for r in rows}) == expected
+    skipped = [(r.source_object, r.skip_reason) for r in rows if r.skip_reason]
+    assert skipped == ([("SRC.SRC_SIGHTING", draft.NO_KEY)] if flagged_as == "NODE_TYPE" else [])
 
     texts = [r.template_sql for r in draft.with_draft_text(plan).collect()]
     assert all(t and "<missing>" not in t for t in texts)
 
-    # The plan runs: its specs build the v2 part of the graph.
-    tables = library.v2_tables(spark)
+    # The plan runs: its specs build the new part of the graph.
+    tables = harbour.after(spark)
     nodes, _ = _graph(tables)
     for spec in draft.node_specs(rows):
-        nodes = nodes.unionByName(graph.build_nodes(tables[spec.source.split(".")[1]], spec))
+        nodes = nodes.unionByName(graph.build_nodes(_table(tables, spec), spec))
     nodes = cut_lineage(nodes)
     built = {}
     for spec in draft.edge_specs(rows):
-        table = tables[spec.source.split(".")[1]]
         build = graph.build_junction_edges if isinstance(spec, JunctionEdgeSpec) else graph.build_fk_edges
-        built[spec.edge_type] = build(table, spec, nodes).count()
-    assert built["CHIEF_LIBRARIAN"] == 1
-    assert built["LIBRARIAN_TONGUE"] == 5
+        built[spec.edge_type] = build(_table(tables, spec), spec, nodes).count()
+    assert built["PILOTAGE"] == 5
+    ids = nodes.where("node_type = 'MOORING'").select("node_id").collect()
     if flagged_as == "NODE_TYPE":
-        assert built["LIBRARIAN_SHIFT_LIBRARIAN"] == built["LIBRARIAN_SHIFT_ROOM"] == 2
-        ids = nodes.where("node_type = 'LIBRARIAN_SHIFT'").select("node_id").collect()
-        assert sorted(r.node_id for r in ids) == ["100_10", "101_11"]
-        self_loop = [s for s in draft.edge_specs(rows) if s.edge_type == "CHIEF_LIBRARIAN"][0]
-        assert isinstance(self_loop, FkEdgeSpec) and self_loop.from_type == self_loop.to_type
+        assert sorted(r.node_id for r in ids) == ["1_AA_7", "1_CC_13", "1_EE_23", "3_CC_17"]
+        loop = [s for s in draft.edge_specs(rows) if s.edge_type.startswith("SISTER")][0]
+        assert isinstance(loop, FkEdgeSpec) and loop.from_type == loop.to_type == "VESSEL"
+        assert built[loop.edge_type] == 2
+    else:
+        assert ids == []
+
+
+def test_end_points_and_columns_share_one_ranking(spark):
+    """A column with two targets takes both places, in the end points and in the load."""
+    at = "table_schema string, table_name string, column_name string"
+    fks = local_rows(
+        spark,
+        [("S", "T", "A_ID", "S", "X"), ("S", "T", "A_ID", "S", "Y"), ("S", "T", "B_ID", "S", "Z")],
+        f"{at}, ref_table_schema string, ref_table_name string",
+    )
+    types = local_rows(spark, [(n, f"S.{n}") for n in "XYZ"], "node_type string, source_object string")
+    ends = classify.first_two_references(fks).first()
+    assert (ends.ref_table_1, ends.ref_table_2) == ("S.X", "S.Y")
+    work = local_rows(
+        spark,
+        [("p", "S", "T", None, "EDGE_TYPE", "XY", "X", "Y", None)],
+        "proposal_id string, table_schema string, table_name string, column_name string, final_object_kind string, "
+        "final_name string, edge_from string, edge_to string, skip_reason string",
+    )
+    row = draft.plan_changes(work, local_rows(spark, [], at), fks, types).where("artifact_type = 'POPULATION_SCRIPT'").first()
+    assert (row.from_type, row.src_column, row.to_type, row.dst_column) == ("X", "A_ID", "Y", "A_ID")
+
+
+def test_no_load_without_a_key(spark):
+    """A node, or an edge from a table's own id, needs a key; a junction does not."""
+    at = "table_schema string, table_name string, column_name string"
+    fks = local_rows(spark, [("S", "T", "A_ID", "S", "X"), ("S", "T", "B_ID", "S", "Y")], f"{at}, ref_table_schema string, ref_table_name string")
+    types = local_rows(spark, [(n, f"S.{n}") for n in "XYT"], "node_type string, source_object string")
+    work = local_rows(
+        spark,
+        [
+            ("node", "S", "T", None, "NODE_TYPE", "T", None, None, None),
+            ("column", "S", "T", "A_ID", "EDGE_TYPE", "A", "T", "X", None),
+            ("junction", "S", "T", None, "EDGE_TYPE", "AB", "X", "Y", None),
+            ("attribute", "S", "T", "C", "ATTRIBUTE", "c", None, None, None),
+        ],
+        "proposal_id string, table_schema string, table_name string, column_name string, final_object_kind string, "
+        "final_name string, edge_from string, edge_to string, skip_reason string",
+    )
+    plan = draft.plan_changes(work, local_rows(spark, [], at), fks, types)
+    rows = plan.collect()
+    assert {r.proposal_id: r.skip_reason for r in rows} == {
+        "node": draft.NO_KEY, "column": draft.NO_KEY, "junction": None, "attribute": None
+    }
+    assert Counter(r.proposal_id for r in rows) == {"node": 1, "column": 1, "junction": 3, "attribute": 1}
+    assert draft.node_specs(rows) == [] and len(draft.edge_specs(rows)) == 1
+    assert all("<missing>" not in r.template_sql for r in draft.with_draft_text(plan).collect() if r.proposal_id != "attribute")

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,21 +30,42 @@ def test_scope_underscore_is_a_wildcard_and_exclude_wins(spark):
     assert sorted(r.table_name for r in detect.in_scope(rows, frame).collect()) == ["SRCXB", "SRC_A"]
 
 
-def test_many_scope_rules_stay_exact(spark, monkeypatch):
-    monkeypatch.setattr(detect, "_RULES_AS_FILTER", 2)
-    rows = snapshot(spark, [(f"T{i}", "c", "t") for i in range(6)])
-    rules = local_rows(
-        spark,
-        [("include", "s", f"T{i}") for i in range(5)] + [("EXCLUDE", "%", "T3")],
-        "filter_type string, schema_pattern string, table_pattern string",
-    )
-    kept = detect.in_scope(rows, rules)
-    assert sorted(r.table_name for r in kept.collect()) == ["T0", "T1", "T2", "T4"]
+RULES = "filter_type string, schema_pattern string, table_pattern string"
+
+
+def test_rule_frames_of_every_kind_agree_with_the_filter(spark):
+    """Patterns with and without literal starts and ends, in either place, and null ones."""
+    tables = ["SRC_A", "SRCXB", "old_SRC", "a%b", "a_b", "axb", "", "Z", "mid_x_mid", "x"]
+    names = [(s, t, "c", "t") for s in ("s", "src", "rc", "") for t in tables] + [(None, "Z", "c", "t"), ("s", None, "c", "t")]
+    rows = local_rows(spark, names, SNAPSHOT)
+    patterns = ["%", "%x%", "SRC%", "%SRC", "SRC_A", "_", "a\\%b", "a\\_b", "%\\_b", "", "%mid%", "_x_"]
+    for kind_of in (lambda i: "INCLUDE", lambda i: "EXCLUDE" if i % 2 else "include"):
+        for schema in ("%", "s%", "%c", "_c", "src"):
+            rules = [ScopeRule("INCLUDE", "%", "%")] * (kind_of(1) == "EXCLUDE")
+            rules += [ScopeRule(kind_of(i), schema, p) for i, p in enumerate(patterns[:: 2 if schema == "_c" else 1])]
+            frame = local_rows(spark, [(r.filter_type, r.schema_pattern, r.table_pattern) for r in rules]
+                               + [(None, "%", "%"), ("EXCLUDE", None, "%"), ("EXCLUDE", "%", None)], RULES)
+            listed = Counter(map(tuple, detect.in_scope(rows, rules).collect()))
+            assert Counter(map(tuple, detect.in_scope(rows, frame).collect())) == listed
+
+
+def test_null_rules_of_a_list_match_nothing(spark):
+    rows = snapshot(spark, [("T", "c", "t")])
+    odd = [ScopeRule(None, "%", "%"), ScopeRule("EXCLUDE", None, "%"), ScopeRule("EXCLUDE", "%", None)]
+    assert detect.in_scope(rows, [*odd, ScopeRule("INCLUDE", "%", "%")]).count() == 1
+    assert detect.in_scope(rows, odd).count() == 0
+
+
+def test_open_rules_meet_names_in_parts(spark):
+    """Rules without a literal are dealt out: no part sees all names."""
+    rows = spark.range(3000).select(F.lit("s").alias("table_schema"), F.format_string("t%05d", "id").alias("table_name"))
+    rules = spark.range(200).select(F.lit("INCLUDE").alias("filter_type"), F.lit("%").alias("schema_pattern"),
+                                    F.format_string("%%%02d%%", "id").alias("table_pattern"))
+    wanted = rows.where(" or ".join(f"table_name like '%{i:02d}%'" for i in range(200))).count()
+    assert detect.in_scope(rows, rules).count() == wanted
 
 
-@pytest.mark.parametrize("limit", [500, 1])
-def test_catalog_pattern(spark, monkeypatch, limit):
-    monkeypatch.setattr(detect, "_RULES_AS_FILTER", limit)
+def test_catalog_pattern(spark):
     rows = local_rows(spark, [("db1", "s", "T"), ("db2", "s", "T"), ("db2", "s", "U")],
                       "db string, table_schema string, table_name string")
     rules = [ScopeRule("INCLUDE", "%", "%", "db_"), ScopeRule("EXCLUDE", "s", "T", "%2")]

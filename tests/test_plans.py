@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from weftgraph.operators import decide, graph, profile
+from weftgraph.operators import decide, detect, graph, profile
+from weftgraph.plans import star_schema
 from weftgraph.plans.star_schema import part_supplier
 from weftgraph.sources.tables import Tables
 from weftgraph.specs import FkEdgeSpec, NodeSpec
@@ -17,7 +18,7 @@ def plan_of(df, kind="executedPlan"):
     return getattr(df._jdf.queryExecution(), kind)().toString()
 
 
-@pytest.mark.parametrize("key", sorted(set(contract.queries()) - {"stream_first_seen"}))
+@pytest.mark.parametrize("key", sorted(set(star_schema.queries()) - {"stream_first_seen"}))
 def test_no_python_and_no_cross_products(spark, key):
     plan = plan_of(contract.queries()[key](spark, FOLDER))
     assert not [name for name in FORBIDDEN if name in plan]
@@ -47,6 +48,18 @@ def test_scope_becomes_a_pushed_filter(spark):
     assert "StringStartsWith(source,src1)" in plan and "text:" not in plan
 
 
+def test_rule_frames_have_one_plan_of_any_length(spark):
+    """The same joins for three rules and for a hundred thousand, and none is a broadcast of all rules."""
+    rows = spark.range(10).select(F.lit("s").alias("table_schema"), F.col("id").cast("string").alias("table_name"))
+    shapes = []
+    for n in (3, 100_000):
+        rules = spark.range(n).select(F.lit("INCLUDE").alias("filter_type"), F.lit("s").alias("schema_pattern"),
+                                      F.concat(F.lit("a"), F.col("id").cast("string"), F.lit("%")).alias("table_pattern"))
+        plan = detect.in_scope(rows, rules)._jdf.queryExecution().optimizedPlan().toString()
+        shapes.append([line.strip(" :+-").split(" ")[0] for line in plan.splitlines()])
+    assert shapes[0] == shapes[1]
+
+
 def test_profiles_shuffle_combined_values_once(spark):
     t = Tables(spark, FOLDER)
     tables = t.all(["lineitem", "orders"])

@@ -24,8 +24,6 @@ NEW_TABLE = "NEW_TABLE"
 # The start of the first run, before which nothing is known.
 FIRST_WATERMARK = datetime(1970, 1, 1)
 
-_RULES_AS_FILTER = 500
-
 
 # ---------------------------------------------------------------- scope
 
@@ -50,7 +48,7 @@ def scope_predicate(
     def matches(kind: str) -> Column:
         hit = F.lit(False)
         for rule in rules:
-            if rule.filter_type.upper() != kind:
+            if (rule.filter_type or "").upper() != kind or None in (rule.schema_pattern, rule.table_pattern):
                 continue
             test = like(schema_col, rule.schema_pattern) & like(table_col, rule.table_pattern)
             if catalog_col is not None:
@@ -72,8 +70,9 @@ def in_scope(
     ``filter_type``, ``schema_pattern`` and ``table_pattern`` (and ``catalog_pattern`` when
     a catalog column is named).
 
-    A frame of up to 500 rules is read once and becomes a filter. A longer one stays a
-    frame and is joined with the distinct names; the surviving names select the rows.
+    A list becomes a filter that reaches the scan. A frame, however long, stays a frame: its
+    rules are joined with the distinct names, and the surviving names select the rows. Rules
+    with a null type or pattern match nothing.
     """
     if not isinstance(rules, DataFrame):
         return df.where(scope_predicate(rules, schema_col, table_col, catalog_col))
@@ -82,11 +81,6 @@ def in_scope(
     if catalog_col is not None:
         names["catalog_pattern"] = catalog_col
     rules = rules.select("filter_type", *names)
-    head = rules.take(_RULES_AS_FILTER + 1)
-    if len(head) <= _RULES_AS_FILTER:
-        listed = [ScopeRule(*row) for row in head]
-        return df.where(scope_predicate(listed, schema_col, table_col, catalog_col))
-
     columns = list(names.values())
     distinct = df.select(*columns).distinct()
     included = _names_matching(distinct, rules, "INCLUDE", names)
@@ -95,37 +89,62 @@ def in_scope(
     return df.join(kept, columns, "left_semi").select(*df.columns)
 
 
+# What a rule is looked up by: the first of these texts that is not empty. The literal start or
+# end of a pattern is one that every matching name has as well.
+_LITERALS = (
+    ("table_pattern", "start"),
+    ("table_pattern", "end"),
+    ("schema_pattern", "start"),
+    ("schema_pattern", "end"),
+)
+_OPEN_PARTS = 64
+
+
 def _names_matching(
     distinct: DataFrame, rules: DataFrame, kind: str, names: dict[str, str]
 ) -> DataFrame:
     """Names matched by some rule of the kind, by an equality join and no broadcast.
 
-    ``names`` maps pattern columns to name columns. A pattern can only match names that
-    begin with its literal start, so rules are keyed by the literal starts of their schema
-    and table patterns, and names by all their own beginnings.
+    Each rule has one key: which literal it is looked up by, and that literal. Each name offers
+    the keys it could be found by, but only for literal lengths that occur among the rules, so it
+    has at most as many keys as there are such lengths. Rules without any literal (``%``,
+    ``%x%``) are copied to ``_OPEN_PARTS`` parts and the names dealt out over them.
     """
-    keyed, wanted = distinct, rules.where(F.upper("filter_type") == kind)
-    like, same_start = F.lit(True), F.lit(True)
+    wanted = rules.where(F.upper("filter_type") == kind)
+    like = F.lit(True)
     for pattern, name in names.items():
-        keyed = keyed.where(F.col(name).isNotNull())
+        wanted = wanted.where(F.col(pattern).isNotNull())
+        distinct = distinct.where(F.col(name).isNotNull())
         like = like & F.expr(f"`{name}` LIKE {pattern}")
-    for pattern in ("schema_pattern", "table_pattern"):
-        name = names[pattern]
-        keyed = keyed.withColumn(f"_start_{pattern}", F.explode(_beginnings(name)))
-        wanted = wanted.withColumn(
-            f"_literal_{pattern}", F.regexp_extract(pattern, r"^[^%_\\]*", 0)
-        )
-        same_start = same_start & (F.col(f"_start_{pattern}") == F.col(f"_literal_{pattern}"))
-    hits = keyed.join(wanted, same_start & like, "left_semi")
+    literal = {
+        "start": lambda p: F.regexp_extract(p, r"^[^%_\\]*", 0),
+        "end": lambda p: F.regexp_extract(p, r"[^%_\\]*$", 0),
+    }
+    by, text = F.lit(len(_LITERALS)), F.lit("")
+    for number, (pattern, side) in reversed(list(enumerate(_LITERALS))):
+        own = literal[side](pattern)
+        by, text = F.when(own != "", number).otherwise(by), F.when(own != "", own).otherwise(text)
+    wanted = wanted.withColumn("_by", by).withColumn("_text", text)
+    part = F.explode(F.array(*(F.lit(str(i)) for i in range(_OPEN_PARTS))))
+    closed = wanted.where(F.col("_by") < len(_LITERALS))
+    spread = wanted.where(F.col("_by") == len(_LITERALS)).withColumn("_text", part)
+    wanted = closed.unionByName(spread)
+
+    size = F.length("_text").cast("int").alias("_size")
+    lengths = closed.agg(F.collect_set(F.struct(F.col("_by").alias("_at"), size))).scalar()
+    open_ = F.struct(F.lit(len(_LITERALS)).alias("_at"), F.lit(0).alias("_size"))
+    keyed = distinct.select(*names.values(), F.inline(F.concat(lengths, F.array(open_))))
+    key = F.pmod(F.xxhash64(*names.values()), F.lit(_OPEN_PARTS)).cast("string")
+    for number, (pattern, side) in enumerate(_LITERALS):
+        name, size = F.col(names[pattern]), F.col("_size")
+        cut = F.left(name, size) if side == "start" else F.right(name, size)
+        key = F.when(F.col("_at") == number, F.when(F.length(name) >= size, cut)).otherwise(key)
+    keyed = keyed.withColumn("_key", key)
+    same = (F.col("_at") == F.col("_by")) & (F.col("_key") == F.col("_text"))
+    hits = keyed.join(wanted, same & like, "left_semi")
     return hits.select(*names.values()).distinct()
 
 
-def _beginnings(name: str) -> Column:
-    """All beginnings of a text, the empty one and the whole included."""
-    sizes = F.sequence(F.lit(0), F.length(name))
-    return F.transform(sizes, lambda size: F.substring(F.col(name), F.lit(1), size))
-
-
 # ---------------------------------------------------------------- snapshots
 
 

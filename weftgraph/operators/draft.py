@@ -34,6 +34,8 @@ POPULATION_SCRIPT = "POPULATION_SCRIPT"
 DRAFT = "DRAFT"
 
 MANUAL = "MANUAL"
+NO_KEY = "table without a key"
+NO_REFERENCES = "table without two references"
 PROMPT_INTRO = "Describe this part of a graph model in one plain sentence."
 PROMPT_TASK = "Answer with the JSON field description; return no part of the draft."
 
@@ -102,8 +104,9 @@ def key_lists(pks: DataFrame) -> DataFrame:
 
 
 def reference_lists(fks: DataFrame, node_types: DataFrame) -> DataFrame:
-    """Per table, in name order: all reference columns, and those that point at a known
-    node type with that type. Both are bounded by the width of the table."""
+    """Per table: its references in the order of :func:`first_two_references`, and, by name, the
+    reference columns that point at a known node type with that type. Both are bounded by the
+    width of the table."""
     targets = node_types.select(
         F.col("node_type").alias("to_type"), F.col("source_object").alias("_ref")
     )
@@ -113,7 +116,9 @@ def reference_lists(fks: DataFrame, node_types: DataFrame) -> DataFrame:
         named.join(targets, "_ref", "left")
         .groupBy(*_TABLE)
         .agg(
-            F.array_sort(F.collect_set("column_name")).alias("fk_columns"),
+            F.array_sort(
+                F.collect_set(F.struct("column_name", "ref_table_schema", "ref_table_name"))
+            ).alias("references"),
             F.array_sort(F.collect_set(tied)).alias("ties"),
         )
     )
@@ -129,9 +134,10 @@ def plan_changes(
     """One row per artifact of every pending proposal.
 
     ATTRIBUTE: a dictionary entry naming its node type, if known. EDGE_TYPE: registration,
-    view and load, from the reference column or from the first two reference columns of a
-    junction. NODE_TYPE: the same three, plus three per reference to a known type, so that
-    the new node stays connected. A skipped proposal gets one entry with its reason.
+    view and load, from the reference column or from the first two references of a junction,
+    ranked as for its end points. NODE_TYPE: the same three, plus three per reference to a known type, so that
+    the new node stays connected. A skipped proposal gets one entry with its reason; so does
+    one whose load would need the key, or the two references, of a table that has none.
 
     The proposals are read once: keys, references and owner are joined to them, and the
     artifacts of each are listed in its row and exploded.
@@ -150,11 +156,17 @@ def plan_changes(
     edge = {
         "from_type": F.col("edge_from"),
         "to_type": F.col("edge_to"),
-        "src_column": F.when(~column_level, F.get("fk_columns", F.lit(0))),
+        "src_column": F.when(~column_level, F.get("references", F.lit(0))["column_name"]),
         "dst_column": F.when(column_level, F.col("column_name")).otherwise(
-            F.get("fk_columns", F.lit(1))
+            F.get("references", F.lit(1))["column_name"]
         ),
     }
+    by_key = (kind == NODE_TYPE) | ((kind == EDGE_TYPE) & column_level)
+    tied = (kind == EDGE_TYPE) & ~column_level
+    lacking = F.when(by_key & F.col("key_columns").isNull(), NO_KEY).when(
+        tied & F.get("references", F.lit(1)).isNull(), NO_REFERENCES
+    )
+    rows = rows.withColumn("skip_reason", F.coalesce("skip_reason", lacking))
 
     def bundled(tie: Column) -> Column:
         label = F.concat(name, F.lit("_"), without_key_suffix(tie["column_name"], suffix))

@@ -546,42 +546,85 @@ def _shown(name: str) -> str:
 
 _PLAN = f"""
 WITH {_WORK},
-r AS (
-  SELECT w.*, sch || '.' || tab AS src,
+placed AS (
+  SELECT w.* EXCLUDE skip_reason, skip_reason AS own_reason, sch || '.' || tab AS src,
     CASE WHEN sch = '5-LOW' THEN 'a_id,k' || c_nationkey END AS keys,
     CASE WHEN sch = '5-LOW' AND o_custkey % 2 = 0 THEN 'C' || o_custkey END AS owner,
     sch = '5-LOW' AS has_refs,
     CASE WHEN sch = '5-LOW' AND c_nationkey < 20 THEN c_nationkey END AS nation
-  FROM reasoned w JOIN customer ON c_custkey = o_custkey)
+  FROM reasoned w JOIN customer ON c_custkey = o_custkey),
+r AS (
+  SELECT *, CASE
+    WHEN own_reason IS NOT NULL THEN own_reason
+    WHEN keys IS NULL AND (kind = 'NODE_TYPE' OR kind = 'EDGE_TYPE' AND col IS NOT NULL) THEN 'table without a key'
+    WHEN kind = 'EDGE_TYPE' AND col IS NULL AND NOT has_refs THEN 'table without two references'
+    END AS skip_reason
+  FROM placed)
 SELECT proposal_id, 'DICTIONARY_ENTRY' AS artifact_type, 'MANUAL' AS object_kind, name AS type_name,
   {_shown('name')} AS display_name, NULL AS owner_type, NULL AS from_type, NULL AS to_type,
-  keys AS key_columns, NULL AS src_column, NULL AS dst_column, src AS source_object
+  keys AS key_columns, NULL AS src_column, NULL AS dst_column, src AS source_object, col AS source_column,
+  skip_reason
 FROM r WHERE skip_reason IS NOT NULL
 UNION ALL
 SELECT proposal_id, 'DICTIONARY_ENTRY', 'ATTRIBUTE', name, {_shown('name')}, owner, NULL, NULL, keys,
-  NULL, NULL, src
+  NULL, NULL, src, col, NULL
 FROM r WHERE skip_reason IS NULL AND kind = 'ATTRIBUTE'
 UNION ALL
 SELECT proposal_id, artifact_type, 'EDGE_TYPE', name, {_shown('name')}, NULL, edge_from, edge_to, keys,
-  CASE WHEN col IS NULL AND has_refs THEN 'market_CODE' END,
-  CASE WHEN col IS NOT NULL THEN col WHEN has_refs THEN 'nation_ID' END, src
+  CASE WHEN col IS NULL THEN 'market_CODE' END, CASE WHEN col IS NOT NULL THEN col ELSE 'nation_ID' END, src, col, NULL
 FROM r, {_EDGE_PARTS} WHERE skip_reason IS NULL AND kind = 'EDGE_TYPE'
 UNION ALL
 SELECT proposal_id, artifact_type, 'NODE_TYPE', name, {_shown('name')}, NULL, NULL, NULL, keys,
-  NULL, NULL, src
+  NULL, NULL, src, col, NULL
 FROM r, {_NODE_PARTS} WHERE skip_reason IS NULL AND kind = 'NODE_TYPE'
 UNION ALL
 SELECT proposal_id, artifact_type, 'EDGE_TYPE', name || '_nation', {_shown("(name || '_nation')")},
-  NULL, name, 'NATION_' || nation, keys, NULL, 'nation_ID', src
+  NULL, name, 'NATION_' || nation, keys, NULL, 'nation_ID', src, col, NULL
 FROM r, {_EDGE_PARTS} WHERE skip_reason IS NULL AND kind = 'NODE_TYPE' AND nation IS NOT NULL
 """
-_EDGE_DRAFT = f"""
-SELECT proposal_id, type_name, sha256(concat_ws(chr(10), '-- draft', '',
-  'INSERT INTO edge_types',
-  '  (edge_type, display_name, description, from_node_type, to_node_type, source_object)',
-  'VALUES (''' || type_name || ''', ''' || display_name || ''', ''{DESCRIPTION_SLOT}'', ''' ||
-  from_type || ''', ''' || to_type || ''', ''' || source_object || ''');')) AS text_hash
-FROM ({_PLAN}) WHERE artifact_type = 'EDGE_TYPE_DDL'
+_ID_TEXT = (
+    "list_aggregate(list_transform(string_split(key_columns, ','), lambda c: 'cast(' || c || ' as string)'), "
+    "'string_agg', ' || ''_'' || ')"
+)
+_DRAFT_TEXT = f"""
+SELECT proposal_id, artifact_type, type_name, sha256('-- draft' || chr(10) || chr(10) || CASE
+  WHEN object_kind = 'MANUAL' THEN '-- By hand: ' || skip_reason
+  WHEN artifact_type = 'DICTIONARY_ENTRY' THEN concat_ws(chr(10),
+    '-- Attribute ' || type_name || ' of ' || coalesce(owner_type, '<missing>'),
+    '-- read from ' || source_object || '.' || source_column || '; kept in props, no load needed',
+    '-- {DESCRIPTION_SLOT}')
+  WHEN artifact_type = 'NODE_TYPE_DDL' THEN concat_ws(chr(10),
+    'INSERT INTO node_types (node_type, display_name, description, source_object)',
+    'VALUES (''' || type_name || ''', ''' || display_name || ''', ''{DESCRIPTION_SLOT}'', ''' || source_object || ''');')
+  WHEN artifact_type = 'EDGE_TYPE_DDL' THEN concat_ws(chr(10),
+    'INSERT INTO edge_types',
+    '  (edge_type, display_name, description, from_node_type, to_node_type, source_object)',
+    'VALUES (''' || type_name || ''', ''' || display_name || ''', ''{DESCRIPTION_SLOT}'', ''' ||
+    from_type || ''', ''' || to_type || ''', ''' || source_object || ''');')
+  WHEN artifact_type = 'VIEW_DDL' THEN
+    'CREATE OR REPLACE VIEW v_' || lower(type_name) || ' COMMENT ''' ||
+    CASE object_kind WHEN 'NODE_TYPE' THEN 'Nodes' ELSE 'Edges' END || ' of type ' || type_name || '.'' AS' || chr(10) ||
+    CASE object_kind WHEN 'NODE_TYPE' THEN 'SELECT node_sk, node_id, props FROM nodes WHERE node_type = '''
+      ELSE 'SELECT edge_sk, src_id, dst_id, props FROM edges WHERE edge_type = ''' END || type_name || ''';'
+  WHEN object_kind = 'NODE_TYPE' THEN concat_ws(chr(10),
+    'INSERT INTO nodes (node_id, node_type, props, source_object)',
+    'SELECT ' || {_ID_TEXT} || ', ''' || type_name || ''',',
+    '  to_json(struct(* EXCEPT (' || replace(key_columns, ',', ', ') || '))), ''' || source_object || '''',
+    'FROM ' || source_object || ';')
+  WHEN src_column IS NULL THEN concat_ws(chr(10),
+    'INSERT INTO edges (edge_type, src_type, src_id, dst_type, dst_id, source_object)',
+    'SELECT ''' || type_name || ''', ''' || from_type || ''', ' || {_ID_TEXT} || ',',
+    '  ''' || to_type || ''', cast(' || dst_column || ' as string), ''' || source_object || '''',
+    'FROM ' || source_object || ' WHERE ' || dst_column || ' IS NOT NULL;')
+  ELSE concat_ws(chr(10),
+    '-- Check that ' || src_column || ' names a ' || from_type || ' and ' || dst_column || ' a ' || to_type || '.',
+    'INSERT INTO edges (edge_type, src_type, src_id, dst_type, dst_id, props, source_object)',
+    'SELECT ''' || type_name || ''', ''' || from_type || ''', cast(' || src_column || ' as string),',
+    '  ''' || to_type || ''', cast(' || dst_column || ' as string),',
+    '  to_json(struct(* EXCEPT (' || src_column || ', ' || dst_column || '))), ''' || source_object || '''',
+    'FROM ' || source_object || ';')
+  END) AS text_hash
+FROM ({_PLAN})
 """
 _SENTENCE = (
     "(CASE WHEN o_orderkey % 2 = 0 THEN 'Nodes' ELSE 'Edges' END) || ' of type T' || o_orderkey || '.'"
@@ -777,7 +820,7 @@ ORDER BY decided_ts DESC NULLS LAST, proposal_id LIMIT 10""",
 WITH {_WORK}
 SELECT proposal_id, kind AS final_object_kind, col AS column_name, skip_reason FROM reasoned""",
     "plan_changes": _PLAN,
-    "draft_text": _EDGE_DRAFT,
+    "draft_text": _DRAFT_TEXT,
     "attach_descriptions": _ATTACH,
     "artifact_listing": """
 SELECT o_custkey::VARCHAR AS proposal_id, c_name AS final_name, o_orderkey::VARCHAR AS artifact_id,

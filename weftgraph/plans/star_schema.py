@@ -985,13 +985,15 @@ def plan_changes(t: Tables) -> DataFrame:
         "src_column",
         "dst_column",
         "source_object",
+        "source_column",
+        "skip_reason",
     )
 
 
 def draft_text(t: Tables) -> DataFrame:
     drafts = draft.with_draft_text(_plan(t), "-- draft")
-    return drafts.where(F.col("artifact_type") == draft.EDGE_TYPE_DDL).select(
-        "proposal_id", "type_name", F.sha2("template_sql", 256).alias("text_hash")
+    return drafts.select(
+        "proposal_id", "artifact_type", "type_name", F.sha2("template_sql", 256).alias("text_hash")
     )
 
 
