@@ -95,6 +95,17 @@ def test_null_names_are_out_of_scope(spark):
     assert detect.in_scope(rows, rules).count() == 1
 
 
+def test_diff_with_null_key_parts(spark):
+    was = local_rows(spark, [("s", "T", None, "t"), (None, None, None, "t"), ("s", "U", None, "t")], SNAPSHOT)
+    now = local_rows(spark, [("s", "T", None, "u"), (None, None, None, "t"), (None, "V", "c", "t")], SNAPSHOT)
+    keys = [*GROUP, "column_name"]
+    assert detect.snapshot_diff(was, was, keys, ["data_type"]).count() == 0
+    rows = {tuple(r) for r in detect.snapshot_diff(now, was, keys, ["data_type"]).collect()}
+    assert rows == {
+        ("s", "T", None, "u", "TYPE_CHANGED"), (None, "V", "c", "t", "NEW_COLUMN"), ("s", "U", None, None, "DROPPED_COLUMN")
+    }
+
+
 def test_diff_of_a_snapshot_with_itself_is_empty(spark):
     rows = snapshot(spark, [("A", "x", "int"), ("A", "y", None)])
     assert detect.snapshot_diff(rows, rows, [*GROUP, "column_name"], ["data_type"]).count() == 0

@@ -90,3 +90,20 @@ def test_every_edge_end_exists(spark):
     edges = graph.build_fk_edges(t["orders"], spec, nodes, ["dst"])
     assert 0 < edges.count() == t["orders"].where("o_custkey % 2 = 0").count()
     assert edges.where(F.col("dst_id").cast("long") % 2 != 0).count() == 0
+
+
+def test_composite_keys_with_separators_stay_apart(spark):
+    """One shown id, two nodes; edges built from the key columns name the right one."""
+    rows = local_rows(spark, [("a_b", "c", 1), ("a", "b_c", 2), ("a\\", "b", 3)], "k string, l string, r long")
+    nodes = {r.props["r"]: (r.node_id, r.node_sk) for r in graph.build_nodes(rows, NodeSpec("N", "s.n", ("k", "l"))).collect()}
+    assert nodes["1"][0] == nodes["2"][0] == "a_b_c" and len({sk for _, sk in nodes.values()}) == 3
+    edges = graph.build_fk_edges(rows, FkEdgeSpec("E", "s.n", "N", ("k", "l"), "r", "R")).collect()
+    assert {e.dst_id: e.src_sk for e in edges} == {r: sk for r, (_, sk) in nodes.items()}
+
+
+def test_number_text_has_no_exponent(spark):
+    values = [1e7, 123456789.25, -2.5e10, 1e-5, 0.0, 12.5, 1e17, 1e300, None]
+    rows = local_rows(spark, [(i, v) for i, v in enumerate(values)], "i long, v double")
+    props = {r.node_id: r.props for r in graph.build_nodes(rows, NodeSpec("N", "s.n", ("i",))).collect()}
+    texts = [props[str(i)].get("v") for i in range(len(values))]
+    assert texts == ["10000000.0", "123456789.25", "-25000000000.0", "0.00001", "0.0", "12.5", "100000000000000000.0", "1.0E300", None]

@@ -31,8 +31,26 @@ def natural_id(key_cols: Sequence[str]) -> Column:
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
+def key_text(key_cols: Sequence[str]) -> Column:
+    """What a node's surrogate key is made of: its id, but with the parts of a composite key told
+    apart. A separator inside a part is escaped, so ('a_b', 'c') and ('a', 'b_c') differ although
+    both show the id ``a_b_c``. Null when a part is null.
+    """
+    if len(key_cols) == 1:
+        return natural_id(key_cols)
+    parts: list[Column] = []
+    for name in sorted(key_cols):
+        if parts:
+            parts.append(F.lit(ID_SEPARATOR))
+        text = F.col(f"`{name}`").cast("string")
+        for mark in ("\\", ID_SEPARATOR):
+            text = F.replace(text, F.lit(mark), F.lit("\\" + mark))
+        parts.append(text)
+    return F.concat(*parts)
+
+
 def node_key(node_type: Column, node_id: Column) -> Column:
-    """Surrogate key of a node; null when the id is null."""
+    """Surrogate key of a node, from its type and :func:`key_text`; null when that is null."""
     return F.sha2(F.concat(node_type, F.lit(TYPE_SEPARATOR), node_id), 256)
 
 
@@ -53,10 +71,24 @@ def content_key(schema: Column, table: Column, column: Column, *more: Column) ->
     return F.sha2(base, 256)
 
 
+def plain_text(value: Column, data_type: T.DataType) -> Column:
+    """A scalar as text that does not depend on the engine: numbers without an exponent.
+
+    Very large and very small numbers (from 1e18, below 1e-15) keep theirs.
+    """
+    text = value.cast("string")
+    if not isinstance(data_type, (T.DoubleType, T.FloatType)):
+        return text
+    exact = text.cast("decimal(38,18)").cast("string")
+    plain = F.regexp_replace(F.regexp_replace(exact, "0+$", ""), r"\.$", ".0")
+    fits = F.abs(value).between(1e-15, 1e18)
+    return F.when(F.contains(text, F.lit("E")) & fits, plain).otherwise(text)
+
+
 def props_of(columns: Iterable[tuple[str, T.DataType]]) -> Column:
     """A ``map<string,string>`` of the given columns without their null values.
 
-    Scalars are cast to text; nested values are written as JSON.
+    Scalars become text as in :func:`plain_text`; nested values are written as JSON.
     """
     entries: list[Column] = []
     all_set = F.lit(True)
@@ -64,7 +96,7 @@ def props_of(columns: Iterable[tuple[str, T.DataType]]) -> Column:
         value = F.col(f"`{name}`")
         nested = isinstance(data_type, (T.ArrayType, T.MapType, T.StructType))
         entries.append(F.lit(name))
-        entries.append(F.to_json(value) if nested else value.cast("string"))
+        entries.append(F.to_json(value) if nested else plain_text(value, data_type))
         all_set = all_set & value.isNotNull()
     if not entries:
         return no_props()

@@ -157,6 +157,7 @@ def snapshot_diff(
 ) -> DataFrame:
     """Keys that are new, gone or hold other values; the values are the current ones.
 
+    A null key part is a value like any other, so a snapshot never differs from itself.
     Both sides are hashed on the full key, so the members of one huge group still spread
     over all tasks. Restrict both sides to the scope first.
     """
@@ -164,8 +165,11 @@ def snapshot_diff(
     new, dropped, changed = labels
     now = current.select(*keys, *values, F.lit(True).alias("_now"))
     was = previous.select(
-        *keys, *(F.col(v).alias(f"_was_{v}") for v in values), F.lit(True).alias("_was")
+        *(F.col(c).alias(f"_was_{c}") for c in (*keys, *values)), F.lit(True).alias("_was")
     )
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_was_{key}"))
     differs = F.lit(False)
     for value in values:
         differs = differs | ~F.col(value).eqNullSafe(F.col(f"_was_{value}"))
@@ -175,10 +179,14 @@ def snapshot_diff(
         .when(differs, changed)
     )
     return (
-        now.join(was, keys, "full_outer")
+        now.join(was, same, "full_outer")
         .withColumn("change_type", change)
         .where(F.col("change_type").isNotNull())
-        .select(*keys, *values, "change_type")
+        .select(
+            *(F.when(F.col("_now"), F.col(k)).otherwise(F.col(f"_was_{k}")).alias(k) for k in keys),
+            *values,
+            "change_type",
+        )
     )
 
 

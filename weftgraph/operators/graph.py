@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from weftgraph.functions.keys import (
     TYPE_SEPARATOR,
     edge_key,
+    key_text,
     natural_id,
     no_props,
     node_key,
@@ -56,7 +57,7 @@ def build_nodes(df: DataFrame, spec: NodeSpec, load_ts: Column | None = None) ->
     props = props_of((f.name, f.dataType) for f in df.schema.fields if f.name not in keys)
     node_id = natural_id(spec.key_cols)
     return df.where(node_id.isNotNull()).select(
-        node_key(F.lit(spec.node_type), node_id).alias("node_sk"),
+        node_key(F.lit(spec.node_type), key_text(spec.key_cols)).alias("node_sk"),
         node_id.alias("node_id"),
         F.lit(spec.node_type).alias("node_type"),
         props.alias("props"),
@@ -74,6 +75,9 @@ def build_fk_edges(
 ) -> DataFrame:
     """One edge per source row with a non-null reference.
 
+    The source's surrogate key is made from its key columns; the target is known by its id alone,
+    so the reference to a composite key has to hold that key's text (``key_text``).
+
     ``check`` names the ends that must exist in ``nodes`` (the meaning of an inner join
     with the node table). An end known to exist needs no check and costs no shuffle: the
     source end when ``df`` is the very table the nodes were built from, the target end
@@ -82,6 +86,7 @@ def build_fk_edges(
     _require(df, (*spec.key_cols, spec.fk_col), spec.source)
     ends = df.select(
         natural_id(spec.key_cols).alias("src_id"),
+        key_text(spec.key_cols).alias("_src_key"),
         F.col(f"`{spec.fk_col}`").cast("string").alias("dst_id"),
         no_props().alias("props"),
     )
@@ -172,7 +177,7 @@ def _edges_from_ends(
             kept = known_nodes(kept, nodes, from_type, "src_id")
         if "dst" in check:
             kept = known_nodes(kept, nodes, to_type, "dst_id")
-    src_sk = node_key(F.lit(from_type), F.col("src_id"))
+    src_sk = node_key(F.lit(from_type), F.col("_src_key" if "_src_key" in ends.columns else "src_id"))
     dst_sk = node_key(F.lit(to_type), F.col("dst_id"))
     return kept.select(
         edge_key(F.lit(edge_type), src_sk, dst_sk).alias("edge_sk"),

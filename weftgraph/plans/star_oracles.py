@@ -34,10 +34,6 @@ _EDGES = [
 
 
 def _text(column: str) -> str:
-    if column.endswith(("acctbal", "price")):
-        return f"{column}::DECIMAL(18,2)::VARCHAR"
-    if column.endswith("date"):
-        return f"{column}::DATE::VARCHAR"
     return f"{column}::VARCHAR"
 
 

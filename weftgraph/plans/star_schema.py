@@ -89,16 +89,10 @@ def _source(spec: NodeSpec | FkEdgeSpec) -> str:
     return spec.source.split(".")[1]
 
 
-def _plain_text(df: DataFrame) -> DataFrame:
-    """Columns whose text every engine writes alike: doubles as decimals, times as dates."""
-    as_type = {"double": "decimal(18,2)", "timestamp_ntz": "date", "timestamp": "date"}
-    return df.select(*(F.col(c).cast(as_type.get(t, t)).alias(c) for c, t in df.dtypes))
-
-
 def _nodes(t: Tables, types: list[NodeSpec] = NODES) -> DataFrame:
     t.all(_source(s) for s in types)
     return graph.union_all(
-        graph.build_nodes(_plain_text(t[_source(s)]), s) for s in types
+        graph.build_nodes(t[_source(s)], s) for s in types
     )
 
 
