@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,7 +25,7 @@ from weftgraph.llm import blocks as B
 from weftgraph.session import cut_lineage
 
 END_ID = 0
-_KNOWN_WORDS = 400_000
+_KNOWN_WORDS = 700_000
 
 
 @dataclass(frozen=True)
@@ -41,31 +42,71 @@ class Capacity:
         return np.array([self.tokens, self.documents or self.tokens, self.cost or self.tokens**2], np.float64)
 
 
-class _Words(dict):
+class _Words:
     """Ids of words as little-endian bytes.
 
-    The tokenizer splits at white space before anything else, so a text's ids are those of its
-    words one after the other. Each worker keeps what it has met, up to a bound.
+    The tokenizer lowers case and splits at white space and between a letter and a stop or comma
+    before anything else, so a text's ids are those of its lower-case words one after the other, and
+    a word's are those of its letters and of the marks behind. Each worker keeps the words it has met
+    in two generations: a full one becomes the older, what is met again moves to the younger.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__()
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-
-    def ids(self, text: bytes) -> bytes:
-        words = text.split()
-        new = list(set(words).difference(self))
-        if new:
-            if len(self) + len(new) > _KNOWN_WORDS:
-                self.clear()
-                new = list(set(words))
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            self.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in found)))
-        return b"".join(map(self.__getitem__, words))
+        names = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(names.values()) + 1, bool)
+        self.closes[[i for name, i in names.items() if name.endswith("</w>")]] = True
+
+    def ids(self, texts: list[bytes]) -> Iterator[bytes]:
+        """The ids of each text; the new words of all of them are encoded together."""
+        words = [text.lower().split() for text in texts]
+        met = set().union(*words)
+        if len(self.young) + len(met) > _KNOWN_WORDS:
+            self.young, self.old = {}, self.young
+        self._learn(met)
+        known = self.young
+        for own in words:
+            yield b"".join(map(known.__getitem__, own))
+
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        """The ids of each word. As one text if every word ends in exactly one closing id."""
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) == len(words) and all(map(str.isalpha, words)):
+            whole, cuts = ids.tobytes(), (4 * ends).tolist()
+            return [whole[a:b] for a, b in zip([0, *cuts], cuts)]
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _learn(self, met: set[bytes]) -> None:
+        young, old = self.young, self.old
+        whole, split = set(), []
+        for word in met:
+            if word in young:
+                continue
+            if word in old:
+                young[word] = old[word]
+                continue
+            core = word.rstrip(b".,!?;:")
+            if len(core) < len(word) and core[-1:].isalpha():
+                split.append((word, core, word[len(core) :]))
+                whole |= {core, word[len(core) :]}
+            else:
+                whole.add(word)
+        # Plain words first, so that whole parts take the quick way.
+        texts = [(w.decode("utf-8", "replace"), w) for w in whole if w not in young]
+        texts.sort(key=lambda pair: not pair[0].isalpha())
+        for at in range(0, len(texts), 1000):
+            part = texts[at : at + 1000]
+            young.update(zip((w for _, w in part), self._encoded([s for s, _ in part])))
+        for word, core, marks in split:
+            young[word] = young[core] + young[marks]
 
 
 _words: dict[str, _Words] = {}
@@ -85,11 +126,12 @@ def tokenize(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             doc_ids = B.column(batch, "doc_id")
-            for first, _, data, offsets in B.blocks(B.column(batch, "text")):
+            for first, _, data, offsets in B.blocks(B.column(batch, "text"), 1 << 20):
                 whole = data.tobytes()
                 row, piece, start, length, crc, ids = [], [], [], [], [], []
-                for r, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
-                    encoded = words.ids(whole[a:b]) + end
+                texts = [whole[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+                for r, encoded in enumerate(words.ids(texts)):
+                    encoded += end
                     for k, at in enumerate(range(0, len(encoded), 4 * tokens)):
                         part = encoded[at : at + 4 * tokens]
                         row.append(first + r)
