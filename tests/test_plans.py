@@ -43,6 +43,12 @@ def test_type_filter_prunes_whole_branches(spark):
     assert "part.parquet" in plan and "customer.parquet" not in plan
 
 
+def test_edge_view_by_key_reads_two_node_tables(spark):
+    plan = plan_of(contract.queries()["kg_edge_view_by_key"](spark, FOLDER))
+    read = {name for name in ("region", "nation", "customer", "supplier", "part", "orders") if f"{name}.parquet" in plan}
+    assert read == {"nation", "customer"}
+
+
 def test_scope_becomes_a_pushed_filter(spark):
     plan = plan_of(contract.queries()["scope_filter"](spark, FOLDER))
     assert "StringStartsWith(source,src1)" in plan and "text:" not in plan

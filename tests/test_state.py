@@ -49,6 +49,21 @@ def test_first_sightings_across_runs_and_a_repeated_batch(spark, tmp_path):
     assert spark.read.parquet(out).groupBy("kind", "key").count().where("count > 1").count() == 0
 
 
+def test_known_keys_are_compacted(spark, tmp_path):
+    """A batch reads the latest table and the few batches after it, and forgets old keys if asked."""
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    for day in range(1, 8):
+        events(spark, [(f"2024-01-0{day}", "a", "x"), (f"2024-01-0{day}", "b", str(day))]).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 1).parquet(source)
+    track_first_seen(stream, ["kind", "key"], "ts", out, state, 2, "3 days").awaitTermination()
+    rows = spark.read.parquet(out).groupBy("kind", "key").count().collect()
+    # Key (a, x) of day 1 is dropped from the table of batch 4 (day 5) and is new again once.
+    assert {(r.kind, r.key): r["count"] for r in rows} == {("a", "x"): 2, **{("b", str(d)): 1 for d in range(1, 8)}}
+    read = {f.split("/out")[1].rsplit("/", 1)[0] for f in known_keys(spark, out, 6, 2).inputFiles()}
+    assert read == {".known/4", "/batch=5"}
+    assert known_keys(spark, out, 7, 2).where("key = '1'").count() == 0
+
+
 def test_first_seen_drops_repeats(spark, tmp_path):
     source = str(tmp_path / "in")
     events(spark, [("2024-01-01", "a", "x"), ("2024-01-01", "a", "x"), ("2024-01-01", "b", "x")]).write.parquet(source)

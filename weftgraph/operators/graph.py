@@ -197,11 +197,18 @@ def _edges_from_ends(
 # ---------------------------------------------------------------- reading
 
 
-def with_endpoints(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Add the natural ids to edges that hold surrogate keys only; orphans drop out."""
+def with_endpoints(
+    edges: DataFrame, nodes: DataFrame, ends: tuple[str, str] | None = None
+) -> DataFrame:
+    """Add the natural ids to edges that hold surrogate keys only; orphans drop out.
+
+    ``ends`` names the two node types, where the edges are of one edge type: only nodes of these
+    types are then read and shuffled.
+    """
     bare = edges.drop("src_type", "src_id", "dst_type", "dst_id")
-    for end in BOTH_ENDS:
-        ids = nodes.select(
+    for number, end in enumerate(BOTH_ENDS):
+        typed = nodes if ends is None else nodes.where(F.col("node_type") == ends[number])
+        ids = typed.select(
             F.col("node_sk").alias(f"{end}_sk"),
             F.col("node_type").alias(f"{end}_type"),
             F.col("node_id").alias(f"{end}_id"),
@@ -257,15 +264,16 @@ def edge_view(
     src_name: str = "src_id",
     dst_name: str = "dst_id",
     nodes: DataFrame | None = None,
+    ends: tuple[str, str] | None = None,
 ) -> DataFrame:
     """The edges of one type with both natural ids under business names.
 
     Passing ``nodes`` joins both ends again, for edges that were stored without natural
-    ids or without an existence check.
+    ids or without an existence check; ``ends`` is the edge type's two node types.
     """
     typed = edges.where(F.col("edge_type") == edge_type)
     if nodes is not None:
-        typed = with_endpoints(typed, nodes)
+        typed = with_endpoints(typed, nodes, ends)
     return typed.select(
         "edge_sk",
         F.col("src_id").alias(src_name),

@@ -830,5 +830,9 @@ SELECT o_custkey::VARCHAR AS proposal_id, c_name AS final_name, c_mktsegment AS
   'say "' || o_orderstatus || '"' || chr(10) AS template_sql,
   CASE WHEN o_orderkey % 2 = 0 THEN 'refined' END AS ai_refined_sql
 FROM orders JOIN customer ON c_custkey = o_custkey""",
-    "stream_first_seen": "SELECT DISTINCT event_type, unnest(json_keys(props)) AS json_key FROM events",
+    "stream_first_seen": """
+SELECT event_type, json_key, user_id, min(ts) AS first_seen, count(*) AS rows_in_batch, batch::INTEGER AS batch
+FROM (SELECT *, min(batch) OVER (PARTITION BY event_type, json_key, user_id) AS first_batch
+      FROM (SELECT event_type, user_id, ts, event_id % 4 AS batch, unnest(json_keys(props)) AS json_key FROM events))
+WHERE batch = first_batch GROUP BY event_type, json_key, user_id, batch""",
 }

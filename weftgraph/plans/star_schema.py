@@ -222,7 +222,7 @@ def kg_edge_view_by_key(t: Tables) -> DataFrame:
     """The same view from edges that hold surrogate keys only."""
     stored = _fk_edges(t).drop("src_type", "src_id", "dst_type", "dst_id")
     return graph.edge_view(
-        stored, "CUSTOMER_HAS_NATION", "customer_id", "nation_id", _nodes(t)
+        stored, "CUSTOMER_HAS_NATION", "customer_id", "nation_id", _nodes(t), ("CUSTOMER", "NATION")
     ).select("customer_id", "nation_id")
 
 
@@ -1162,19 +1162,24 @@ def refresh_cycle(t: Tables) -> DataFrame:
 
 
 def stream_first_seen(t: Tables) -> DataFrame:
-    """Event files read as a stream up to their end; the (event type, JSON key) pairs."""
-    path = f"{t.folder}/events.parque[t]"
-    schema = t["events"].schema
-    stream = t.spark.readStream.schema(schema).parquet(path)
-    pairs = stream.select(
+    """Events in four files, each a micro-batch over the whole range of times; so the later files
+    hold late rows. First sightings of (event type, JSON key, user), with time and rows."""
+    work = new_dir(t.spark, "first-seen")
+    events = t["events"]
+    for part in range(4):
+        rows = events.where(_remainder("event_id", 4) == part)
+        rows.repartition(1).write.mode("append").parquet(f"{work}/in")
+    stream = t.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/in")
+    keyed = stream.select(
         F.col("ts").cast("timestamp").alias("ts"),
         "event_type",
+        "user_id",
         F.explode(F.json_object_keys("props")).alias("json_key"),
     )
-    work = new_dir(t.spark, "first-seen")
-    run = track_first_seen(pairs, ["event_type", "json_key"], "ts", f"{work}/out", f"{work}/state")
-    run.awaitTermination()
-    return t.spark.read.parquet(f"{work}/out").select("event_type", "json_key")
+    keys = ["event_type", "json_key", "user_id"]
+    track_first_seen(keyed, keys, "ts", f"{work}/out", f"{work}/state", compact_every=2).awaitTermination()
+    seen = t.spark.read.parquet(f"{work}/out")
+    return seen.select(*keys, F.col("first_seen").cast("timestamp_ntz").alias("first_seen"), "rows_in_batch", "batch")
 
 
 QUERIES: dict[str, Query] = {
