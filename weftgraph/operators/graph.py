@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping, Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -300,18 +301,44 @@ def register_views(
 # ---------------------------------------------------------------- types and checks
 
 
-def node_type_rows(specs: Sequence[NodeSpec], spark) -> DataFrame:
-    """Registry rows (node_type, source_object) of the given specs."""
-    rows = [(s.node_type, s.source) for s in specs]
-    return local_rows(spark, rows, "node_type string, source_object string")
+def _registry_columns(
+    name: str, descriptions: Mapping[str, str] | None, created: datetime | None
+) -> tuple[str, str | None, datetime]:
+    shown = " ".join(word.capitalize() for word in name.split("_"))
+    return shown, (descriptions or {}).get(name), created or datetime.now()
 
 
-def edge_type_rows(specs: Sequence[FkEdgeSpec | JunctionEdgeSpec], spark) -> DataFrame:
-    """Registry rows (edge_type, from_node_type, to_node_type, source_object)."""
+def node_type_rows(
+    specs: Sequence[NodeSpec],
+    spark,
+    descriptions: Mapping[str, str] | None = None,
+    created: datetime | None = None,
+) -> DataFrame:
+    """Registry rows (node_type, display_name, description, created_ts, source_object) of the specs."""
+    rows = [(s.node_type, *_registry_columns(s.node_type, descriptions, created), s.source) for s in specs]
+    return local_rows(
+        spark,
+        rows,
+        "node_type string, display_name string, description string, created_ts timestamp_ntz, source_object string",
+    )
+
+
+def edge_type_rows(
+    specs: Sequence[FkEdgeSpec | JunctionEdgeSpec],
+    spark,
+    descriptions: Mapping[str, str] | None = None,
+    created: datetime | None = None,
+) -> DataFrame:
+    """Registry rows (edge_type, display_name, description, created_ts, from_node_type, to_node_type,
+    source_object) of the specs."""
     return local_rows(
         spark,
-        [(s.edge_type, s.from_type, s.to_type, s.source) for s in specs],
-        "edge_type string, from_node_type string, to_node_type string, source_object string",
+        [
+            (s.edge_type, *_registry_columns(s.edge_type, descriptions, created), s.from_type, s.to_type, s.source)
+            for s in specs
+        ],
+        "edge_type string, display_name string, description string, created_ts timestamp_ntz, "
+        "from_node_type string, to_node_type string, source_object string",
     )
 
 

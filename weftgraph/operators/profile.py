@@ -72,7 +72,8 @@ def profile_uniqueness(
 ) -> DataFrame:
     """Per candidate key: rows, distinct complete keys, rows with a null part, verdict.
 
-    Output: table_name, key_columns, n_rows, n_distinct, n_null, is_unique.
+    Output: table_name, key_columns (one text), key_parts (the same as an array), n_rows,
+    n_distinct, n_null, is_unique.
 
     Keys of the same shape (the type families of their columns) share one aggregation, in
     which integers stay integers and a key is named by a number.
@@ -84,7 +85,7 @@ def profile_uniqueness(
         shape = tuple(_key_type(df, c) for c in key)
         values = [F.col(f"`{c}`").cast(t).alias(f"v{i}") for i, (c, t) in enumerate(zip(key, shape))]
         by_shape.setdefault(shape, []).append(df.select(F.lit(number).alias("no"), *values))
-        names.append((number, table, ",".join(key)))
+        names.append((number, table, ",".join(key), list(key)))
 
     counted = []
     for shape, keyed in by_shape.items():
@@ -104,7 +105,7 @@ def profile_uniqueness(
             )
         )
     return (
-        _named(names, "no int, table_name string, key_columns string", tables)
+        _named(names, "no int, table_name string, key_columns string, key_parts array<string>", tables)
         .join(union_all(counted), "no", "left")
         .drop("no")
         .fillna(0, ["n_rows", "n_distinct", "n_null"])
@@ -119,13 +120,16 @@ def profile_inclusion(tables: Mapping[str, DataFrame], pairs: Sequence[KeyPair])
     n_missing, inclusion (share of distinct values found; null without any value).
 
     Child and parent values are unioned and grouped: one shuffle of combined values and no
-    join, however often a value is repeated on either side.
+    join, however often a value is repeated on either side. Both sides are read as their
+    :func:`common_type`; a pair without one is refused.
     """
     by_type: dict[str, list[DataFrame]] = {}
     names = []
     for number, pair in enumerate(pairs):
         child, parent = tables[pair.child], tables[pair.parent]
-        as_type = _key_type(child, pair.child_col)
+        as_type = common_type(child.schema[pair.child_col].dataType, parent.schema[pair.parent_col].dataType)
+        if as_type is None:
+            raise ValueError(f"{pair} compares {child.schema[pair.child_col].dataType} with {parent.schema[pair.parent_col].dataType}")
         sides = ((child, pair.child_col, 1, 0), (parent, pair.parent_col, 0, 1))
         for df, name, used, there in sides:
             value = F.col(f"`{name}`").cast(as_type)
@@ -164,6 +168,23 @@ def profile_inclusion(tables: Mapping[str, DataFrame], pairs: Sequence[KeyPair])
     )
 
 
+def common_type(a: T.DataType, b: T.DataType) -> str | None:
+    """The type in which values of both are compared without loss; ``None`` if there is none."""
+    if isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType):
+        return "bigint"
+    exact = (T.IntegralType, T.DecimalType)
+    if isinstance(a, exact) and isinstance(b, exact):
+        scale = max(getattr(t, "scale", 0) for t in (a, b))
+        whole = max(t.precision - t.scale if isinstance(t, T.DecimalType) else 19 for t in (a, b))
+        return f"decimal({whole + scale},{scale})" if whole + scale <= 38 else None
+    if isinstance(a, T.FractionalType) and isinstance(b, T.FractionalType) and not isinstance(a, T.DecimalType) and not isinstance(b, T.DecimalType):
+        return "double"
+    times = (T.DateType, T.TimestampNTZType)
+    if isinstance(a, times) and isinstance(b, times) and type(a) is not type(b):
+        return "timestamp_ntz"
+    return a.simpleString() if a.simpleString() == b.simpleString() else None
+
+
 def _key_type(df: DataFrame, column: str) -> str:
     """The type a key column is grouped in."""
     return "bigint" if type_family(df.schema[column].dataType) == "integer" else "string"
@@ -179,7 +200,7 @@ def primary_keys(uniqueness: DataFrame, schema: str) -> DataFrame:
     return uniqueness.where("is_unique").select(
         F.lit(schema).alias("table_schema"),
         "table_name",
-        F.explode(F.split("key_columns", ",")).alias("column_name"),
+        F.explode("key_parts").alias("column_name"),
     )
 
 

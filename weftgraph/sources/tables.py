@@ -50,17 +50,39 @@ def catalog_snapshot(tables: Mapping[str, DataFrame], schema: str = "src") -> Da
     return local_rows(spark, rows, CATALOG)
 
 
+def _described(spark: SparkSession, database: str) -> list[tuple]:
+    """(table, comment, columns) of the tables of a database; the catalog is asked side by side."""
+    found = [t for t in spark.catalog.listTables(database) if not t.isTemporary]
+
+    def columns(table) -> list:
+        return spark.catalog.listColumns(f"{database}.{table.name}")
+
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        return [(t.name, t.description, c) for t, c in zip(found, pool.map(columns, found))]
+
+
 def catalog_of_database(spark: SparkSession, database: str) -> DataFrame:
     """One row per column of every table of a database in the session's catalog."""
     rows = [
-        (database, table.name, c.name, c.dataType, c.description)
-        for table in spark.catalog.listTables(database)
-        if not table.isTemporary
-        for c in spark.catalog.listColumns(f"{database}.{table.name}")
+        (database, table, c.name, c.dataType, c.description)
+        for table, _, columns in _described(spark, database)
+        for c in columns
     ]
     return local_rows(spark, rows, CATALOG)
 
 
+def comments_of_database(spark: SparkSession, database: str) -> DataFrame:
+    """The comments of a database as prompts take them: table_schema, table_name, column_name
+    (null for the table's own), comment. What has no comment has no row."""
+    rows = []
+    for table, comment, columns in _described(spark, database):
+        rows += [(database, table, None, comment)] * bool(comment)
+        rows += [(database, table, c.name, c.description) for c in columns if c.description]
+    return local_rows(
+        spark, rows, "table_schema string, table_name string, column_name string, comment string"
+    )
+
+
 def row_counts(tables: Mapping[str, DataFrame], schema: str = "src") -> DataFrame:
     """Rows per table; parquet answers this from its footers."""
     counted = [
