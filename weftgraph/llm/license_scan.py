@@ -3,14 +3,19 @@
 A text's lines, and its paragraphs of several lines, are normalised (lower case, only letters and
 digits) and compared with licence templates: twice the common bigrams over the sum of both
 numbers, each bigram once. A coefficient of t needs sizes within t / (2 - t) and (2 - t) / t of each
-other, so most templates are ruled out by size alone; a unit that shares no bigram with any
-template is ruled out before that. Everything happens inside one row: no shuffle, no explode.
+other, so most templates are ruled out by size alone. It also needs a share of t / (2 - t) of the
+template's bigrams, so of any larger rest at least one: each template names words that occur in
+so many of its bigrams, and only texts and units holding such a word are normalised at all.
+Everything happens inside one row: no shuffle, no explode.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +63,8 @@ TEMPLATES: Mapping[str, tuple[str, ...]] = {
     "Unlicense": ("This is free and unencumbered software released into the public domain.",),
 }
 
+# Shorter words are looked for as words of their own, longer ones anywhere.
+_LONG = 5
 _NOT_WORD = r"[^\p{L}\p{N}]+"
 _BLANK_LINE = r"\n[ \t\r]*\n"
 
@@ -72,6 +79,25 @@ def template_bigrams(templates: Mapping[str, tuple[str, ...]]) -> list[tuple[str
     return out
 
 
+def needed_words(templates: Mapping[str, tuple[str, ...]], least: float) -> list[str]:
+    """Words of which every unit that matches some template at ``least`` holds one or more."""
+    chosen: set[str] = set()
+    for _, grams in template_bigrams(templates):
+        missed = len(grams) - math.ceil(len(grams) * least / (2 - least) - 1e-9)
+        open_ = [set(g.split(" ")) for g in grams]
+        covered = 0
+        while covered <= missed:
+            # A word chosen before costs nothing; else a long one, or one of many consonants.
+            count = Counter(w for g in open_ for w in g)
+            rank = lambda w: (w in chosen, len(w) if len(w) >= _LONG else 0, len(re.sub("[aeiouy0-9]", "", w)), count[w], w)
+            word = max(count, key=rank)
+            chosen.add(word)
+            covered += count[word]
+            open_ = [g for g in open_ if word not in g]
+    # Long words are looked for anywhere, so one that holds another adds nothing.
+    return sorted(w for w in chosen if not any(v != w and len(v) >= _LONG and v in w for v in chosen))
+
+
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
@@ -110,7 +136,18 @@ def scan(docs: DataFrame, text_col: str = "text", templates: Mapping[str, tuple[
     """
     text = F.col(f"`{text_col}`")
     paragraphs = F.filter(F.split(text, _BLANK_LINE), lambda p: F.contains(p, F.lit("\n")))
-    units = F.concat(F.split(text, "\n"), paragraphs)
+    needed = needed_words(templates, least)
+    short = "|".join(w for w in needed if len(w) < _LONG)
+    alone = rf"(?<![\p{{L}}\p{{N}}])(?:{short})(?![\p{{L}}\p{{N}}])"
+
+    def holds(unit: Column) -> Column:
+        def any_of(low: Column) -> Column:
+            tests = [F.contains(low, F.lit(w)) for w in needed if len(w) >= _LONG]
+            return reduce(Column.__or__, tests + [low.rlike(alone)] * bool(short))
+
+        return _let(F.lower(unit), any_of)
+
+    units = F.when(holds(text), F.filter(F.concat(F.split(text, "\n"), paragraphs), holds))
     hits = F.filter(
         F.transform(units, lambda u: F.struct(best_match(u, templates, least).alias("m"), u.alias("unit"))), lambda h: h.m.isNotNull()
     )
