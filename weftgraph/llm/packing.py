@@ -42,10 +42,23 @@ class Capacity:
         return np.array([self.tokens, self.documents or self.tokens, self.cost or self.tokens**2], np.float64)
 
 
+# All ASCII marks but the apostrophe, which the tokenizer may tie to letters behind it.
+_MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+
+
+def _ends_in_letter(word: bytes) -> bool:
+    """Whether the tokenizer splits between this word and a mark; a letter that lower case turns
+    into letter and combining mark does not count."""
+    if word[-1:] < b"\x80":
+        return word[-1:].isalnum()
+    last = word.decode("utf-8", "replace")[-1]
+    return last.isalpha() and last.lower().isalpha()
+
+
 class _Words:
     """Ids of words as little-endian bytes.
 
-    The tokenizer lowers case and splits at white space and between a letter and a stop or comma
+    The tokenizer lowers case and splits at white space and between a letter or digit and a mark
     before anything else, so a text's ids are those of its lower-case words one after the other, and
     a word's are those of its letters and of the marks behind. Each worker keeps the words it has met
     in two generations: a full one becomes the older, what is met again moves to the younger.
@@ -87,14 +100,12 @@ class _Words:
     def _learn(self, met: set[bytes]) -> None:
         young, old = self.young, self.old
         whole, split = set(), []
-        for word in met:
-            if word in young:
-                continue
+        for word in met.difference(young):
             if word in old:
                 young[word] = old[word]
                 continue
-            core = word.rstrip(b".,!?;:")
-            if len(core) < len(word) and core[-1:].isalpha():
+            core = word.rstrip(_MARKS)
+            if len(core) < len(word) and _ends_in_letter(core):
                 split.append((word, core, word[len(core) :]))
                 whole |= {core, word[len(core) :]}
             else:
