@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weftgraph.llm import blocks as B
 
@@ -119,8 +120,8 @@ def _sparse_sketch(found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _merge_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add sketches up, saturating at two; give one bit per cell: counted twice or more."""
+def _merge_segments(batches: Iterator[pa.RecordBatch], least: int = 2) -> Iterator[pa.RecordBatch]:
+    """Add sketches up, saturating at two; give one bit per cell: counted ``least`` times or more."""
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for segment, once, more in zip(*(batch.column(i).to_pylist() for i in range(3))):
@@ -131,7 +132,7 @@ def _merge_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             one = np.frombuffer(once, np.uint16)
             total[one] = np.minimum(total[one] + 1, 2)
     ids = list(sums)
-    flags = [np.packbits(sums[i] >= 2).tobytes() for i in ids]
+    flags = [np.packbits(sums[i] >= least).tobytes() for i in ids]
     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(flags, pa.binary())], names=["segment", "flags"])
 
 
@@ -177,7 +178,11 @@ def repeated_keys(docs: DataFrame, shape: Shape, text: str = "text", most_bits:
         yield from _sparse_sketch(found)
 
     parts = docs.select(F.col(text)).mapInArrow(sketch, "segment long, once binary, more binary")
-    merged = parts.repartition("segment").mapInArrow(_merge_segments, "segment long, flags binary")
+    return _merged(parts, bits, 2)
+
+
+def _merged(parts: DataFrame, bits: int, least: int) -> Repeated:
+    merged = parts.repartition("segment").mapInArrow(lambda it: _merge_segments(it, least), "segment long, flags binary")
     flags = np.zeros(2 << (bits - 3), np.uint8)
     size = 1 << (_SEGMENT_BITS - 3)
     for row in merged.toLocalIterator():
@@ -185,6 +190,27 @@ def repeated_keys(docs: DataFrame, shape: Shape, text: str = "text", most_bits:
     return Repeated(bits, flags)
 
 
+def members(hashes: DataFrame, bits: int) -> Repeated:
+    """A Bloom filter of a column of hashes, of ``2 * 2**bits`` bits: says no only where that is so."""
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _sparse_sketch(_rows_of_sketch(batch.column(0).to_numpy(), bits))
+
+    return _merged(hashes.mapInArrow(sketch, "segment long, once binary, more binary"), bits, 1)
+
+
+def marked(rows: DataFrame, column: str, known: Repeated, name: str) -> DataFrame:
+    """``rows`` with a boolean column ``name``: whether the filter may hold the value of ``column``."""
+    shared = rows.sparkSession.sparkContext.broadcast(known)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.append_column(name, pa.array(shared.value(B.column(batch, column).to_numpy())))
+
+    return rows.mapInArrow(mark, T.StructType([*rows.schema.fields, T.StructField(name, T.BooleanType())]))
+
+
 def candidate_cells(docs: DataFrame, shape: Shape, repeated: Repeated, text: str = "text") -> DataFrame:
     """The cells of ``docs`` (doc_id, h, text) whose key may repeat: key, ch, doc_id, h, s0, n."""
     shared = docs.sparkSession.sparkContext.broadcast(repeated)

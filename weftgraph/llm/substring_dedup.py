@@ -4,6 +4,8 @@
    underestimates, so windows estimated to occur once are dropped and none is lost.
 2. A second pass groups exactly what is left: first whole cells by content, then, where one
    anchor has several contents, their single windows.
+3. Most repeated cells are told by a Bloom filter of the contents that occur once: what it does
+   not hold occurs more often. The others are joined with the counts.
 """
 
 from __future__ import annotations
@@ -50,7 +52,8 @@ def _windows(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, window: int = 35, gram: int = 12) -> DataFrame:
     """(doc_id, h, lo, hi): stretches of words covered by windows that occur more than once."""
     shape = A.Shape("words", window, gram)
-    cells = cut_lineage(A.candidate_cells(docs, shape, A.repeated_keys(docs, shape)))
+    repeated = A.repeated_keys(docs, shape)
+    cells = cut_lineage(A.candidate_cells(docs, shape, repeated))
     contents = cut_lineage(
         cells.groupBy("key", "ch").agg(
             F.count("*").alias("c"), F.min(F.struct("doc_id", "h", "s0")).alias("first"), F.first("n").alias("n")
@@ -61,7 +64,12 @@ def repeated_spans(docs: DataFrame, window: int = 35, gram: int = 12) -> DataFra
     single = cut_lineage(_windows(docs, wanted, window))
     often = single.groupBy("key", "wh").agg(F.sum("c").alias("total")).where("total > 1")
     alone = single.where("c = 1").join(often, ["key", "wh"], "left_semi")
-    whole = cells.join(contents.where("c > 1").select("key", "ch"), ["key", "ch"], "left_semi")
+    # A cell whose content is surely not among those that occur once occurs more often; only where
+    # the filter is not sure the contents are asked.
+    once = A.members(contents.where("c = 1").select("ch"), repeated.bits)
+    asked = A.marked(cells, "ch", once, "maybe_once")
+    unsure = asked.where("maybe_once").join(contents.where("c > 1").select("key", "ch"), ["key", "ch"], "left_semi")
+    whole = asked.where("not maybe_once").unionByName(unsure)
     return whole.select(
         "doc_id", "h", F.col("s0").alias("lo"), (F.col("s0") + F.col("n") + (window - 1)).alias("hi")
     ).unionByName(alone.select("doc_id", "h", "lo", (F.col("lo") + window).alias("hi")))
