@@ -94,7 +94,7 @@ def _numbered(kmers: Column) -> Column:
 
 
 def signature(text: Column, shape: Shape = Shape()) -> Column:
-    """Array of (slot, code) of the slots that hold a k-mer; equal texts have equal arrays."""
+    """The slots that hold a k-mer, each as slot * 2**32 + code; equal texts have equal arrays."""
     pieces = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]{1,%d}" % shape.piece), F.lit(0))
     bits = 64 - (shape.slots.bit_length() - 1)
     slot = lambda x: F.shiftright(x, bits)
@@ -108,39 +108,38 @@ def signature(text: Column, shape: Shape = Shape()) -> Column:
             # Back into the order of the text: the place first, then the hash.
             by_place = F.sort_array(F.transform(own, lambda y: F.shiftleft(_place(y), width).bitwiseOR(F.shiftrightunsigned(y, _PLACE_BITS))))
             hashes = F.transform(by_place, lambda y: y.bitwiseAND((1 << width) - 1))
-            return F.struct(slot(F.get(items, i)).cast("int").alias("slot"), F.shiftright(F.xxhash64(hashes), 32).cast("int").alias("code"))
+            code = F.shiftrightunsigned(F.xxhash64(hashes), 32)
+            return F.shiftleft(slot(F.get(items, i)) + shape.slots // 2, 32).bitwiseOR(code)
 
         return F.transform(F.filter(new, lambda i: i >= 0), code)
 
     return _let(pieces, lambda p: _let(F.sort_array(_numbered(_kmers(p, shape.k))), tuples))
 
 
-def fingerprint(sig: Column, shape: Shape = Shape()) -> Column:
+def fingerprint(sig: Column) -> Column:
     """A signature as text: slot and code of each slot in hexadecimal digits."""
-    part = lambda x: F.concat(F.lpad(F.hex(x.slot + shape.slots // 2), 2, "0"), F.lpad(F.hex(x.code.cast("long").bitwiseAND(0xFFFFFFFF)), 8, "0"))
-    return F.lower(F.array_join(F.transform(sig, part), ""))
+    return F.lower(F.array_join(F.transform(sig, lambda x: F.lpad(F.hex(x), 10, "0")), ""))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of the slots in use by either that agree; two empty signatures agree fully."""
-    slots = lambda s: F.transform(s, lambda x: x.slot)
+    slots = lambda s: F.transform(s, lambda x: F.shiftright(x, 32))
     used = F.size(F.array_union(slots(a), slots(b)))
     return F.when(used == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / used)
 
 
-def neighbours(docs: DataFrame) -> DataFrame:
-    """(doc_id, h, n, next_id, next_h, prev_id, prev_h, prev_n) of the distinct documents by id, in a ring.
+def borrowers(docs: DataFrame) -> DataFrame:
+    """Of each distinct document (key, h) the one before it in the ring by id, with its length:
+    key, h, to_key, to_h, to_id, to_n.
 
     Null ids come first; texts of one id follow the hash of the text.
     """
-    ids = numbered(docs.select("doc_id", "h", "n").distinct(), F.col("doc_id").asc_nulls_first(), F.col("h").asc())
-    ids = cut_lineage(ids)
-    total = ids.count()
-    after = ids.select(F.col("doc_id").alias("next_id"), F.col("h").alias("next_h"), F.pmod(F.col("position") - 1, F.lit(max(1, total))).alias("position"))
-    before = ids.select(
-        F.col("doc_id").alias("prev_id"), F.col("h").alias("prev_h"), F.col("n").alias("prev_n"), F.pmod(F.col("position") + 1, F.lit(max(1, total))).alias("position")
-    )
-    return cut_lineage(ids.join(after, "position").join(before, "position").drop("position"))
+    ids = docs.select("doc_id", "key", "h", F.length("text").alias("n")).distinct()
+    ids = cut_lineage(numbered(ids, F.col("doc_id").asc_nulls_first(), F.col("h").asc()))
+    ring = F.lit(max(1, ids.count()))
+    after = ids.select("key", "h", F.pmod(F.col("position") - 1, ring).alias("position"))
+    before = ids.select(F.col("key").alias("to_key"), F.col("h").alias("to_h"), F.col("doc_id").alias("to_id"), F.col("n").alias("to_n"), "position")
+    return cut_lineage(after.join(before, "position").drop("position"))
 
 
 def edit_check(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shape: Shape = Shape()) -> DataFrame:
@@ -152,32 +151,31 @@ def edit_check(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     empty; an empty text's fingerprint is empty and like another empty one only. Rows repeating id
     and text get equal results, their next document is the next different one; a document alone is
     its own next. No rows give no rows.
+
+    Texts are shuffled once: both joins take the same columns of ``base``, so they share its
+    exchange; the id comes back with what is lent. Every document lends its
+    beginning and its signature to the one before it; its own signature is computed anew there,
+    which is cheaper than to carry it along.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    base = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"), F.length(text).alias("n"))
-    ring = neighbours(base)
-    sigs = cut_lineage(base.select("doc_id", "h", signature(F.col("text"), shape).alias("sig")).dropDuplicates(["doc_id", "h"]))
-
-    def at(frame: DataFrame, id_: str, h: str):
-        return frame.doc_id.eqNullSafe(F.col(id_)) & (frame.h == F.col(h))
-
-    # What each document lends to the one before it, and the likeness to the next: narrow rows.
-    own = ring.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "prev_id", "prev_h", "prev_n")
-    placed = base.join(own, at(base, "_id", "_h"))
-    quarter = F.floor(F.col("prev_n") / 4).cast("int")
-    lent = placed.select("prev_id", "prev_h", F.substring("text", F.lit(1), quarter).alias("head")).dropDuplicates(["prev_id", "prev_h"])
-    following = ring.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "next_id", "next_h")
-    after = sigs.select(F.col("doc_id").alias("_next"), F.col("h").alias("_next_h"), F.col("sig").alias("next_sig"))
-    near = (
-        sigs.join(following, at(sigs, "_id", "_h"))
-        .join(after, F.col("next_id").eqNullSafe(F.col("_next")) & (F.col("next_h") == F.col("_next_h")))
-        .select("_id", "_h", "sig", likeness(F.col("sig"), F.col("next_sig")).alias("near_next"))
+    base = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"))
+    # With the text's hash, 128 bits that are never null.
+    base = base.withColumn("key", F.xxhash64(F.lit(5), "doc_id", "h"))
+    borrower = borrowers(base)
+    base = base.select("key", "h", "text")
+    quarter = F.floor(F.col("to_n") / 4).cast("int")
+    lent = (
+        base.join(borrower, ["key", "h"])
+        .select("to_key", "to_h", "to_id", F.substring("text", F.lit(1), quarter).alias("head"), signature(F.col("text"), shape).alias("next_sig"))
+        .groupBy("to_key", "to_h")
+        .agg(F.first("to_id").alias("doc_id"), F.first("head").alias("head"), F.first("next_sig").alias("next_sig"))
+        .withColumnsRenamed({"to_key": "key", "to_h": "h"})
     )
-    edited = F.concat(F.substring("text", F.lit(1), (F.col("n") - F.floor(F.col("n") / 4)).cast("int")), F.col("head"))
-    frame = base.join(lent, at(base, "prev_id", "prev_h")).join(near, at(base, "_id", "_h"))
-    frame = frame.select("doc_id", F.col("n").cast("long").alias("n_chars"), edited.alias("edited"), "sig", "near_next")
-    frame = frame.withColumn("edited_sig", signature(F.col("edited"), shape))
+    n = F.length("text")
+    edited = F.concat(F.substring("text", F.lit(1), (n - F.floor(n / 4)).cast("int")), F.col("head"))
+    frame = base.join(lent, ["key", "h"]).select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "text", "next_sig")
+    frame = frame.withColumn("sig", signature(F.col("text"), shape)).withColumn("edited_sig", signature(F.col("edited"), shape))
     return frame.select(
-        "doc_id", "n_chars", "edited", fingerprint(F.col("sig"), shape).alias("fingerprint"), fingerprint(F.col("edited_sig"), shape).alias("edited_fingerprint"),
-        likeness(F.col("sig"), F.col("edited_sig")).alias("near_edited"), "near_next",
+        "doc_id", "n_chars", "edited", fingerprint(F.col("sig")).alias("fingerprint"), fingerprint(F.col("edited_sig")).alias("edited_fingerprint"),
+        likeness(F.col("sig"), F.col("edited_sig")).alias("near_edited"), likeness(F.col("sig"), F.col("next_sig")).alias("near_next"),
     )
