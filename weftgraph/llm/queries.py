@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import weftgraph
 from weftgraph import configure
 from weftgraph.llm import (
     fingerprints,
@@ -25,8 +30,23 @@ from weftgraph.llm import (
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def _ship_package(spark: SparkSession) -> None:
+    """Hand the package to Python workers that could not import it by themselves."""
+    root = Path(weftgraph.__file__).resolve().parents[1]
+    known = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root in (Path.cwd().resolve(), *known) or spark in _shipped:
+        return
+    archive = shutil.make_archive(tempfile.mkdtemp() + "/weftgraph", "zip", root, "weftgraph")
+    spark.sparkContext.addPyFile(archive)
+    _shipped.append(spark)
+
+
+_shipped: list[SparkSession] = []
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
+    _ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
