@@ -57,6 +57,21 @@ def near_copies(spark, size=60):
     return spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
 
 
+def repeated_rows_with_near_copies(spark):
+    """A row that occurs 30 times, one that occurs twice without an id, and a near copy of each."""
+    a, b = [f"w{i}" for i in range(150)], [f"v{i}" for i in range(150)]
+    rows = [(1, " ".join(a))] * 30 + [(2, " ".join([*a[:-1], "other"]))] + [(None, " ".join(b))] * 2 + [(3, " ".join([*b[:-1], "other"]))]
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+
+
+@pytest.mark.parametrize("block", [512, 7])
+def test_repeated_rows_count_once(spark, block):
+    docs = repeated_rows_with_near_copies(spark)
+    found = jaccard_join.similarity_classes(docs, join=jaccard_join.Join(block=block)).collect()
+    assert len(found) == 34 and {r.n_links for r in found} == {1}
+    assert Counter((r.doc_id, r.class_id, r.n_links, r.group_id) for r in found) == brute_links([tuple(r) for r in docs.collect()])
+
+
 @pytest.mark.parametrize("make", [documents, awkward, near_copies])
 @pytest.mark.parametrize("block", [512, 7])
 def test_links(spark, make, block):

@@ -321,6 +321,8 @@ def _classes(frame: DataFrame, join: Join) -> DataFrame:
     place = "k long, i int, j int, x int, band int"
     screened = cut_lineage(_in_groups(members).mapInArrow(_screen(join), f"{place}, doc_id long, h long, cls binary"))
     shipped = with_lists(frame.select("doc_id", "h", "text"), screened, "places").where(F.col("places").isNotNull())
+    # Rows equal in id and text all match: one of them stands for the class.
+    shipped = shipped.groupBy("doc_id", "h").agg(F.first("text").alias("text"), F.first("places").alias("places"))
     shipped = shipped.mapInArrow(_attach_sets(join), f"{place}, cls binary, sig binary, members binary")
     found = cut_lineage(_in_groups(shipped).mapInArrow(_verify(join), "cls binary, links long, root binary"))
 
