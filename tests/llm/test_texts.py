@@ -118,6 +118,23 @@ def test_languages_of_awkward_rows(spark):
     assert language_id.predict(docs, language_id.fit(empty(docs))).where("lang_pred <> 'und'").count() == 0
 
 
+def test_copies_do_not_sway_the_sample(spark):
+    """Each language is learnt, from texts that count once: many copies change nothing."""
+    rows = [(f"wort{i % 3} und satz{i % 3} am see", "de") for i in range(9)]
+    rows += [(f"the {i} cat sat on mat {i * 7919}", "en") for i in range(300)]
+    copied = rows[:3] * 4000 + rows[9:] + rows[9:12] * 2000
+    frames = [spark.createDataFrame(r, "text string, lang string") for r in (rows, copied)]
+    sample = language_id.Sample(texts=4)
+    once, often = (language_id.fit(f, sample) for f in frames)
+    assert once.languages == often.languages == ["de", "en"]
+    for a, b in zip(once.costs + once.escapes, often.costs + often.escapes):
+        assert np.array_equal(a.keys, b.keys) and np.array_equal(a.values, b.values)
+    # The followers of the empty context in each language's two texts.
+    probe = np.frombuffer(b"wort am see", np.uint8)
+    bits = often.code_lengths(probe, np.array([0, len(probe)]))[0]
+    assert bits[0] < bits[1]
+
+
 def test_languages_held_out(spark):
     found = queries()["op2_language_id"](spark, LARGER).join(spark.read.parquet(f"{LARGER}/documents.parquet").select("doc_id", "lang"), "doc_id")
     rows = found.collect()

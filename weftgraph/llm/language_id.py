@@ -16,11 +16,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftgraph.llm import blocks as B
+from weftgraph.session import cut_lineage
 
 UNKNOWN = "und"
 _MARK = 0x0A  # stands before each text, so that its first bytes have a context too
@@ -145,22 +146,35 @@ def _build(languages: list[str], order: int, language: np.ndarray, length: np.nd
 
 
 def fit(docs: DataFrame, sample: Sample = Sample(), text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Learn from at most about ``sample.texts`` texts, as many of each language, drawn by text hash.
+    """Learn from at most ``sample.texts`` texts (one of each language at least), as many of each
+    language: those with the smallest hashes among its different texts, each taken once.
 
     Rows without a text or a language teach nothing. The counts are summed up in Spark; only the
     counts of the sample's contexts come to the driver.
     """
     frame = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
-    sizes = {r.lang: r["count"] for r in frame.groupBy("lang").count().collect()}
+    frame = frame.withColumn("h", F.xxhash64("text"))
+    hashes = cut_lineage(frame.select("lang", "h").distinct())
+    sizes = {r.lang: r["count"] for r in hashes.groupBy("lang").count().collect()}
     languages = sorted(sizes)
     if not languages:
         return _build([UNKNOWN], sample.order, *(np.zeros(0, np.int64),) * 4)
     share = max(1, sample.texts // len(languages))
-    # A text is drawn if its hash lies below its language's share.
-    limit = F.create_map(*[F.lit(x) for v in languages for x in (v, min(1.0, share / sizes[v]))])
-    drawn = frame.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.element_at(limit, F.col("lang")) * (1 << 20))
+    least, most = -(1 << 63), (1 << 63) - 1
+
+    def below(limits: dict[str, int]) -> Column:
+        bounds = F.create_map(*[x for v, n in limits.items() for x in (F.lit(v), F.lit(n).cast("long"))])
+        return F.col("h") <= F.element_at(bounds, F.col("lang"))
+
+    # So low a bound that few hashes come to the driver, so high that a language's share is among them.
+    rough = {v: most if (n := 4 * share + 64) >= sizes[v] else least + (n << 64) // sizes[v] for v in languages}
+    smallest: dict[str, list[int]] = {v: [] for v in languages}
+    for r in hashes.where(below(rough)).collect():
+        smallest[r.lang].append(r.h)
+    limits = {v: sorted(found)[:share][-1] for v, found in smallest.items()}
+    drawn = frame.where(below(limits)).groupBy("lang", "h").agg(F.min(F.substring(F.encode("text", "UTF-8"), 1, sample.text_bytes)).alias("text"))
     code = F.create_map(*[F.lit(x) for i, v in enumerate(languages) for x in (v, i)])
-    drawn = drawn.select(F.element_at(code, F.col("lang")).alias("lang"), F.substring(F.encode("text", "UTF-8"), 1, sample.text_bytes).alias("text"))
+    drawn = drawn.select(F.element_at(code, F.col("lang")).alias("lang"), "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
