@@ -60,6 +60,47 @@ def test_license_scan(spark):
     assert license_scan.scan(awkward(spark)).where("n_matches > 0").count() == 0
 
 
+GNU_HEADER = (
+    "This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {} Public License as published by "
+    "the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+)
+MIT_NO_ATTRIBUTION = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "
+    "\"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, "
+    "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so."
+)
+BSD_OPENING = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+BSD_2_BLOCK = f"""/*
+ * {BSD_OPENING.replace(" are permitted", chr(10) + " * are permitted")}
+ *
+ * 1. Redistributions of source code must retain the above copyright notice, this list of conditions
+ *    and the following disclaimer.
+ * 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions
+ *    and the following disclaimer in the documentation and/or other materials provided with the distribution.
+ */"""
+
+
+@pytest.mark.parametrize(
+    "text, license",
+    [
+        (GNU_HEADER.format("program", "General", "2"), "GPL-2.0"),
+        (GNU_HEADER.format("program", "General", "3"), "GPL-3.0"),
+        (GNU_HEADER.format("program", "Affero General", "3"), "AGPL-3.0"),
+        (GNU_HEADER.format("library", "Lesser General", "2.1"), "LGPL-2.1"),
+        (GNU_HEADER.format("library", "Lesser General", "3"), "LGPL-3.0"),
+        ("Licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+        ("This project is released under the MIT License.", "MIT"),
+        (MIT_NO_ATTRIBUTION, "MIT-0"),
+        (MIT_NO_ATTRIBUTION[:-1] + ", subject to the following conditions:", "MIT"),
+        (BSD_OPENING, "BSD-2-Clause OR BSD-3-Clause"),
+        (BSD_2_BLOCK, "BSD-2-Clause"),
+    ],
+)
+def test_licenses_that_open_alike(spark, text, license):
+    row = license_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row.license == license
+
+
 def test_license_sql(spark):
     rows, problem = compare(spark, FOLDER, queries()["op1_license_scan"], ORACLES["op1_license_scan"])
     assert problem == "" and rows == 200

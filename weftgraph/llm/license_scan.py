@@ -20,17 +20,79 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Wordings of public licences and of their usual notices.
+_MIT_GRANT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "
+    "\"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, "
+    "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so"
+)
+_MIT_KEEP = " The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+_MIT_AS_IS = (
+    " THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+    "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY "
+    "CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+    "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_ISC_GRANT = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
+    "the above copyright notice and this permission notice appear in all copies."
+)
+_ISC_AS_IS = (
+    " THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF "
+    "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY "
+    "DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, "
+    "ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+)
+_BSD_OPENING = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+_BSD_TWO = (
+    " 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution."
+)
+_BSD_THIRD = (
+    " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+    "this software without specific prior written permission."
+)
+_BSD_AS_IS = (
+    " THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED "
+    "TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+    "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+    "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+    "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+    "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+
+
+def _gnu(kind: str, *versions: str, work: str = "program") -> tuple[str, ...]:
+    """The notices of a GNU licence: a sentence, and the header of a file."""
+    name = f"GNU {kind} Public License"
+    return tuple(
+        wording
+        for v in versions
+        for wording in (
+            f"This work is licensed under the {name}, version {v}.",
+            f"This {work} is free software: you can redistribute it and/or modify it under the terms of the {name} as published "
+            f"by the Free Software Foundation, either version {v} of the License, or (at your option) any later version.",
+        )
+    )
+
+
+# Wordings of public licences and of their usual notices. Licences that open alike
+# each have their own; the sentence that both BSD licences open with names both.
 TEMPLATES: Mapping[str, tuple[str, ...]] = {
-    "AGPL-3.0": ("This work is licensed under the GNU Affero General Public License, version 3.",),
+    "AGPL-3.0": _gnu("Affero General", "3"),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. "
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        "This project is licensed under the Apache License, Version 2.0.",
     ),
+    "BSD-2-Clause": ("Released under the BSD 2-Clause License.", _BSD_OPENING + _BSD_TWO, _BSD_OPENING + _BSD_TWO + _BSD_AS_IS),
+    "BSD-2-Clause OR BSD-3-Clause": (_BSD_OPENING,),
     "BSD-3-Clause": (
         "Released under the BSD 3-Clause License.",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        _BSD_OPENING + _BSD_TWO + _BSD_THIRD,
+        _BSD_OPENING + _BSD_TWO + _BSD_THIRD + _BSD_AS_IS,
+        _BSD_THIRD,
     ),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     "CC-BY-NC-4.0": (
@@ -42,23 +104,20 @@ TEMPLATES: Mapping[str, tuple[str, ...]] = {
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     ),
     "CC0-1.0": ("Released under CC0 1.0 Universal, Public Domain Dedication.",),
-    "GPL-3.0": (
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
-        "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    ),
-    "ISC": (
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
-        "the above copyright notice and this permission notice appear in all copies.",
-    ),
-    "LGPL-3.0": ("This work is licensed under the GNU Lesser General Public License, version 3.",),
+    "GPL-2.0": _gnu("General", "2"),
+    "GPL-3.0": _gnu("General", "3"),
+    "ISC": (_ISC_GRANT, _ISC_GRANT + _ISC_AS_IS),
+    "LGPL-2.0": _gnu("Library General", "2", work="library"),
+    "LGPL-2.1": _gnu("Lesser General", "2.1", work="library"),
+    "LGPL-3.0": _gnu("Lesser General", "3") + _gnu("Lesser General", "3", work="library")[1:],
     "MIT": (
         "Released under the MIT License.",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "
-        "\"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, "
-        "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to "
-        "the following conditions:",
+        f"{_MIT_GRANT}, subject to the following conditions:",
+        f"{_MIT_GRANT}, subject to the following conditions:" + _MIT_KEEP + _MIT_AS_IS,
+        "This project is released under the MIT License.",
+        "This project is licensed under the MIT License.",
     ),
+    "MIT-0": (f"{_MIT_GRANT}.", f"{_MIT_GRANT}." + _MIT_AS_IS),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
     "Unlicense": ("This is free and unencumbered software released into the public domain.",),
 }
