@@ -20,6 +20,7 @@ from weftgraph.llm import (
     language_id,
     license_scan,
     mixing,
+    near_vectors,
     packing,
     quality,
     substring_dedup,
@@ -116,6 +117,11 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", "kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_license_scan,
@@ -128,6 +134,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_mixing,
         op9_quality,
         op10_order_minhash,
+        op12_near_vectors,
     )
     return {f.__name__: f for f in found}
 
