@@ -22,6 +22,7 @@ from weftgraph.llm import (
     mixing,
     near_vectors,
     packing,
+    prefix_trie,
     quality,
     substring_dedup,
     suffix_dedup,
@@ -122,6 +123,13 @@ def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "n_links", "component_id", "kept")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = F.col("conv_id")
+    opening = F.crc32(ids.cast("string").cast("binary")) % 9
+    nodes = prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"), ids - ids % 5, opening)
+    return nodes.drop("node", "parent")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_license_scan,
@@ -135,6 +143,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_quality,
         op10_order_minhash,
         op12_near_vectors,
+        op13_prefix_trie,
     )
     return {f.__name__: f for f in found}
 
