@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 import weftgraph
 from weftgraph import configure
 from weftgraph.llm import (
+    collocations,
     fingerprints,
     jaccard_join,
     language_id,
     license_scan,
     mixing,
     near_vectors,
+    oracles,
     packing,
     prefix_trie,
     quality,
@@ -118,6 +120,10 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents")).drop("k")
+
+
 def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
     return found.select("vec_id", "n_links", "component_id", "kept")
@@ -142,6 +148,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_mixing,
         op9_quality,
         op10_order_minhash,
+        op11_collocations,
         op12_near_vectors,
         op13_prefix_trie,
     )
@@ -176,4 +183,9 @@ FROM documents d LEFT JOIN (SELECT * FROM best WHERE place = 1) b USING (doc_id)
 """
 
 
-ORACLES: dict[str, str] = {"op1_license_scan": _license_sql()}
+ORACLES: dict[str, str] = {
+    "op1_license_scan": _license_sql(),
+    "op11_collocations": oracles.COLLOCATIONS,
+    "op12_near_vectors": oracles.NEAR_VECTORS,
+    "op13_prefix_trie": oracles.PREFIX_TRIE,
+}
