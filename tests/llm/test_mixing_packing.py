@@ -1,5 +1,6 @@
 """Operators 7 and 8, and the pipeline."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -19,7 +20,6 @@ from weftgraph.session import cut_lineage
 
 def brute_pieces(rows, tokens=2048):
     encode = Tokenizer.from_file(TOKENIZER)
-    encode.encode_special_tokens = True
     out = []
     for i, text in rows:
         ids = [*encode.encode(text or "", add_special_tokens=False).ids, 0]
@@ -49,6 +49,18 @@ def test_packing_query(spark):
     assert check_placement(rows) <= -(-sum(r.length for r in rows) // 2048) + 1
 
 
+def test_ids_are_those_of_the_plain_call(spark):
+    """Special tokens, what becomes one in lower case, capitals with combining marks, and random strings."""
+    rng = random.Random(3)
+    pool = [*"abzABZéÉßÀÖØÞþÿñµªºǅİıſΣςσn\u0303\u0301\u0308 \t\n\r\x0b\x0c\x85\xa0.,;:!?'\"<>|-_()[]0123٣½²中文日กำ🙂\u200d\ufeff"]
+    pool += ["'s", "'T", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", " the ", " word,", "'T\u0308"]
+    texts = ["a <|endoftext|> b", "a <|EndOfText|> b", "'T\u0308", "(word)word's.été,", "x" * 3000 + ","]
+    texts += ["".join(rng.choice(pool) for _ in range(rng.randrange(1, 30))) for _ in range(4000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = packing.tokenize(docs, TOKENIZER).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in found) == brute_pieces(list(enumerate(texts)))
+
+
 def test_packing_of_awkward_rows(spark):
     docs = awkward(spark).withColumn("piece", F.lit("clash"))
     extra = spark.createDataFrame([(50, "<|endoftext|> it's  ÀÉ x y\x1cz ́e 3rd")], "doc_id long, text string")

@@ -148,7 +148,7 @@ def test_nearest_is_exact_at_factor_one(spark, per_shard):
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rng.normal(size=6).round(3) * (1 + i % 5)]) for i in range(900)]
     rows += [(2000 + i, rows[0][1]) for i in range(60)]  # one very common vector
-    rows += [(3000, None), (3001, []), (3002, [0.0] * 6), (3003, [1.0, None, 1, 1, 1, 1]), (3020, [math.nan] * 6), (3040, [1.0, 2.0]), (None, [1.0] * 6)]
+    rows += [(3000, None), (3001, []), (3002, [0.0] * 6), (3003, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (3020, [math.nan] * 6), (3040, [1.0, 2.0]), (None, [1.0] * 6)]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     asked = vectors.where("vec_id % 20 = 0")
     found = vector_search.nearest(vectors, asked, vector_search.Search(per_shard=per_shard, per_block=16))

@@ -101,6 +101,11 @@ def byte_units(data: np.ndarray) -> np.ndarray:
     return _byte_units[data]
 
 
+def in_words(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to words."""
+    return ~_is_space[data]
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end) of each word in the bytes, and len + 1 offsets of the documents in words.
 

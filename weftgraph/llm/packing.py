@@ -11,6 +11,7 @@ against the thousands it fills; no shard depends on another.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -22,10 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftgraph.llm import blocks as B
+from weftgraph.llm.spans import binary_array
 from weftgraph.session import cut_lineage
 
 END_ID = 0
 _KNOWN_WORDS = 700_000
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 
 
 @dataclass(frozen=True)
@@ -55,13 +59,34 @@ def _ends_in_letter(word: bytes) -> bool:
     return last.isalpha() and last.lower().isalpha()
 
 
+# Letters and digits are 1, marks 2, so that 3 is the sum where one meets the other and nowhere else.
+_KIND = np.zeros(256, np.int8)
+_KIND[[c for c in range(128) if chr(c).isalnum()]] = 1
+_KIND[list(_MARKS)] = 2
+# Case matters where a capital and a mark that combines with it follow: the small letter may have a form with it.
+_COMBINES = re.compile(rb"[A-Z][\xcc\xcd]")
+# Lower-case letters that neither the normaliser changes nor lower case turns into more than one.
+_PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+_CAPITALS = {c: c + 32 for c in range(0xC0, 0xDF) if c != 0xD7}
+
+
+def _byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable ones for
+    themselves, the others for the first ones from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
+
+
 class _Words:
     """Ids of words as little-endian bytes.
 
     The tokenizer lowers case and splits at white space and between a letter or digit and a mark
     before anything else, so a text's ids are those of its lower-case words one after the other, and
-    a word's are those of its letters and of the marks behind. Each worker keeps the words it has met
-    in two generations: a full one becomes the older, what is met again moves to the younger.
+    a word's are those of its letters and of the marks behind. A word of plain letters goes to the
+    tokenizer's model at once. Each worker keeps the words it has met in two generations: a full one
+    becomes the older, what is met again moves to the younger. A text that holds the string of a
+    special token, or a capital with a combining mark, goes through the tokenizer whole.
     """
 
     def __init__(self, path: str):
@@ -71,21 +96,59 @@ class _Words:
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.tokenizer.model
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.letters = {i: c for i, c in enumerate(_byte_letters())}
         names = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(names.values()) + 1, bool)
         self.closes[[i for name, i in names.items() if name.endswith("</w>")]] = True
 
-    def ids(self, texts: list[bytes]) -> Iterator[bytes]:
-        """The ids of each text; the new words of all of them are encoded together."""
-        words = [text.lower().split() for text in texts]
-        met = set().union(*words)
+    def ids(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[bytes]:
+        """The ids of each text; each word of the block is looked up once, new ones are encoded together."""
+        lower = _LOWER[data]
+        start, end, at = B.words(lower, offsets)
+        # Parts of words are looked up where the tokenizer parts them in any case.
+        kind = _KIND[lower]
+        cuts = np.setdiff1d(np.flatnonzero(kind[1:] + kind[:-1] == 3) + 1, offsets)
+        start = np.sort(np.concatenate([start, cuts]))
+        end = np.sort(np.concatenate([end, cuts]))
+        at = np.searchsorted(start, offsets)
+        words = binary_array(lower[B.in_words(lower)], np.append(0, np.cumsum(end - start)), pa.binary())
+        coded = words.dictionary_encode()
+        letters, edges = B.text_bytes(coded.dictionary)
+        letters, edges = letters.tobytes(), edges.tolist()
+        met = [letters[a:b] for a, b in zip(edges[:-1], edges[1:])]
         if len(self.young) + len(met) > _KNOWN_WORDS:
             self.young, self.old = {}, self.young
-        self._learn(met)
-        known = self.young
-        for own in words:
-            yield b"".join(map(known.__getitem__, own))
+        found = [self.young.get(w) for w in met]
+        missing = [i for i, known in enumerate(found) if known is None]
+        self._learn({met[i] for i in missing})
+        for i in missing:
+            found[i] = self.young[met[i]]
+        length = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        first = np.cumsum(length) - length
+        known = np.frombuffer(b"".join(found), "<u4")
+        code = coded.indices.to_numpy()
+        size = length[code]
+        ends = np.append(0, np.cumsum(size))
+        ids = known[np.repeat(first[code] - ends[:-1], size) + np.arange(ends[-1])].tobytes()
+        whole, low = data.tobytes(), lower.tobytes()
+        odd = self._needs_whole(whole, low)
+        ends_at = (4 * ends[at]).tolist()
+        for a, b, x, y in zip(ends_at[:-1], ends_at[1:], offsets[:-1].tolist(), offsets[1:].tolist()):
+            if odd and self._needs_whole(whole[x:y], low[x:y]):
+                text = whole[x:y].decode("utf-8", "replace")
+                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            else:
+                yield ids[a:b]
+
+    def _needs_whole(self, text: bytes, low: bytes) -> bool:
+        """Whether a text cannot be taken word by word. Words are handed over in lower case, which may make
+        a special token's string of something else."""
+        return any(s in low for s in self.special) or _COMBINES.search(text) is not None
+
+    def _plain(self, letters: str) -> bytes:
+        return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
 
     def _encoded(self, words: list[str]) -> list[bytes]:
         """The ids of each word. As one text if every word ends in exactly one closing id."""
@@ -104,6 +167,9 @@ class _Words:
             if word in old:
                 young[word] = old[word]
                 continue
+            if word.isalpha():
+                young[word] = self._plain(word.decode())
+                continue
             core = word.rstrip(_MARKS)
             if len(core) < len(word) and _ends_in_letter(core):
                 split.append((word, core, word[len(core) :]))
@@ -111,7 +177,14 @@ class _Words:
             else:
                 whole.add(word)
         # Plain words first, so that whole parts take the quick way.
-        texts = [(w.decode("utf-8", "replace"), w) for w in whole if w not in young]
+        texts = []
+        for w in whole.difference(young):
+            text = w.decode("utf-8", "replace").translate(_CAPITALS)
+            if _PLAIN.fullmatch(text):
+                young[w] = self._plain(text.encode().decode("latin-1").translate(self.letters))
+            else:
+                texts.append((text, w))
+        # Words of letters first, so that whole parts take the quick way.
         texts.sort(key=lambda pair: not pair[0].isalpha())
         for at in range(0, len(texts), 1000):
             part = texts[at : at + 1000]
@@ -137,11 +210,9 @@ def tokenize(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             doc_ids = B.column(batch, "doc_id")
-            for first, _, data, offsets in B.blocks(B.column(batch, "text"), 1 << 20):
-                whole = data.tobytes()
+            for first, _, data, offsets in B.blocks(B.column(batch, "text"), 1 << 21):
                 row, piece, start, length, crc, ids = [], [], [], [], [], []
-                texts = [whole[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-                for r, encoded in enumerate(words.ids(texts)):
+                for r, encoded in enumerate(words.ids(data, offsets)):
                     encoded += end
                     for k, at in enumerate(range(0, len(encoded), 4 * tokens)):
                         part = encoded[at : at + 4 * tokens]
