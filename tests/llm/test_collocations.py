@@ -78,7 +78,7 @@ def test_a_sketch_that_says_yes_to_all_changes_nothing(spark):
     counts = []
     for flags in (255, None):
         asked = collocations.Phrases(least=30, bits=16)
-        known = collocations.frequent_pairs(docs, asked) if flags is None else collocations.Frequent(16, np.full((2 << 16) // 8, 255, np.uint8))
+        known = collocations.frequent(docs, asked) if flags is None else collocations.Frequent(collocations.Sketch(16, np.full((2 << 16) // 8, 255, np.uint8)))
         flow = collocations.counted(collocations.edges(docs, asked, known), asked)
         counts.append(sorted(map(tuple, flow.collect())))
     assert counts[0] == counts[1]

@@ -4,16 +4,17 @@
    two that overlap in all but one: it is a phrase of ``longest`` words, its weight their count.
    Each word of a piece starts one edge, or near the piece's end a shorter rest.
 2. A count-min sketch of words and word pairs (sums over all partitions, estimates never too low)
-   tells which of them surely occur less than ``least`` times. No phrase that counts holds
-   such a pair, so an edge stops before it, as at the end of a piece.
+   tells which of them surely occur less than ``least`` times; a second one those triples of maybe
+   frequent pairs that do. No phrase that counts holds any of them, so an edge stops before it, as
+   at the end of a piece.
 3. Equal edges are added up. How often a shorter phrase occurs is what flows through it: the
    weights of the edges that begin with it, and of the rests that do, the piece-end corrections.
 4. Where all of a phrase's flow goes on by one word, to the right or to the left, the path through
    it has no branch: it is compacted into the longer phrase, and only unbranched-over ones are scored.
 5. A phrase's cuts are looked up among the counted phrases, which are all at least as frequent.
 
-The sketch has a fixed size (two rows of 2**``bits`` cells, one bit each where it is broadcast).
-A fuller one lets more edges pass, and loses none.
+A sketch has a fixed size (two rows of 2**``bits`` cells, one bit each where it is broadcast). A
+fuller one lets more edges pass, and loses none.
 """
 
 from __future__ import annotations
@@ -127,9 +128,17 @@ def _block(held: list[tuple], longest: int) -> tuple[list, _Words]:
     return groups, _words(data, offsets, own, salt, longest)
 
 
-def _pair_units(words: _Words) -> np.ndarray:
-    """A hash of each word with its follower; that of the last word means nothing."""
-    return B.mix(words.unit * np.uint64(0xD6E8FEB86659FD93) + np.roll(words.unit, -1))
+def _later(values: np.ndarray, by: int) -> np.ndarray:
+    """What lies ``by`` words on; nothing beyond the last."""
+    return np.append(values[by:], np.zeros(min(by, len(values)), values.dtype))
+
+
+def _chain(words: _Words, length: int) -> np.ndarray:
+    """A hash of each ``length`` words in a row; it means nothing where the piece ends before."""
+    unit = words.unit
+    for k in range(1, length):
+        unit = B.mix(unit * np.uint64(0xD6E8FEB86659FD93) + _later(words.unit, k))
+    return unit
 
 
 def _cells(keys: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -137,12 +146,16 @@ def _cells(keys: np.ndarray, bits: int) -> list[np.ndarray]:
     return [(B.mix(keys ^ seed) >> np.uint64(64 - bits)).astype(np.int64) + (i << bits) for i, seed in enumerate(_SEEDS)]
 
 
+def _counter(least: int):
+    return np.uint8 if least < 256 else np.uint32
+
+
 def _sketched(found: list[np.ndarray], least: int) -> Iterator[pa.RecordBatch]:
     """Counts of the cells met, up to ``least``, by segment of the sketch."""
     places, counts = np.unique(np.concatenate(found), return_counts=True)
     edges = np.append(np.flatnonzero(np.diff(places >> 16, prepend=-1)), len(places))
     inside = (places & (_SEGMENT - 1)).astype(np.uint16)
-    counts = np.minimum(counts, least).astype(np.uint16)
+    counts = np.minimum(counts, least).astype(_counter(least))
     for at in range(0, len(edges) - 1, 1024):
         part = list(zip(edges[at : at + 1024], edges[at + 1 : at + 1025]))
         yield pa.RecordBatch.from_arrays(
@@ -165,7 +178,7 @@ def _added(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordB
                 if now is not None and (total >= least).any():
                     out.append((now, np.packbits(total >= least).tobytes()))
                 now, total = segment, np.zeros(_SEGMENT, np.int64)
-            total[np.frombuffer(cells, np.uint16)] += np.frombuffer(counts, np.uint16)
+            total[np.frombuffer(cells, np.uint16)] += np.frombuffer(counts, _counter(least))
         yield _flags(out)
     if now is not None and (total >= least).any():
         yield _flags([(now, np.packbits(total >= least).tobytes())])
@@ -175,8 +188,8 @@ def _flags(out: list[tuple[int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([s for s, _ in out], pa.int64()), pa.array([f for _, f in out], pa.binary())], names=["segment", "flags"])
 
 
-class Frequent:
-    """Which words and pairs may be frequent: one bit for each cell of the added-up sketch."""
+class Sketch:
+    """One bit for each cell of an added-up sketch: whether it counts ``least`` or more."""
 
     def __init__(self, bits: int, flags: np.ndarray):
         self.bits, self.flags = bits, flags
@@ -188,14 +201,43 @@ class Frequent:
         return yes
 
 
-def frequent_pairs(texts: DataFrame, phrases: Phrases) -> Frequent:
-    """The sketch of all words and word pairs of ``texts`` (grp, text)."""
+@dataclass(frozen=True)
+class Frequent:
+    """Which words, pairs and triples may be frequent."""
+
+    pairs: Sketch
+    triples: Sketch | None = None
+
+    def of_two(self, words: _Words) -> np.ndarray:
+        return self.pairs(_chain(words, 2)) & (words.run > 1)
+
+    def of_three(self, words: _Words) -> np.ndarray:
+        """Triples in a piece both of whose pairs may be frequent, and they themselves if that is known."""
+        pair = self.of_two(words)
+        both = pair & _later(pair, 1)
+        return both if self.triples is None else both & self.triples(_chain(words, 3))
+
+    def reach(self, words: _Words, longest: int) -> np.ndarray:
+        """How many words the longest phrase from each word on has; 0 where the word is rare."""
+        going = self.pairs(words.unit)
+        length = going.astype(np.int64)
+        going &= self.of_two(words)
+        length += going
+        triple = self.of_three(words)
+        for step in range(longest - 2):
+            going &= _later(triple, step)
+            length += going
+        return length
+
+
+def _sketch(texts: DataFrame, phrases: Phrases, keys_of) -> Sketch:
+    """The added-up sketch of the keys that ``keys_of`` gives for each block of words."""
     bits, least, longest = phrases.bits, phrases.least, phrases.longest
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, held = [], 0
         for _, words in _blocks(batches, longest):
-            keys = np.concatenate([words.unit[words.own], _pair_units(words)[words.own & (words.run > 1)]])
+            keys = keys_of(words)
             found += _cells(keys, bits)
             held += 2 * len(keys)
             if held >= _FLUSH:
@@ -209,7 +251,22 @@ def frequent_pairs(texts: DataFrame, phrases: Phrases) -> Frequent:
     flags = np.zeros((2 << bits) // 8, np.uint8)
     for row in merged.toLocalIterator():
         flags[row.segment * _SEGMENT // 8 : (row.segment + 1) * _SEGMENT // 8] = np.frombuffer(row.flags, np.uint8)
-    return Frequent(bits, flags)
+    return Sketch(bits, flags)
+
+
+def frequent(texts: DataFrame, phrases: Phrases) -> Frequent:
+    """The sketches of words and pairs, and of triples, of ``texts`` (grp, text)."""
+
+    def singles_and_pairs(words: _Words) -> np.ndarray:
+        return np.concatenate([words.unit[words.own], _chain(words, 2)[words.own & (words.run > 1)]])
+
+    known = Frequent(_sketch(texts, phrases, singles_and_pairs))
+    shared = texts.sparkSession.sparkContext.broadcast(known)
+
+    def triples(words: _Words) -> np.ndarray:
+        return _chain(words, 3)[words.own & shared.value.of_three(words)]
+
+    return Frequent(known.pairs, _sketch(texts, phrases, triples))
 
 
 def _joined(words: _Words, first: np.ndarray, length: np.ndarray) -> pa.Array:
@@ -236,19 +293,11 @@ def edges(texts: DataFrame, phrases: Phrases, known: Frequent) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(known)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = shared.value
         for groups, words in _blocks(batches, longest):
-            names, group = np.unique(np.array(groups, object).astype(str), return_inverse=True) if len(groups) else ([], [])
+            names, group = np.unique(np.array(groups, object).astype(str), return_inverse=True)
             total = np.bincount(group[words.text[words.own]], minlength=len(names))
-            single = frequent(words.unit)
-            pair = frequent(_pair_units(words)) & (words.run > 1)
-            length = np.ones(len(words.unit), np.int64)
-            going = single.copy()
-            for step in range(longest - 1):
-                # The pair that begins ``step`` words on lies in the piece and may be frequent.
-                going = going & np.append(pair[step:], np.zeros(min(step, len(pair)), bool))
-                length += going
-            first = np.flatnonzero(single & words.own)
+            length = shared.value.reach(words, longest)
+            first = np.flatnonzero((length > 0) & words.own)
             length, unit = length[first], words.unit
             key = unit[first]
             for k in range(1, longest):
@@ -321,7 +370,7 @@ def collocations(docs: DataFrame, phrases: Phrases = Phrases(), text_col: str =
     not read. Arithmetic is exact in 38 digits, for groups of up to 10**17 words. Counts are exact up to hashes of 64 bits, compared inside one block of about a megabyte only.
     """
     texts = docs.select(F.coalesce(F.col(f"`{group_col}`").cast("string"), F.lit(unknown)).alias("grp"), F.col(f"`{text_col}`").alias("text"))
-    weights = cut_lineage(edges(texts, phrases, frequent_pairs(texts, phrases)))
+    weights = cut_lineage(edges(texts, phrases, frequent(texts, phrases)))
     ranked = scored_phrases(weights, phrases)
     long = [F.col(c).cast("long") for c in ("k", "a", "l", "r", "n", "score")]
     return ranked.select(F.col("grp").alias(group_col), F.col("rank").cast("long").alias("rank"), "phrase", *long)
