@@ -175,10 +175,27 @@ def classify_shapes(shapes: DataFrame) -> DataFrame:
     return shapes.withColumn("rule_applied", rule).withColumn("object_kind", kind)
 
 
+def whole_references(fks: DataFrame) -> DataFrame:
+    """One row per reference: ``column_name`` lists a composite reference's columns, comma between two.
+
+    Columns that share a ``ref_name`` are one reference to one table, in the order of the columns
+    they refer to (``ref_column_name``, if there, else their own): that of the parts of a composite id. A null
+    ``ref_name``, or none at all, makes a column a reference of its own. A reference is as wide as a key.
+    """
+    if "ref_name" not in fks.columns:
+        return fks
+    target = ["ref_table_schema", "ref_table_name"]
+    own = F.when(F.col("ref_name").isNull(), F.col("column_name"))
+    place = F.col("ref_column_name" if "ref_column_name" in fks.columns else "column_name").alias("at")
+    columns = F.array_sort(F.collect_set(F.struct(place, F.col("column_name").alias("col"))))
+    grouped = fks.groupBy(*_TABLE, *target, "ref_name", own.alias("_own")).agg(columns.alias("_cols"))
+    return grouped.select(*_TABLE, F.array_join("_cols.col", ",").alias("column_name"), *target, "ref_name")
+
+
 def first_two_references(fks: DataFrame) -> DataFrame:
-    """Per table, what its first two reference columns point at: ref_table_1, ref_table_2.
+    """Per table, what its first two references point at: ref_table_1, ref_table_2.
 
-    The rank filter is applied before the shuffle too, so a table keeps at most two rows
+    A composite reference (:func:`whole_references`) counts once. The rank filter is applied before the shuffle too, so a table keeps at most two rows
     per task.
     """
     order = Window.partitionBy(*_TABLE).orderBy(
@@ -186,7 +203,8 @@ def first_two_references(fks: DataFrame) -> DataFrame:
     )
     target = source_object("ref_table_schema", "ref_table_name")
     return (
-        fks.withColumn("rank", F.row_number().over(order))
+        whole_references(fks)
+        .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= 2)
         .groupBy(*_TABLE)
         .agg(

@@ -20,7 +20,7 @@ from weftgraph.functions.text import (
     sql_literal_body,
     without_key_suffix,
 )
-from weftgraph.operators.classify import ATTRIBUTE, EDGE_TYPE, NODE_TYPE, source_object
+from weftgraph.operators.classify import ATTRIBUTE, EDGE_TYPE, NODE_TYPE, source_object, whole_references
 from weftgraph.operators.decide import ACTIONABLE
 from weftgraph.operators.review import APPROVED, unpack_source
 from weftgraph.specs import FkEdgeSpec, JunctionEdgeSpec, NodeSpec
@@ -105,12 +105,12 @@ def key_lists(pks: DataFrame) -> DataFrame:
 
 def reference_lists(fks: DataFrame, node_types: DataFrame) -> DataFrame:
     """Per table: its references in the order of :func:`first_two_references`, and, by name, the
-    reference columns that point at a known node type with that type. Both are bounded by the
-    width of the table."""
+    reference columns that point at a known node type with that type. A composite reference is one
+    entry of both, its columns listed in one text. Both are bounded by the width of the table."""
     targets = node_types.select(
         F.col("node_type").alias("to_type"), F.col("source_object").alias("_ref")
     )
-    named = fks.withColumn("_ref", source_object("ref_table_schema", "ref_table_name"))
+    named = whole_references(fks).withColumn("_ref", source_object("ref_table_schema", "ref_table_name"))
     tied = F.when(F.col("to_type").isNotNull(), F.struct("column_name", "to_type"))
     return (
         named.join(targets, "_ref", "left")
@@ -228,11 +228,13 @@ def node_specs(plan: Iterable[Row]) -> list[NodeSpec]:
 
 
 def edge_specs(plan: Iterable[Row]) -> list[FkEdgeSpec | JunctionEdgeSpec]:
-    """Specs of the edge loads among collected plan rows."""
+    """Specs of the edge loads among collected plan rows; one over a composite reference is refused."""
     specs: list[FkEdgeSpec | JunctionEdgeSpec] = []
     for r in plan:
         if r.artifact_type != POPULATION_SCRIPT or r.object_kind != EDGE_TYPE:
             continue
+        if any("," in (c or "") for c in (r.src_column, r.dst_column)):
+            raise ValueError(f"{r.type_name} loads a composite reference: {r.src_column or r.dst_column}")
         if r.src_column is None:
             specs.append(
                 FkEdgeSpec(
@@ -285,6 +287,11 @@ def with_draft_text(plan: DataFrame, header: str = "-- Draft for review.") -> Da
             pieces += [F.lit(before), F.coalesce(values[key], F.lit("<missing>"))]
         return F.concat(*pieces, F.lit(rest))
 
+    def as_id(columns: str) -> Column:
+        parts = F.transform(F.split(columns, ","), lambda c: F.concat(F.lit("cast("), c, F.lit(" as string)")))
+        return F.array_join(parts, " || '_' || ")
+
+    is_set = F.array_join(F.transform(F.split("dst_column", ","), lambda c: F.concat(c, F.lit(" IS NOT NULL"))), " AND ")
     common = {
         "name": name,
         "ident": ident,
@@ -296,6 +303,9 @@ def with_draft_text(plan: DataFrame, header: str = "-- Draft for review.") -> Da
         "id": node_id,
         "src": F.col("src_column"),
         "dst": F.col("dst_column"),
+        "src_id": as_id("src_column"),
+        "dst_id": as_id("dst_column"),
+        "dst_set": F.coalesce(is_set, F.lit("<missing> IS NOT NULL")),
         "owner": F.col("owner_type"),
         "column": F.col("source_column"),
         "sentence": view_sentence(F.col("object_kind"), name),
@@ -342,14 +352,14 @@ def with_draft_text(plan: DataFrame, header: str = "-- Draft for review.") -> Da
     fk_load = lines(
         "INSERT INTO edges (edge_type, src_type, src_id, dst_type, dst_id, source_object)",
         text("SELECT '{name}', '{from}', {id},", **common),
-        text("  '{to}', cast({dst} as string), '{source}'", **common),
-        text("FROM {source} WHERE {dst} IS NOT NULL;", **common),
+        text("  '{to}', {dst_id}, '{source}'", **common),
+        text("FROM {source} WHERE {dst_set};", **common),
     )
     junction_load = lines(
         text("-- Check that {src} names a {from} and {dst} a {to}.", **common),
         "INSERT INTO edges (edge_type, src_type, src_id, dst_type, dst_id, props, source_object)",
-        text("SELECT '{name}', '{from}', cast({src} as string),", **common),
-        text("  '{to}', cast({dst} as string),", **common),
+        text("SELECT '{name}', '{from}', {src_id},", **common),
+        text("  '{to}', {dst_id},", **common),
         text("  to_json(struct(* EXCEPT ({src}, {dst}))), '{source}'", **common),
         text("FROM {source};", **common),
     )

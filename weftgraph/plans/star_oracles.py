@@ -380,6 +380,117 @@ SELECT table_name, column_name, edge_to,
 FROM s
 """
 
+# ---------------------------------------------------------------- keys and references from values alone
+
+# The compared columns of each table by class: whole numbers, texts, doubles and times.
+_CLASSES = {
+    "region": {"i": "r_regionkey", "s": "r_name"},
+    "nation": {"i": "n_nationkey n_regionkey", "s": "n_name"},
+    "customer": {"i": "c_custkey c_nationkey", "s": "c_name c_mktsegment", "d": "c_acctbal"},
+    "supplier": {"i": "s_suppkey s_nationkey", "s": "s_name", "d": "s_acctbal"},
+    "part": {"i": "p_partkey p_size", "s": "p_name p_brand p_type", "d": "p_retailprice"},
+    "orders": {"i": "o_orderkey o_custkey", "s": "o_orderstatus o_orderpriority", "d": "o_totalprice", "t": "o_orderdate"},
+    "lineitem": {
+        "i": "l_orderkey l_partkey l_suppkey l_linenumber",
+        "s": "l_returnflag l_linestatus",
+        "d": "l_quantity l_extendedprice l_discount l_tax",
+        "t": "l_shipdate",
+    },
+    "events": {"i": "event_id user_id", "s": "event_type props", "d": "value", "t": "ts"},
+    "documents": {"i": "doc_id n_chars", "s": "text lang source"},
+    "embeddings": {"i": "vec_id label"},
+    "pages": {"i": "page_id", "s": "url html"},
+    "benchmark": {"i": "item_id", "s": "text"},
+    "labels": {"i": "doc_id quality toxic"},
+    "conversations": {"i": "conv_id turn", "s": "role text"},
+}
+_COMPARED = [(t, c, k) for t, kinds in _CLASSES.items() for k, cols in kinds.items() for c in cols.split()]
+_SINGLE = {
+    "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey",
+    "orders": "o_orderkey", "events": "event_id", "documents": "doc_id", "labels": "doc_id", "embeddings": "vec_id",
+    "pages": "page_id", "benchmark": "item_id",
+}
+
+
+def _held(kind: str) -> str:
+    cast = {"i": "BIGINT", "s": "VARCHAR", "d": "DOUBLE", "t": "TIMESTAMP"}[kind]
+    return _union(
+        [
+            f"SELECT '{t}' AS t, '{c}' AS c, {c}::{cast} AS v, count(*) AS n FROM {t} WHERE {c} IS NOT NULL GROUP BY {c}"
+            for t, c, k in _COMPARED
+            if k == kind
+        ]
+    )
+
+
+def _included_pairs(kind: str) -> str:
+    return f"""
+SELECT a.t AS child, a.c AS child_col, b.t AS parent, b.c AS parent_col, any_value(s.n_rows) AS n_rows, any_value(s.n_distinct) AS n_distinct
+FROM held_{kind} a JOIN held_{kind} b ON a.v = b.v AND (a.t, a.c) <> (b.t, b.c)
+JOIN (SELECT t, c, sum(n)::BIGINT AS n_rows, count(*) AS n_distinct FROM held_{kind} GROUP BY t, c) s ON s.t = a.t AND s.c = a.c
+GROUP BY a.t, a.c, b.t, b.c HAVING count(*) = any_value(s.n_distinct)"""
+
+
+_ALL_INCLUDED = (
+    "WITH " + ", ".join(f"held_{k} AS ({_held(k)})" for k in "isdt") + f", included AS ({_union([_included_pairs(k) for k in 'isdt'])})"
+)
+_FOUND_INCLUSIONS = f"{_ALL_INCLUDED} SELECT child, child_col, parent, parent_col, n_distinct FROM included"
+_SCREENED_REFERENCES = f"""{_ALL_INCLUDED}
+SELECT * FROM included WHERE (parent, parent_col) IN ({", ".join(f"('{t}', '{c}')" for t, c in _SINGLE.items())})"""
+
+_COMPOSITE_KEYS = [
+    ("conversations", ("conv_id", "turn")),
+    ("lineitem", ("l_orderkey", "l_linenumber")),
+    ("part_supplier", ("l_partkey", "l_suppkey")),
+    ("order_line", ("l_linenumber", "l_orderkey")),
+]
+
+
+def _composite(child: str, cols: tuple[str, str], parent: str, key: tuple[str, str]) -> str:
+    (x, y), (k, m) = cols, key
+    listed = f"{x},{y}" if k < m else f"{y},{x}"
+    return (
+        f"SELECT '{child}' AS table_name, '{listed}' AS columns, '{parent}' AS ref_table_name, "
+        f"'{child}({x},{y})->{parent}({k},{m})' AS ref_name "
+        f"WHERE EXISTS (SELECT 1 FROM {child} WHERE {x} IS NOT NULL AND {y} IS NOT NULL) "
+        f"AND NOT EXISTS (SELECT 1 FROM {child} a WHERE {x} IS NOT NULL AND {y} IS NOT NULL "
+        f"AND NOT EXISTS (SELECT 1 FROM {parent} b WHERE b.{k} = a.{x} AND b.{m} = a.{y}))"
+    )
+
+
+_WITH_PAIRS = {t: kinds["i"].split() for t, kinds in _CLASSES.items()} | {
+    "part_supplier": ["l_partkey", "l_suppkey"],
+    "order_line": ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
+}
+_COMPOSITE_REFERENCES = (
+    "WITH part_supplier AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem), order_line AS (SELECT l_orderkey, l_linenumber, "
+    "max(l_partkey) AS l_partkey, max(l_suppkey) AS l_suppkey FROM lineitem GROUP BY l_orderkey, l_linenumber) "
+    + _union(
+        [
+            _composite(child, (x, y), parent, key)
+            for parent, key in _COMPOSITE_KEYS
+            for child, columns in _WITH_PAIRS.items()
+            for x in columns
+            for y in columns
+            if x != y and (child, (x, y)) != (parent, key)
+        ]
+    )
+)
+
+
+def _is_key(table: str, cols: tuple[str, ...]) -> str:
+    null = " OR ".join(f"{c} IS NULL" for c in cols)
+    return (
+        f"SELECT '{table}' AS table_name, '{','.join(cols)}' AS key_columns, count(*) AS n_rows, count(*) FILTER (WHERE {null}) AS n_null, "
+        f"count(*) = (SELECT count(*) FROM (SELECT DISTINCT {', '.join(cols)} FROM {table} WHERE NOT ({null}))) AS is_unique FROM {table}"
+    )
+
+
+_SCREENED_KEYS = _union(
+    [_is_key(t, (c,)) for t, c, _ in _COMPARED]
+    + [_is_key(*k) for k in [*_COMPOSITE_KEYS[:2], ("lineitem", ("l_partkey", "l_suppkey")), ("orders", ("o_custkey", "o_orderdate"))]]
+)
+
 # ---------------------------------------------------------------- review and proposals
 
 _KIND_OF_ORDER = (
@@ -787,6 +898,10 @@ SELECT event_type, json_key,
 FROM k GROUP BY ALL""",
     "key_uniqueness": _UNIQUENESS,
     "key_inclusion": _INCLUSION,
+    "found_inclusions": _FOUND_INCLUSIONS,
+    "composite_references": _COMPOSITE_REFERENCES,
+    "screened_keys": _SCREENED_KEYS,
+    "screened_references": _SCREENED_REFERENCES,
     "classify_columns": _CLASSIFY_COLUMNS,
     "unresolved_references": _UNRESOLVED,
     "table_shapes": f"""

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftgraph.functions.keys import content_key
-from weftgraph.operators import classify, decide, detect, draft, graph, profile, review
+from weftgraph.operators import classify, decide, detect, draft, graph, profile, references, review
 from weftgraph.plans.cycle import run_cycle
 from weftgraph.session import configure, cut_lineage, new_dir
 from weftgraph.sources.tables import (
@@ -495,6 +495,47 @@ def _profiled(
     return tables, pks, fks
 
 
+def found_inclusions(t: Tables) -> DataFrame:
+    """Every pair of columns of all tables of which one holds all values of the other."""
+    return references.discover_inclusions(t.all(TABLES))
+
+
+def _with_pairs(t: Tables) -> dict[str, DataFrame]:
+    """All tables and the two with composite keys that lineitem gives."""
+    stats = cut_lineage(part_supplier_stats(t))
+    pairs = {"part_supplier": stats.select("l_partkey", "l_suppkey"), "order_line": cut_lineage(order_line(t))}
+    return t.all(TABLES) | pairs
+
+
+def _composites(t: Tables) -> list[references.CompositeReference]:
+    tables = _with_pairs(t)
+    singles = references.discover_inclusions(tables)
+    keys = [*_MORE_KEYS, *(k for k in _DERIVED_KEYS if k[0] in tables)]
+    return references.discover_composites(tables, singles, keys)
+
+
+def composite_references(t: Tables) -> DataFrame:
+    """References to whole composite keys, one row per reference."""
+    rows = references.reference_rows(t.spark, _composites(t), SCHEMA)
+    return classify.whole_references(rows).select("table_name", F.col("column_name").alias("columns"), "ref_table_name", "ref_name")
+
+
+def screened_keys(t: Tables) -> DataFrame:
+    """Which columns, and which pairs of columns, identify the rows of their table."""
+    tables = t.all(TABLES)
+    candidates = [(table, (c,)) for table, c, _ in references.compared_columns(tables)]
+    candidates += [*_MORE_KEYS, ("lineitem", ("l_partkey", "l_suppkey")), ("orders", ("o_custkey", "o_orderdate"))]
+    return references.screened_uniqueness(tables, candidates).select("table_name", "key_columns", "n_rows", "n_null", "is_unique")
+
+
+def screened_references(t: Tables) -> DataFrame:
+    """Columns whose values all occur in a one-column key, names aside."""
+    tables = t.all(TABLES)
+    pairs = references.pairs_of_class(tables, list(SINGLE_KEYS.items()))
+    found = references.screened_inclusion(tables, pairs)
+    return found.where("n_distinct > 0 AND n_missing = 0").select("child", "child_col", "parent", "parent_col", "n_rows", "n_distinct")
+
+
 # ---------------------------------------------------------------- classification
 
 
@@ -1217,6 +1258,10 @@ QUERIES: dict[str, Query] = {
         observed_changes,
         key_uniqueness,
         key_inclusion,
+        found_inclusions,
+        composite_references,
+        screened_keys,
+        screened_references,
         classify_columns,
         unresolved_references,
         table_shapes,
