@@ -49,6 +49,13 @@ def key_text(key_cols: Sequence[str]) -> Column:
     return F.concat(*parts)
 
 
+def parts_key(*parts: Column | str) -> Column:
+    """SHA-256 over any number of parts, told apart by their lengths in bytes; null is no empty text."""
+    texts = [(F.col(p) if isinstance(p, str) else p).cast("string") for p in parts]
+    sized = [F.coalesce(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.sha2(F.concat(*sized), 256)
+
+
 def node_key(node_type: Column, node_id: Column) -> Column:
     """Surrogate key of a node, from its type and :func:`key_text`; null when that is null."""
     return F.sha2(F.concat(node_type, F.lit(TYPE_SEPARATOR), node_id), 256)

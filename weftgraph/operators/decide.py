@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftgraph.functions.keys import parts_key
 from weftgraph.functions.ordered import last_before
 from weftgraph.operators.classify import ATTRIBUTE, EDGE_TYPE, NODE_TYPE
 from weftgraph.operators.review import APPROVED, DEFERRED, PENDING, REJECTED
@@ -126,7 +127,7 @@ def apply_decisions(proposals: DataFrame, judged: DataFrame) -> DataFrame:
 
 def audit_rows(judged: DataFrame) -> DataFrame:
     """One audit row per accepted decision; the log id is a hash, not a counter."""
-    log_id = F.sha2(F.concat_ws("|", "proposal_id", "decision_seq", "decided_ts"), 256)
+    log_id = parts_key("proposal_id", "decision_seq", "decided_ts")
     return judged.where(F.col("result") == OK).select(
         log_id.alias("log_id"), "proposal_id", "status", "decided_by", "decided_ts", "rationale"
     )

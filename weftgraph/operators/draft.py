@@ -12,6 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from weftgraph.functions.keys import parts_key
 from weftgraph.functions.text import (
     DESCRIPTION_SLOT,
     KEY_SUFFIX,
@@ -197,8 +198,7 @@ def plan_changes(
         "skip_reason",
     )
     identity = ("proposal_id", "artifact_type", "type_name", "to_type", "dst_column")
-    text = F.concat_ws("|", *(F.coalesce(F.col(c), F.lit("")) for c in identity))
-    return planned.withColumn("artifact_id", F.sha2(text, 256)).select(*_PLAN)
+    return planned.withColumn("artifact_id", parts_key(*identity)).select(*_PLAN)
 
 
 def _parts(artifact_types: list[str], kind: str, name: Column, **fields: Column) -> Column:

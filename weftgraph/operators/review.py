@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftgraph.functions.keys import content_key
+from weftgraph.functions.keys import content_key, parts_key
 from weftgraph.functions.parsing import with_parsed
 from weftgraph.operators.classify import ATTRIBUTE, EDGE_TYPE, FLAGGED, NODE_TYPE
 from weftgraph.operators.graph import one_per_key
@@ -64,8 +64,7 @@ def as_candidates(rows: DataFrame) -> DataFrame:
     """Add a deterministic ``candidate_id`` and the empty review columns, where absent."""
     if "candidate_id" not in rows.columns:
         parts = ("run_id", *_PLACE, "rule_applied", "edge_to")
-        text = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in parts))
-        rows = rows.withColumn("candidate_id", F.sha2(text, 256))
+        rows = rows.withColumn("candidate_id", parts_key(*parts))
     blanks = {c: F.lit(None).cast(t) for c, t in _REVIEW.items() if c not in rows.columns}
     return rows.withColumns(blanks) if blanks else rows
 
@@ -119,14 +118,16 @@ def score_prompts(
     """Run ``scorer`` over batches of prompts on the executors: id, response.
 
     The scorer is the caller's; it gets the prompts of one Arrow batch and returns as many
-    JSON texts. This is the only place where rows pass through Python.
+    JSON texts; another number of them fails the task. This is the only place where rows pass through Python.
     """
     id_type = dict(prompts.dtypes)[id_col]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            answers = scorer(batch["prompt"])
-            yield pd.DataFrame({id_col: batch[id_col], "response": list(answers)})
+            answers = list(scorer(batch["prompt"]))
+            if len(answers) != len(batch):
+                raise ValueError(f"the scorer gave {len(answers)} answers to {len(batch)} prompts")
+            yield pd.DataFrame({id_col: batch[id_col], "response": answers})
 
     return prompts.select(id_col, "prompt").mapInPandas(
         run, schema=f"{id_col} {id_type}, response string"

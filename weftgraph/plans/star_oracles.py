@@ -164,6 +164,28 @@ _MORE_KEYS = [
     ("customer", ["c_name"]),
 ]
 # (child, column, parent, column): same name stem, plus one pair given by hand.
+# The compared columns of each table by class: whole numbers, texts, doubles and times.
+_CLASSES = {
+    "region": {"i": "r_regionkey", "s": "r_name"},
+    "nation": {"i": "n_nationkey n_regionkey", "s": "n_name"},
+    "customer": {"i": "c_custkey c_nationkey", "s": "c_name c_mktsegment", "d": "c_acctbal"},
+    "supplier": {"i": "s_suppkey s_nationkey", "s": "s_name", "d": "s_acctbal"},
+    "part": {"i": "p_partkey p_size", "s": "p_name p_brand p_type", "d": "p_retailprice"},
+    "orders": {"i": "o_orderkey o_custkey", "s": "o_orderstatus o_orderpriority", "d": "o_totalprice", "t": "o_orderdate"},
+    "lineitem": {
+        "i": "l_orderkey l_partkey l_suppkey l_linenumber",
+        "s": "l_returnflag l_linestatus",
+        "d": "l_quantity l_extendedprice l_discount l_tax",
+        "t": "l_shipdate",
+    },
+    "events": {"i": "event_id user_id", "s": "event_type props", "d": "value", "t": "ts"},
+    "documents": {"i": "doc_id n_chars", "s": "text lang source"},
+    "embeddings": {"i": "vec_id label"},
+    "pages": {"i": "page_id", "s": "url html"},
+    "benchmark": {"i": "item_id", "s": "text"},
+    "labels": {"i": "doc_id quality toxic"},
+    "conversations": {"i": "conv_id turn", "s": "role text"},
+}
 _REFS = [
     ("nation", "n_regionkey", "region", "r_regionkey"),
     ("customer", "c_nationkey", "nation", "n_nationkey"),
@@ -325,16 +347,10 @@ SELECT table_name, {_KIND} AS object_kind, rule_applied,
 FROM judged
 """
 
-_CHANGED = {
-    "nation": ["n_name", "n_regionkey"],
-    "customer": ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
-    "supplier": ["s_name", "s_nationkey", "s_acctbal"],
-    "orders": ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
-    "events": ["ts", "user_id", "event_type", "value", "props"],
-}
+_ALL_COLUMNS = [(t, c) for t, kinds in _CLASSES.items() for cols in kinds.values() for c in cols.split()] + [("embeddings", "embedding")]
 _NEW_COLUMNS = (
     "col(table_name, column_name) AS (VALUES "
-    + ", ".join(f"('{t}', '{c}')" for t, cols in _CHANGED.items() for c in cols)
+    + ", ".join(f"('{t}', '{c}')" for t, c in _ALL_COLUMNS)
     + ")"
 )
 _KNOWN = "('region','nation','customer','supplier','part','orders')"
@@ -382,28 +398,6 @@ FROM s
 
 # ---------------------------------------------------------------- keys and references from values alone
 
-# The compared columns of each table by class: whole numbers, texts, doubles and times.
-_CLASSES = {
-    "region": {"i": "r_regionkey", "s": "r_name"},
-    "nation": {"i": "n_nationkey n_regionkey", "s": "n_name"},
-    "customer": {"i": "c_custkey c_nationkey", "s": "c_name c_mktsegment", "d": "c_acctbal"},
-    "supplier": {"i": "s_suppkey s_nationkey", "s": "s_name", "d": "s_acctbal"},
-    "part": {"i": "p_partkey p_size", "s": "p_name p_brand p_type", "d": "p_retailprice"},
-    "orders": {"i": "o_orderkey o_custkey", "s": "o_orderstatus o_orderpriority", "d": "o_totalprice", "t": "o_orderdate"},
-    "lineitem": {
-        "i": "l_orderkey l_partkey l_suppkey l_linenumber",
-        "s": "l_returnflag l_linestatus",
-        "d": "l_quantity l_extendedprice l_discount l_tax",
-        "t": "l_shipdate",
-    },
-    "events": {"i": "event_id user_id", "s": "event_type props", "d": "value", "t": "ts"},
-    "documents": {"i": "doc_id n_chars", "s": "text lang source"},
-    "embeddings": {"i": "vec_id label"},
-    "pages": {"i": "page_id", "s": "url html"},
-    "benchmark": {"i": "item_id", "s": "text"},
-    "labels": {"i": "doc_id quality toxic"},
-    "conversations": {"i": "conv_id turn", "s": "role text"},
-}
 _COMPARED = [(t, c, k) for t, kinds in _CLASSES.items() for k, cols in kinds.items() for c in cols.split()]
 _SINGLE = {
     "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey",
@@ -503,8 +497,7 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-_REVIEW_PROMPTS = f"""
-SELECT o_orderkey::VARCHAR AS candidate_id, sha256(concat_ws(chr(10),
+_PROMPT = f"""concat_ws(chr(10),
   {_quoted(PROMPT_INTRO)},
   'Domain: wholesale',
   'Source: ' || o_orderpriority || '.c' || o_custkey || '.o' || o_orderkey,
@@ -516,8 +509,14 @@ SELECT o_orderkey::VARCHAR AS candidate_id, sha256(concat_ws(chr(10),
   'Details: none',
   'Table comment: ' || coalesce('segment ' || c_mktsegment, 'none'),
   'Column comment: ' || CASE WHEN o_orderkey % 3 = 0 THEN 'status ' || o_orderstatus ELSE 'none' END,
-  {_quoted(PROMPT_TASK)})) AS prompt_hash
-FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND o_orderpriority = '5-LOW'
+  {_quoted(PROMPT_TASK)})"""
+_PROMPTED = "FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND o_orderpriority = '5-LOW'"
+_REVIEW_PROMPTS = f"SELECT o_orderkey::VARCHAR AS candidate_id, sha256({_PROMPT}) AS prompt_hash {_PROMPTED}"
+_HOOK_ANSWERS = f"""
+SELECT o_orderkey::VARCHAR AS candidate_id,
+  length({_PROMPT}) % 2 = 0 AS ai_agrees_with_rule, 'EDGE_TYPE' AS ai_recommended_kind,
+  (length({_PROMPT}) % 128) / 128.0::DOUBLE AS ai_confidence, 'prompt of ' || length({_PROMPT}) || ' characters' AS ai_rationale
+{_PROMPTED}
 """
 _K = "json_extract_string(props, '$.k')::INTEGER / 64.0::DOUBLE"
 _VALID = f"event_type <> 'error' AND {_K} BETWEEN 0 AND 1 AND event_id % 13 <> 0"
@@ -616,7 +615,8 @@ SELECT p.proposal_id, s.status, s.name AS final_name, s.kind AS final_object_kin
 FROM step s JOIN proposal p USING (o_orderkey) WHERE s.seq = 3
 """
 _AUDIT = f"""{_REPLAY}
-SELECT d.proposal_id, d.status, 'reviewer' AS decided_by, d.decided_ts, d.rationale
+SELECT sha256(strlen(d.proposal_id) || ':' || d.proposal_id || strlen(d.seq::VARCHAR) || ':' || d.seq || strlen(d.decided_ts::VARCHAR) || ':' || d.decided_ts) AS log_id,
+  d.proposal_id, d.status, 'reviewer' AS decided_by, d.decided_ts, d.rationale
 FROM step s JOIN decision d ON d.o_orderkey = s.o_orderkey AND d.seq = s.seq WHERE s.result = 'OK'
 """
 
@@ -913,6 +913,7 @@ FROM shape""",
 WITH {_SHAPES}
 SELECT {_KIND} AS object_kind, rule_applied, count(*) AS candidates FROM judged GROUP BY ALL""",
     "review_prompts": _REVIEW_PROMPTS,
+    "hook_answers": _HOOK_ANSWERS,
     "review_scores": _REVIEW_SCORES,
     "review_parse": _REVIEW_PARSE,
     "review_rejects": _REVIEW_REJECTS,
@@ -940,8 +941,9 @@ SELECT o_custkey::VARCHAR AS proposal_id, c_name AS final_name, o_orderkey::VARC
   max(o_orderdate) OVER (PARTITION BY o_custkey) AS proposal_latest_ts
 FROM orders JOIN customer ON c_custkey = o_custkey""",
     "export_json": """
-SELECT o_custkey::VARCHAR AS proposal_id, c_name AS final_name, c_mktsegment AS table_schema,
-  c_name AS table_name, NULL::VARCHAR AS column_name, o_orderkey::VARCHAR AS artifact_id,
+SELECT o_custkey::VARCHAR AS proposal_id, c_name AS final_name, 'NODE_TYPE' AS final_object_kind, NULL::VARCHAR AS edge_from,
+  NULL::VARCHAR AS edge_to, c_mktsegment AS table_schema, c_name AS table_name, NULL::VARCHAR AS column_name,
+  o_orderkey::VARCHAR AS artifact_id, o_orderpriority AS artifact_type, 'DRAFT' AS dev_status, NULL::VARCHAR AS ai_notes,
   'say "' || o_orderstatus || '"' || chr(10) AS template_sql,
   CASE WHEN o_orderkey % 2 = 0 THEN 'refined' END AS ai_refined_sql
 FROM orders JOIN customer ON c_custkey = o_custkey""",

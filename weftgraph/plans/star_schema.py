@@ -540,11 +540,8 @@ def screened_references(t: Tables) -> DataFrame:
 
 
 def _new_columns(tables: dict[str, DataFrame]) -> DataFrame:
-    """Every non-key column of five tables, as new in one run."""
-    changed = ["nation", "customer", "supplier", "orders", "events"]
-    columns = catalog_snapshot({t: tables[t] for t in changed}, SCHEMA)
-    keys = F.col("column_name").isin(*(SINGLE_KEYS[t] for t in changed))
-    return columns.where(~keys).select(
+    """Every column of every table, as new in one run."""
+    return catalog_snapshot(tables, SCHEMA).select(
         F.lit("run-1").alias("run_id"),
         "table_schema",
         "table_name",
@@ -641,7 +638,7 @@ def _order_candidates(t: Tables) -> DataFrame:
     return review.as_candidates(rows)
 
 
-def review_prompts(t: Tables) -> DataFrame:
+def _prompts(t: Tables) -> DataFrame:
     orders, customers = (t[name] for name in ("orders", "customer"))
     place = orders.select(
         F.col("o_orderpriority").alias("table_schema"),
@@ -656,10 +653,22 @@ def review_prompts(t: Tables) -> DataFrame:
         F.lit(None).cast("string").alias("column_name"),
         F.concat(F.lit("segment "), F.col("c_mktsegment")).alias("comment"),
     )
-    prompts = review.build_prompts(
-        _order_candidates(t), place.unionByName(about), "wholesale"
-    )
-    return prompts.select("candidate_id", F.sha2("prompt", 256).alias("prompt_hash"))
+    return review.build_prompts(_order_candidates(t), place.unionByName(about), "wholesale")
+
+
+def review_prompts(t: Tables) -> DataFrame:
+    return _prompts(t).select("candidate_id", F.sha2("prompt", 256).alias("prompt_hash"))
+
+
+def hook_answers(t: Tables) -> DataFrame:
+    """Every prompt through the hook for a caller's reviewer, here one that goes by its length."""
+
+    def by_length(prompts):
+        answer = '{"agrees_with_rule":%s,"recommended_object_kind":"EDGE_TYPE","confidence":%s,"rationale":"prompt of %d characters","industry_note":""}'
+        return [answer % (str(n % 2 == 0).lower(), n % 128 / 128, n) for n in prompts.str.len()]
+
+    parsed = review.parse_responses(review.score_prompts(_prompts(t), by_length))
+    return parsed.select("candidate_id", "ai_agrees_with_rule", "ai_recommended_kind", "ai_confidence", "ai_rationale")
 
 
 def review_scores(t: Tables) -> DataFrame:
@@ -905,7 +914,7 @@ def apply_decisions(t: Tables) -> DataFrame:
 
 def decision_audit(t: Tables) -> DataFrame:
     judged = decide.judge_decisions(*_decision_inputs(t))
-    return decide.audit_rows(judged).drop("log_id")
+    return decide.audit_rows(judged)
 
 
 def recent_decisions(t: Tables) -> DataFrame:
@@ -1136,12 +1145,18 @@ def export_json(t: Tables) -> DataFrame:
     fields = [
         "proposal_id",
         "final_name",
+        "final_object_kind",
+        "edge_from",
+        "edge_to",
         "table_schema",
         "table_name",
         "column_name",
         "artifact_id",
+        "artifact_type",
+        "dev_status",
         "template_sql",
         "ai_refined_sql",
+        "ai_notes",
     ]
     parsed = F.from_json("value", ", ".join(f"{f} string" for f in fields))
     return exported.select(parsed.alias("r")).select("r.*")
@@ -1268,6 +1283,7 @@ QUERIES: dict[str, Query] = {
         classify_tables,
         candidate_summary,
         review_prompts,
+        hook_answers,
         review_scores,
         review_parse,
         review_rejects,
