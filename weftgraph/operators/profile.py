@@ -119,45 +119,47 @@ def profile_inclusion(tables: Mapping[str, DataFrame], pairs: Sequence[KeyPair])
     Output: child, child_col, parent, parent_col, n_rows, n_distinct, n_missing_rows,
     n_missing, inclusion (share of distinct values found; null without any value).
 
-    Child and parent values are unioned and grouped: one shuffle of combined values and no
-    join, however often a value is repeated on either side. Both sides are read as their
+    Every column is read and shuffled once for each type it is compared in, however many pairs it is
+    in: values are counted per column, combined in each task first, and the columns that hold a value are
+    then brought together, a list as long as there are columns. Which of a value's columns are the parents of
+    another is looked up in the list of pairs; nothing is joined by value. Both sides are read as their
     :func:`common_type`; a pair without one is refused.
     """
-    by_type: dict[str, list[DataFrame]] = {}
-    names = []
+    spark = next(iter(tables.values())).sparkSession
+    columns: dict[str, dict[tuple[str, str], int]] = {}
+    names, asked = [], {}
     for number, pair in enumerate(pairs):
-        child, parent = tables[pair.child], tables[pair.parent]
-        as_type = common_type(child.schema[pair.child_col].dataType, parent.schema[pair.parent_col].dataType)
+        ends = ((pair.child, pair.child_col), (pair.parent, pair.parent_col))
+        types = [tables[t].schema[c].dataType for t, c in ends]
+        as_type = common_type(*types)
         if as_type is None:
-            raise ValueError(f"{pair} compares {child.schema[pair.child_col].dataType} with {parent.schema[pair.parent_col].dataType}")
-        sides = ((child, pair.child_col, 1, 0), (parent, pair.parent_col, 0, 1))
-        for df, name, used, there in sides:
-            value = F.col(f"`{name}`").cast(as_type)
-            by_type.setdefault(as_type, []).append(
-                df.where(value.isNotNull()).select(
-                    F.lit(number).alias("no"),
-                    value.alias("value"),
-                    F.lit(used).cast("long").alias("used"),
-                    F.lit(there).alias("there"),
-                )
-            )
+            raise ValueError(f"{pair} compares {types[0]} with {types[1]}")
+        held = columns.setdefault(as_type, {})
+        child, parent = (held.setdefault(end, len(held)) for end in ends)
+        asked.setdefault(as_type, []).append((number, child, parent))
         names.append((number, pair.child, pair.child_col, pair.parent, pair.parent_col))
 
-    lost = F.col("there") == 0
-    counted = [
-        union_all(values)
-        .groupBy("no", "value")
-        .agg(F.sum("used").alias("used"), F.max("there").alias("there"))
-        .where(F.col("used") > 0)
-        .groupBy("no")
-        .agg(
-            F.sum("used").alias("n_rows"),
-            F.count(F.lit(1)).alias("n_distinct"),
-            F.sum(F.when(lost, F.col("used"))).alias("n_missing_rows"),
-            F.count(F.when(lost, 1)).alias("n_missing"),
+    counted = []
+    for as_type, held in columns.items():
+        values = [
+            tables[t].where(F.col(f"`{c}`").isNotNull()).select(F.lit(no).alias("column"), F.col(f"`{c}`").cast(as_type).alias("value"))
+            for (t, c), no in held.items()
+        ]
+        uses = union_all(values).groupBy("value", "column").agg(F.count(F.lit(1)).alias("used"))
+        by_value = uses.groupBy("value").agg(F.collect_list(F.struct("column", "used")).alias("uses"))
+        tested = local_rows(spark, asked[as_type], "no int, child int, parent int")
+        there = F.array_contains("columns", F.col("parent"))
+        counted.append(
+            by_value.select(F.col("uses.column").alias("columns"), F.explode("uses").alias("u"))
+            .join(tested, F.col("u.column") == F.col("child"))
+            .groupBy("no")
+            .agg(
+                F.sum("u.used").alias("n_rows"),
+                F.count(F.lit(1)).alias("n_distinct"),
+                F.sum(F.when(~there, F.col("u.used"))).alias("n_missing_rows"),
+                F.count(F.when(~there, 1)).alias("n_missing"),
+            )
         )
-        for values in by_type.values()
-    ]
     share = (F.col("n_distinct") - F.col("n_missing")) / F.col("n_distinct")
     return (
         _named(names, "no int, child string, child_col string, parent string, parent_col string", tables)
