@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tests.llm.rows import FOLDER, awkward, documents, empty
 from tests.oracle import compare
 from weftgraph.llm import fingerprints, language_id, license_scan, quality
+from weftgraph.llm.sampling import spread
 from weftgraph.llm.queries import ORACLES, queries
 
 LARGER = "/root/testdata/sf0.01"
@@ -269,3 +270,25 @@ def test_order_minhash_of_awkward_rows(spark):
     assert alone.near_next == 1 and alone.n_chars == len(alone.edited)
 
 
+
+
+def test_what_is_learnt_from_is_spread_over_long_texts(spark):
+    texts = [b"".join(bytes([k % 251]) * 8 for k in range(n)) for n in (0, 5, 128, 129, 4000)] + [None]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t binary")
+    found = {r.i: r.s for r in frame.select("i", spread(F.col("t"), 1024, 64).alias("s")).collect()}
+    assert found[5] is None and all(bytes(found[i]) == texts[i] for i in range(3))
+    assert 1024 - 64 < len(found[3]) <= 1024
+    parts = [bytes(found[4])[at : at + 64] for at in range(0, 1024, 64)]
+    places = [next(p for p in range(0, 32000, 64) if texts[4][p : p + 64] == part) for part in parts]
+    assert len(found[4]) == 1024 and min(places) < 12_000 and max(places) > 4_000
+
+
+def test_the_end_of_a_long_text_is_learnt_from(spark):
+    """Texts that begin alike and differ only beyond the bound on bytes."""
+    same = "0123456789 " * 1600
+    rows = [(i, same + ("good words are here " if i % 2 else "zzz qqq xxx spam ") * 6000, i % 2) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    model = quality.fit(docs.select("doc_id", "text"), docs.select("doc_id", "quality"))
+    tails = spark.createDataFrame([(1, "good words are here " * 50), (0, "zzz qqq xxx spam " * 50)], "doc_id long, text string")
+    found = {r.rest.doc_id: r.score for r in quality.scores(tails, model).collect()}
+    assert found[1] > 0.5 > found[0]

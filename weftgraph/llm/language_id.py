@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftgraph.llm import blocks as B
+from weftgraph.llm.sampling import spread
 from weftgraph.session import cut_lineage
 
 UNKNOWN = "und"
@@ -29,11 +30,12 @@ _MARK = 0x0A  # stands before each text, so that its first bytes have a context
 
 @dataclass(frozen=True)
 class Sample:
-    """Bounds of what is learnt from: texts in all, bytes of each; contexts met less often than
-    ``least`` are left out beyond order 2."""
+    """Bounds of what is learnt from: texts in all, bytes of each, drawn in pieces from all of a longer
+    text; contexts met less often than ``least`` are left out beyond order 2."""
 
     texts: int = 6000
     text_bytes: int = 16384
+    piece_bytes: int = 1024
     order: int = 4
     least: int = 2
 
@@ -172,7 +174,7 @@ def fit(docs: DataFrame, sample: Sample = Sample(), text_col: str = "text", lang
     for r in hashes.where(below(rough)).collect():
         smallest[r.lang].append(r.h)
     limits = {v: sorted(found)[:share][-1] for v, found in smallest.items()}
-    drawn = frame.where(below(limits)).groupBy("lang", "h").agg(F.min(F.substring(F.encode("text", "UTF-8"), 1, sample.text_bytes)).alias("text"))
+    drawn = frame.where(below(limits)).groupBy("lang", "h").agg(F.min(spread(F.encode("text", "UTF-8"), sample.text_bytes, sample.piece_bytes)).alias("text"))
     code = F.create_map(*[F.lit(x) for i, v in enumerate(languages) for x in (v, i)])
     drawn = drawn.select(F.element_at(code, F.col("lang")).alias("lang"), "text")
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftgraph.llm import blocks as B
+from weftgraph.llm.sampling import spread
 
 PIECE_BYTES = 4096
 #: Texts with a lower score are rejected.
@@ -26,7 +27,8 @@ ACCEPT = 0.3
 
 @dataclass(frozen=True)
 class Sample:
-    """Bounds of what is learnt from: texts of each label, bytes of each text, dictionary size."""
+    """Bounds of what is learnt from: texts of each label, bytes of each text, drawn in pieces from all of a
+    longer one, dictionary size."""
 
     texts: int = 2000
     text_bytes: int = 16384
@@ -103,7 +105,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: Sample = Sample(), id_col: s
     rows = (
         texts.join(F.broadcast(drawn), "_id")
         .groupBy("_id")
-        .agg(F.min("_label").alias("_label"), F.min(F.substring("_text", 1, sample.text_bytes)).alias("_text"))
+        .agg(F.min("_label").alias("_label"), F.min(spread(F.col("_text"), sample.text_bytes, PIECE_BYTES)).alias("_text"))
         .where(F.length("_text") > 0)
         .withColumn("_order", F.xxhash64("_id", F.lit(11)))
         .collect()
