@@ -136,6 +136,33 @@ def test_capped_sources(spark):
     _check_mix(mixing.schedule(frame).select("rest.doc_id", "size", "source_size", "target", taken).collect(), texts)
 
 
+@pytest.mark.parametrize("packets", [1 << 16, 4])
+def test_taken_follows_from_one_global_order(spark, monkeypatch, packets):
+    """The queue of all sources replayed: packets in the order of finish until the budget is used up."""
+    monkeypatch.setattr(mixing, "_MOST_PACKETS", packets)
+    rng = random.Random(8)
+    rows = [(i, rng.choice(["a", "b", "b", "b", None]), rng.randrange(0, 90)) for i in range(400)] + [(900, "tiny", 3), (901, "zero", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, size long").repartition(3)
+    found = mixing.schedule(docs).collect()
+    order = {s: k for k, s in enumerate(sorted({s for _, s, _ in rows}, key=lambda s: (s is None, s or "")))}
+    queue = []
+    for r in found:
+        for e in r.entries:
+            start = round(e.finish * r.target) - r.size if r.target else 0
+            if not r.size or start >= r.target:
+                continue
+            step = r.size if e.finish <= 1 else -(-r.size // packets)
+            for p in range(0, r.size, step):
+                words_ = min(step, r.size - p)
+                queue.append(((start + p + words_) / r.target, order[r.rest.source], start + p, words_, (r.rest.doc_id, e["pass"])))
+    left, want = sum(s for _, _, s in rows), Counter()
+    for *_, words_, key in sorted(queue):
+        want[key] += min(left, words_)
+        left -= min(left, words_)
+    assert left == 0
+    assert {(r.rest.doc_id, e["pass"]): e.words for r in found for e in r.entries if e.words} == {k: n for k, n in want.items() if n}
+
+
 def test_mix_takes_what_the_schedule_says(spark):
     docs = documents(spark)
     mixed = mixing.mix(docs)
