@@ -292,3 +292,13 @@ def test_the_end_of_a_long_text_is_learnt_from(spark):
     tails = spark.createDataFrame([(1, "good words are here " * 50), (0, "zzz qqq xxx spam " * 50)], "doc_id long, text string")
     found = {r.rest.doc_id: r.score for r in quality.scores(tails, model).collect()}
     assert found[1] > 0.5 > found[0]
+
+
+def test_the_curve_stays_finite_where_labels_are_told_apart():
+    """Features like those of a real sample that drove plain Newton steps away: nearly separable labels."""
+    rng = np.random.default_rng(5)
+    for gap in (0.02, 0.05, 0.2):
+        y = (rng.random(2000) < 0.5).astype(float)
+        x = quality._terms(np.stack([(2 * y - 1) * gap + rng.normal(size=2000) * 0.01, 0.4 + 0.1 * y + rng.normal(size=2000) * 0.02], axis=1))
+        w = quality._logistic(x, y)
+        assert np.abs(w).max() < 1000 and ((x @ w > 0) == (y == 1)).mean() > 0.95
