@@ -225,6 +225,112 @@ def test_signature(spark):
     assert len(set(numbered)) == 7
 
 
+def brute_pieces(text, piece=12):
+    """Words, and longer runs cut where their characters say so, one character at a time."""
+    out = []
+    for run in re.findall(r"[^\x20\x09-\x0D]+", text):
+        at = 0
+        while at < len(run):
+            if len(run) - at <= piece:
+                out.append(run[at:])
+                break
+            end = at
+            if ord(run[at]) < 128:
+                while end < len(run) and end - at < piece and ord(run[end]) < 128:
+                    end += 1
+                    if run[end - 1] in "'/7?GOW_gow":
+                        break
+                out.append(run[at:end])
+            else:
+                while end < len(run) and ord(run[end]) >= 128:
+                    end += 1
+                if end - at <= piece:
+                    out.append(run[at:end])
+                else:
+                    data, part = run[at:end].encode(), b""
+                    for i, b in enumerate(data):
+                        part += bytes([b])
+                        if b in b"\x8b\x9b\xab\xbb" or len(part) == 3 * piece or i == len(data) - 1:
+                            out.append(part.decode("latin-1"))
+                            part = b""
+            at = end
+    return out
+
+
+MIXED = [
+    "", "a", "twelve chars", "thirteenchars thirteenthchars/more", "GATTACA" * 30, "\u4f60\u597d" * 40, "\u0e01\u0e32\u0e19" * 30 + "abc" + "\U0001f600" * 20,
+    "https://example.org/a/b?q=wow_" * 5, "x" * 100, "\u00a0\u3000" * 10, "\x00\x01" * 20 + "\u00e9", "".join(chr(0x4E00 + (i * i * 7) % 9000) for i in range(900)),
+]
+
+
+def test_pieces(spark):
+    frame = spark.createDataFrame(list(enumerate(MIXED)), "i int, t string")
+    for r in frame.select("i", fingerprints._pieces(F.col("t"), 12).alias("p")).collect():
+        assert r.p == brute_pieces(MIXED[r.i]), MIXED[r.i][:40]
+
+
+@pytest.mark.parametrize("place", [0, 5, 700, 1500])
+def test_one_character_put_into_a_long_run(spark, place):
+    """Chinese, Thai-like and encoded text without spaces stay near their copies."""
+    rng = np.random.default_rng(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    runs = [
+        "".join(chr(0x4E00 + c) for c in rng.integers(0, 5000, 1500)),
+        "".join(chr(0x0E01 + c) for c in rng.integers(0, 46, 1500)),
+        "".join(letters[c] for c in rng.integers(0, 64, 1500)),
+    ]
+    frame = spark.createDataFrame([(r, r[:place] + r[7] + r[place:]) for r in runs], "a string, b string")
+    sig = lambda c: fingerprints.signature(F.col(c))
+    assert all(r.near > 0.9 for r in frame.select(fingerprints.likeness(sig("a"), sig("b")).alias("near")).collect())
+
+
+def brute_signature(spark, texts, k=2, slots=64, keep=2):
+    """Order MinHash in plain Python; only the 64-bit hash itself is asked of Spark."""
+
+    def hashes(rows, column):
+        frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, " + column)
+        cols = [c for c in frame.columns if c != "i"]
+        return [r.h for r in frame.select("i", F.xxhash64(*cols).alias("h")).orderBy("i").collect()]
+
+    grams = []
+    for d, text in enumerate(texts):
+        p = brute_pieces(text)
+        grams += [(d, g) for g in (zip(p, p[1:]) if len(p) >= k else [])]
+    gram_hash = [h >> 28 for h in hashes([g for _, g in grams], "a string, b string")]
+    seen, numbers, places = {}, [], []
+    for (d, _), h in zip(grams, gram_hash):
+        numbers.append(seen.get((d, h), 0))
+        seen[d, h] = numbers[-1] + 1
+    size = {}
+    for d, _ in grams:
+        places.append(size.get(d, 0))
+        size[d] = places[-1] + 1
+    numbered = hashes(list(zip(gram_hash, numbers)), "a long, n int")
+    held = {}
+    for (d, _), h, at in zip(grams, numbered, places):
+        held.setdefault((d, (h >> 58) + slots // 2), []).append((h >> 28, at))
+    tuples = [[h & (2**36 - 1) for h, _ in sorted(sorted(v)[:keep], key=lambda x: x[1])] for v in held.values()]
+    codes = hashes([(t,) for t in tuples], "v array<long>")
+    out = {d: set() for d in range(len(texts))}
+    for (d, slot), code in zip(held, codes):
+        out[d].add((slot << 32) | ((code & (2**64 - 1)) >> 32))
+    return out
+
+
+def test_signatures_by_brute_force(spark):
+    texts = [t for t in MIXED if len(brute_pieces(t)) >= 2] + [r.text for r in documents(spark).where("text is not null").orderBy("doc_id").limit(40).collect()]
+    texts = [t for t in texts if len(brute_pieces(t)) >= 2]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r.i: r.s for r in frame.select("i", fingerprints.signature(F.col("t")).alias("s")).collect()}
+    want = brute_signature(spark, texts)
+    assert {i: set(s) for i, s in got.items()} == want
+    a, b = want[0], want[1]
+    used = {x >> 32 for x in a | b}
+    near = frame.where("i < 2").agg(F.max_by("t", -F.col("i")).alias("a"), F.max_by("t", "i").alias("b"))
+    r = near.select(fingerprints.likeness(fingerprints.signature(F.col("a")), fingerprints.signature(F.col("b"))).alias("n")).first()
+    assert r.n == pytest.approx(len(a & b) / len(used))
+
+
 def brute_edit(rows):
     """(n, edited) by id; rows are distinct by id."""
     order = sorted(rows, key=lambda r: r[0])

@@ -1,11 +1,11 @@
 """Order MinHash fingerprints, in DataFrame operations alone.
 
-A text is cut into pieces: words, and longer words every ``piece`` characters. Its k-mers are
-``k`` pieces in a row, numbered by occurrence, so that the third time counts as something else
+A text is cut into pieces: words, and longer runs at places chosen by their characters, so that a
+character put in moves only the cuts around it. Its k-mers are ``k`` pieces in a row, numbered by occurrence, so that the third time counts as something else
 than the first. Hashing (k-mer, number) deals the k-mers into ``slots``; each slot keeps the
 ``keep`` smallest, puts them back into the order of the text and hashes that tuple. Two texts
 agree in a slot if they share its smallest k-mers *in the same order*, which falls with edit
-distance and not only with the share of common k-mers.
+distance and not only with the share of common k-mers. The upper 36 bits of a hash tell k-mers apart.
 
 The arrays stay inside one row's expression: nothing is exploded and a document needs no shuffle.
 A lambda over a one-element array binds a value, so that it is computed once.
@@ -26,10 +26,16 @@ from weftgraph.session import cut_lineage
 # 2**28 k-mers of one text have places of their own, which leaves 36 bits to tell hashes apart.
 _PLACE_BITS = 28
 
+_SPACE = r"\x20\x09-\x0D"
+# Long runs are cut after these: one in eight of the printable ASCII characters, and for other
+# scripts one in sixteen of the bytes that follow a first byte in UTF-8.
+_ASCII_ENDS = r"'/7?GOW_gow"
+_BYTE_ENDS = r"\x8B\x9B\xAB\xBB"
+
 
 @dataclass(frozen=True)
 class Shape:
-    """``slots`` is a power of two."""
+    """``slots`` is a power of two. Words of up to ``piece`` characters are one piece, and no piece is longer."""
 
     k: int = 2
     piece: int = 12
@@ -41,6 +47,33 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _pieces(text: Column, piece: int) -> Column:
+    """The pieces of a text in order.
+
+    ASCII stretches of a run longer than ``piece`` are cut by characters, the others by bytes of their
+    UTF-8 form. Where no place is chosen for ``piece`` characters, a piece ends there.
+    """
+    ascii_ = rf"[^{_SPACE}{_ASCII_ENDS}\x80-\x{{10FFFF}}]"
+    first = "|".join(
+        [
+            rf"[^{_SPACE}]{{1,{piece}}}+(?![^{_SPACE}])",
+            rf"{ascii_}{{0,{piece - 1}}}+[{_ASCII_ENDS}]",
+            rf"{ascii_}{{1,{piece}}}+",
+            r"[^\x00-\x7F]++",
+        ]
+    )
+    size = 3 * piece
+    second = rf"[^{_BYTE_ENDS}]{{0,{size - 1}}}+[{_BYTE_ENDS}]|[^{_BYTE_ENDS}]{{1,{size}}}+"
+    long_ = lambda p: F.length(p) > piece
+    by_bytes = lambda p: F.regexp_extract_all(F.decode(F.encode(p, "UTF-8"), "ISO-8859-1"), F.lit(second), F.lit(0))
+    return _let(
+        F.regexp_extract_all(text, F.lit(first), F.lit(0)),
+        lambda found: F.when(
+            F.exists(found, long_), F.flatten(F.transform(found, lambda p: F.when(long_(p), by_bytes(p)).otherwise(F.array(p))))
+        ).otherwise(found),
+    )
+
+
 def _kmers(pieces: Column, k: int) -> Column:
     """Hashes of k pieces in a row; fewer pieces are one k-mer, none are none."""
     n = F.size(pieces)
@@ -95,7 +128,7 @@ def _numbered(kmers: Column) -> Column:
 
 def signature(text: Column, shape: Shape = Shape()) -> Column:
     """The slots that hold a k-mer, each as slot * 2**32 + code; equal texts have equal arrays."""
-    pieces = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]{1,%d}" % shape.piece), F.lit(0))
+    pieces = _pieces(text, shape.piece)
     bits = 64 - (shape.slots.bit_length() - 1)
     slot = lambda x: F.shiftright(x, bits)
     width = 64 - _PLACE_BITS
