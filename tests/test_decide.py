@@ -5,7 +5,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from weftgraph.functions.ordered import last_before
 from weftgraph.operators import decide
 from weftgraph.session import local_rows
 
@@ -74,16 +73,36 @@ def test_batches_match_the_replay(spark, seed):
     assert decide.audit_rows(judged).count() == list(results.values()).count("OK")
 
 
-@pytest.mark.parametrize("chunk_rows", [1, 3, 1000])
-def test_last_before_does_not_depend_on_the_chunks(spark, chunk_rows):
-    rng = random.Random(5)
-    rows = [("g%d" % (i % 2), i, rng.choice([None, None, f"v{i}"])) for i in range(40)]
-    df = local_rows(spark, rows, "g string, i long, v string")
-    got = {r.i: r.last for r in last_before(df, ["g"], "i", "v", "last", chunk_rows).collect()}
-    seen = {}
-    for g, i, v in rows:
-        assert got[i] == seen.get(g)
-        seen[g] = v or seen.get(g)
+@pytest.mark.parametrize("chunk_rows", [1, 40, 100_000])
+def test_a_hot_proposal_with_sparse_numbers(spark, chunk_rows):
+    """Half of all decisions on a few proposals, numbered by microseconds; null ids; cut anywhere."""
+    rng = random.Random(chunk_rows)
+    proposals = [
+        (f"p{i}", rng.choice(["PENDING", "DEFERRED"]), "n", rng.choice(["FLAGGED", None, "ATTRIBUTE"]), None, None, None)
+        for i in range(24)
+    ]
+    drafted = {"p1", "p3", "p5", "p7"}
+    decisions = []
+    for i in range(26):
+        # Mostly deferrals and approvals that fail, so that proposals stay open for long.
+        calm = ["deferred"] * 30 + ["odd", None, "approved"] + (["rejected"] if i % 3 == 0 else [])
+        seqs = rng.sample(range(1_700_000_000_000_000, 1_800_000_000_000_000), 300 if i < 8 else 5)
+        decisions += [
+            (f"p{i}", seq, rng.choice(calm), "w", rng.choice([None, None, "m"]),
+             rng.choice(["flagged"] * 9 + [None] * 20 + ["edge_type"]), "me", seq)
+            for seq in seqs
+        ]
+    frames = (
+        local_rows(spark, proposals, PROPOSAL),
+        local_rows(spark, decisions + [(None, 1, "approved", None, None, None, None, 1), (None, None, "odd", None, None, None, None, 1)], DECISION),
+        local_rows(spark, [(p,) for p in drafted], "proposal_id string"),
+    )
+    results, _ = replay(proposals, decisions, drafted)
+    rows = decide.judge_decisions(*frames, chunk_rows=chunk_rows).collect()
+    assert {(r.proposal_id, r.decision_seq): r.result for r in rows if r.proposal_id} == results
+    assert len(rows) == len(decisions) + 2
+    assert sorted(r.result for r in rows if not r.proposal_id) == [decide.NOT_FOUND, decide.BAD_STATUS]
+    assert len(set(results.values())) == 6
 
 
 def test_recent_decisions_put_undecided_last(spark):
