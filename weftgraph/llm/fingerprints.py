@@ -66,12 +66,10 @@ def _pieces(text: Column, piece: int) -> Column:
     second = rf"[^{_BYTE_ENDS}]{{0,{size - 1}}}+[{_BYTE_ENDS}]|[^{_BYTE_ENDS}]{{1,{size}}}+"
     long_ = lambda p: F.length(p) > piece
     by_bytes = lambda p: F.regexp_extract_all(F.decode(F.encode(p, "UTF-8"), "ISO-8859-1"), F.lit(second), F.lit(0))
-    return _let(
-        F.regexp_extract_all(text, F.lit(first), F.lit(0)),
-        lambda found: F.when(
-            F.exists(found, long_), F.flatten(F.transform(found, lambda p: F.when(long_(p), by_bytes(p)).otherwise(F.array(p))))
-        ).otherwise(found),
-    )
+    found = F.regexp_extract_all(text, F.lit(first), F.lit(0))
+    cut = F.flatten(F.transform(found, lambda p: F.when(long_(p), by_bytes(p)).otherwise(F.array(p))))
+    # Only a stretch outside ASCII can be longer still; most texts hold none.
+    return F.when(text.rlike(rf"[^\x00-\x7F]{{{piece + 1}}}"), cut).otherwise(found)
 
 
 def _kmers(pieces: Column, k: int) -> Column:
