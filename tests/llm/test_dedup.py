@@ -117,6 +117,11 @@ def test_bytes(spark, make, split):
     assert got == brute_bytes(_rows(docs), 100)
 
 
+def test_contents_go_out_a_few_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CUT_BYTES", 300)
+    test_bytes(spark, awkward, 2)
+
+
 @pytest.mark.parametrize("make", [documents, awkward])
 def test_words(spark, make):
     docs = make(spark)

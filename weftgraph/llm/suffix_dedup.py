@@ -28,6 +28,7 @@ from weftgraph.llm.spans import keyed, list_parts, remove_spans, with_lists
 from weftgraph.session import cut_lineage
 
 SHARD_BYTES = 1 << 20
+CUT_BYTES = 1 << 22
 _FOUND = "doc_id long, h long, lo long, hi long, key long, wh long"
 
 
@@ -42,14 +43,25 @@ def _cut_out(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
             s0 = place["s0"].to_numpy(zero_copy_only=False)
             size = place["n"].to_numpy(zero_copy_only=False) + window - 1
             start = offsets[row] + s0
-            at = np.append(0, np.cumsum(size))
-            step = np.arange(int(at[-1])) - np.repeat(at[:-1], size)
-            content = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data[np.repeat(start, size) + step])])
-            rows = pa.array(row)
-            yield pa.RecordBatch.from_arrays(
-                [place["shard"], place["split"], B.column(batch, "doc_id").take(rows), B.column(batch, "h").take(rows), place["key"], place["s0"], place["n"], content],
-                names=["shard", "split", "doc_id", "h", "key", "s0", "n", "content"],
-            )
+            ends = np.cumsum(size)
+            # Contents overlap and add up to several times the text; a few megabytes go out at a time.
+            first = 0
+            while first < len(size):
+                done = ends[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(ends, done + CUT_BYTES, side="right")))
+                at = np.append(0, ends[first:last] - done)
+                step = np.arange(int(at[-1])) - np.repeat(at[:-1], size[first:last])
+                bytes_ = data[np.repeat(start[first:last], size[first:last]) + step]
+                content = pa.Array.from_buffers(pa.large_binary(), last - first, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(bytes_)])
+                rows, part = pa.array(row[first:last]), slice(first, last)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        place["shard"][part], place["split"][part], B.column(batch, "doc_id").take(rows), B.column(batch, "h").take(rows),
+                        place["key"][part], place["s0"][part], place["n"][part], content.cast(pa.binary()),
+                    ],
+                    names=["shard", "split", "doc_id", "h", "key", "s0", "n", "content"],
+                )
+                first = last
 
     joined = with_lists(docs.select("doc_id", "h", "text"), wanted, "cells").where(F.col("cells").isNotNull())
     return joined.mapInArrow(emit, "shard long, split boolean, doc_id long, h long, key long, s0 long, n int, content binary")
