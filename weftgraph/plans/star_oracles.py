@@ -864,6 +864,10 @@ SELECT c_custkey, c_name, CASE WHEN c_custkey % 2 = 0 THEN 'existing' ELSE 'new'
 FROM customer""",
     "scope_filter": "SELECT doc_id, source, lang FROM documents WHERE source LIKE 'src1%' AND lang <> 'fr'",
     "snapshot_diff": _SNAPSHOT_DIFF,
+    "stored_changes": """
+SELECT o_custkey, o_orderkey, CASE WHEN o_orderkey % 3 <> 2 THEN o_orderstatus END AS o_orderstatus,
+       CASE o_orderkey % 3 WHEN 0 THEN 'NEW_COLUMN' WHEN 1 THEN 'TYPE_CHANGED' ELSE 'DROPPED_COLUMN' END AS change_type
+FROM orders WHERE o_custkey % 40 = 0 AND (o_orderkey % 3 <> 1 OR o_orderstatus <> 'X')""",
     "new_groups": f"SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN ({_OLD_GROUPS})",
     "diff_demoted": _DIFF_DEMOTED,
     "fingerprint_refresh": f"""

@@ -17,6 +17,8 @@ from weftgraph.functions.keys import content_key
 from weftgraph.operators import classify, decide, detect, draft, graph, profile, references, review
 from weftgraph.plans.cycle import run_cycle
 from weftgraph.session import configure, cut_lineage, new_dir
+from weftgraph.sources import digests
+from weftgraph.sources.digests import Tree
 from weftgraph.sources.tables import (
     Tables,
     catalog_snapshot,
@@ -342,6 +344,19 @@ def snapshot_diff(t: Tables) -> DataFrame:
     )
 
 
+def stored_changes(t: Tables) -> DataFrame:
+    """Two stored versions of all orders, which differ for every fortieth customer; compared by digests."""
+    tree = Tree(("o_custkey", "o_orderkey"), ("o_orderstatus",), ("o_custkey",), branches=64, leaves=2)
+    base = new_dir(t.spark, "orders")
+    now = t["orders"].select("o_custkey", "o_orderkey", "o_orderstatus")
+    some, third = _remainder("o_custkey", 40) == 0, _remainder("o_orderkey", 3)
+    status = F.when(some & (third == 1), "X").otherwise(F.col("o_orderstatus")).alias("o_orderstatus")
+    was = now.where(~some | (third != 0)).select("o_custkey", "o_orderkey", status)
+    digests.write(was, base, tree)
+    digests.write(now.where(~some | (third != 2)), base, tree)
+    return digests.changes(t.spark, base, tree)
+
+
 def _early_orders(t: Tables) -> tuple[DataFrame, DataFrame]:
     rows = t["orders"].select(
         "o_custkey", "o_orderkey", "o_orderstatus", "o_orderdate"
@@ -1262,6 +1277,7 @@ QUERIES: dict[str, Query] = {
         scope_filter,
         scope_rules,
         snapshot_diff,
+        stored_changes,
         new_groups,
         diff_demoted,
         fingerprint_refresh,
