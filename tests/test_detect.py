@@ -65,6 +65,33 @@ def test_open_rules_meet_names_in_parts(spark):
     assert detect.in_scope(rows, rules).count() == wanted
 
 
+def test_rules_with_literals_inside_agree_with_the_filter(spark):
+    """Literals of one to many characters inside either pattern, repeated grams, escapes and rules twice."""
+    words = ["", "a", "ab", "aaa", "aaaa", "zebra", "a_b", "a%b", "abcabc", "xabcx", "größe", "𝒳y", "x.y", "\\z"]
+    rows = local_rows(spark, [(s, t, "c", "t") for s in words for t in words], SNAPSHOT)
+    patterns = ["%a%", "%aa%", "%aaa%", "%ebr%", "_ab%", "%a\\_b%", "%\\%%", "%bca_%", "_röß_", "%𝒳%", "%.%", "%\\\\z%", "%abc%x%", "%none%"]
+    for part in range(5):
+        some = patterns[part::5]
+        excluded = [("%", p) for p in some] + [(p, "%") for p in some[1:]] + [("%a%", "%b%")] * (part == 0) + [(some[0], "%ab%")] * 2
+        rules = [ScopeRule("INCLUDE", "%", "%"), *(ScopeRule("EXCLUDE", *e) for e in excluded)]
+        for given in (rules, [ScopeRule("INCLUDE", *e) for e in excluded]):
+            frame = local_rows(spark, [(r.filter_type, r.schema_pattern, r.table_pattern) for r in given], RULES)
+            listed = Counter(map(tuple, detect.in_scope(rows, given).collect()))
+            assert Counter(map(tuple, detect.in_scope(rows, frame).collect())) == listed, some
+
+
+def test_a_name_meets_only_rules_that_share_a_rare_gram(spark):
+    """20,000 names and 2,000 rules ``%x%``: few of the 40 million pairs are compared, and none is lost."""
+    names = spark.range(20_000).select(F.lit("s").alias("table_schema"), F.concat(F.lit("tab_"), F.md5(F.col("id").cast("string")), F.lit("_v1")).alias("table_name"))
+    rules = spark.range(2_000).select(F.lit("INCLUDE").alias("filter_type"), F.lit("%").alias("schema_pattern"),
+                                      F.concat(F.lit("%"), F.substring(F.md5(F.col("id").cast("string")), 9, 12), F.lit("%_v1%")).alias("table_pattern"))
+    columns = {"schema_pattern": "table_schema", "table_pattern": "table_name"}
+    keyed, wanted = detect._keyed_names_and_rules(names, rules, "INCLUDE", columns)
+    pairs = keyed.join(wanted, (F.col("_at") == F.col("_by")) & (F.col("_key") == F.col("_text"))).count()
+    assert 2_000 <= pairs < 20_000 * 2_000 / 100
+    assert detect.in_scope(names, rules).count() == 2_000
+
+
 def test_catalog_pattern(spark):
     rows = local_rows(spark, [("db1", "s", "T"), ("db2", "s", "T"), ("db2", "s", "U")],
                       "db string, table_schema string, table_name string")

@@ -90,59 +90,104 @@ def in_scope(
 
 
 # What a rule is looked up by: the first of these texts that is not empty. The literal start or
-# end of a pattern is one that every matching name has as well.
+# end of a pattern is one that every matching name has as well, and so is a gram of a literal inside.
 _LITERALS = (
     ("table_pattern", "start"),
     ("table_pattern", "end"),
     ("schema_pattern", "start"),
     ("schema_pattern", "end"),
+    ("table_pattern", "inside"),
+    ("schema_pattern", "inside"),
 )
+_GRAM = 3
 _OPEN_PARTS = 64
 
 
 def _names_matching(
     distinct: DataFrame, rules: DataFrame, kind: str, names: dict[str, str]
 ) -> DataFrame:
-    """Names matched by some rule of the kind, by an equality join and no broadcast.
+    """Names matched by some rule of the kind, by an equality join and no broadcast."""
+    keyed, wanted = _keyed_names_and_rules(distinct, rules, kind, names)
+    like = F.lit(True)
+    for pattern, name in names.items():
+        like = like & F.expr(f"`{name}` LIKE {pattern}")
+    same = (F.col("_at") == F.col("_by")) & (F.col("_key") == F.col("_text"))
+    hits = keyed.join(wanted, same & like, "left_semi")
+    return hits.select(*names.values()).distinct()
+
 
-    Each rule has one key: which literal it is looked up by, and that literal. Each name offers
-    the keys it could be found by, but only for literal lengths that occur among the rules, so it
-    has at most as many keys as there are such lengths. Rules without any literal (``%``,
-    ``%x%``) are copied to ``_OPEN_PARTS`` parts and the names dealt out over them.
+def _keyed_names_and_rules(
+    distinct: DataFrame, rules: DataFrame, kind: str, names: dict[str, str]
+) -> tuple[DataFrame, DataFrame]:
+    """Names with the keys (_at, _key) they can be found by, and rules with their one key (_by, _text).
+
+    A rule's key says which literal it is looked up by, and that literal; of a literal inside a
+    pattern (``%x%``) it is the gram of up to three characters with the fewest pairs of names and rules
+    holding it. Names offer only starts, ends and grams of lengths that occur among the rules. Rules
+    without any literal (``%``) are copied to ``_OPEN_PARTS`` parts and the names dealt out over them.
     """
-    wanted = rules.where(F.upper("filter_type") == kind)
-    like = F.lit(True)
+    wanted = rules.where(F.upper("filter_type") == kind).select(*names)
     for pattern, name in names.items():
         wanted = wanted.where(F.col(pattern).isNotNull())
         distinct = distinct.where(F.col(name).isNotNull())
-        like = like & F.expr(f"`{name}` LIKE {pattern}")
+    runs = lambda p: F.regexp_extract_all(p, F.lit(r"[^%_\\]+"), F.lit(0))
     literal = {
         "start": lambda p: F.regexp_extract(p, r"^[^%_\\]*", 0),
         "end": lambda p: F.regexp_extract(p, r"[^%_\\]*$", 0),
+        # Only its length counts, up to the size of a gram.
+        "inside": lambda p: F.left(F.array_max(F.transform(runs(p), lambda r: F.repeat(F.lit("x"), F.length(r)))), F.lit(_GRAM)),
     }
     by, text = F.lit(len(_LITERALS)), F.lit("")
     for number, (pattern, side) in reversed(list(enumerate(_LITERALS))):
-        own = literal[side](pattern)
+        own = F.coalesce(literal[side](F.col(pattern)), F.lit(""))
         by, text = F.when(own != "", number).otherwise(by), F.when(own != "", own).otherwise(text)
-    wanted = wanted.withColumn("_by", by).withColumn("_text", text)
-    part = F.explode(F.array(*(F.lit(str(i)) for i in range(_OPEN_PARTS))))
-    closed = wanted.where(F.col("_by") < len(_LITERALS))
-    spread = wanted.where(F.col("_by") == len(_LITERALS)).withColumn("_text", part)
-    wanted = closed.unionByName(spread)
-
+    wanted = wanted.distinct().withColumn("_by", by).withColumn("_text", text)
+    inside = [n for n, (_, side) in enumerate(_LITERALS) if side == "inside"]
     size = F.length("_text").cast("int").alias("_size")
+    closed = wanted.where(F.col("_by") < len(_LITERALS))
     lengths = closed.agg(F.collect_set(F.struct(F.col("_by").alias("_at"), size))).scalar()
     open_ = F.struct(F.lit(len(_LITERALS)).alias("_at"), F.lit(0).alias("_size"))
     keyed = distinct.select(*names.values(), F.inline(F.concat(lengths, F.array(open_))))
-    key = F.pmod(F.xxhash64(*names.values()), F.lit(_OPEN_PARTS)).cast("string")
+    keys = F.array(F.pmod(F.xxhash64(*names.values()), F.lit(_OPEN_PARTS)).cast("string"))
     for number, (pattern, side) in enumerate(_LITERALS):
         name, size = F.col(names[pattern]), F.col("_size")
-        cut = F.left(name, size) if side == "start" else F.right(name, size)
-        key = F.when(F.col("_at") == number, F.when(F.length(name) >= size, cut)).otherwise(key)
-    keyed = keyed.withColumn("_key", key)
-    same = (F.col("_at") == F.col("_by")) & (F.col("_key") == F.col("_text"))
-    hits = keyed.join(wanted, same & like, "left_semi")
-    return hits.select(*names.values()).distinct()
+        if side == "inside":
+            found = _grams(F.array(name), size)
+        else:
+            cut = F.left(name, size) if side == "start" else F.right(name, size)
+            found = F.when(F.length(name) >= size, F.array(cut))
+        keys = F.when(F.col("_at") == number, found).otherwise(keys)
+    keyed = keyed.select("*", F.explode(keys).alias("_key"))
+
+    # Each rule with a literal inside goes to the cheapest of its grams.
+    offered = wanted.where(F.col("_by").isin(inside)).select(*names, "_by", F.length("_text").alias("_size"))
+    literals = runs(F.col(_LITERALS[inside[-1]][0]))
+    for number in inside[:-1]:
+        literals = F.when(F.col("_by") == number, runs(F.col(_LITERALS[number][0]))).otherwise(literals)
+    offered = offered.select(*names, "_by", F.explode(_grams(literals, F.col("_size"))).alias("_text"))
+    in_names = keyed.where(F.col("_at").isin(inside)).groupBy(F.col("_at").alias("_by"), F.col("_key").alias("_text"))
+    in_rules = offered.groupBy("_by", "_text").agg(F.count(F.lit(1)).alias("_rules"))
+    costs = in_rules.join(in_names.agg(F.count(F.lit(1)).alias("_names")), ["_by", "_text"], "left")
+    cost = F.coalesce("_names", F.lit(0)) * F.col("_rules")
+    cheapest = (
+        offered.join(costs, ["_by", "_text"])
+        .groupBy(*names, "_by")
+        .agg(F.min_by("_text", F.struct(cost, "_text")).alias("_text"))
+    )
+    part = F.explode(F.array(*(F.lit(str(i)) for i in range(_OPEN_PARTS))))
+    outer = wanted.where(~F.col("_by").isin(*inside, len(_LITERALS)))
+    spread = wanted.where(F.col("_by") == len(_LITERALS)).withColumn("_text", part)
+    return keyed, outer.unionByName(cheapest).unionByName(spread)
+
+
+def _grams(texts: Column, size: Column) -> Column:
+    """The different substrings of ``size`` characters of the texts."""
+
+    def of(text: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1)))
+        return F.transform(starts, lambda at: F.substring(text, at, size))
+
+    return F.array_distinct(F.filter(F.flatten(F.transform(texts, of)), lambda g: F.length(g) == size))
 
 
 # ---------------------------------------------------------------- snapshots
