@@ -793,6 +793,14 @@ WITH rule AS (
 SELECT doc_id, source, lang FROM documents
 WHERE EXISTS (SELECT 1 FROM rule WHERE NOT excludes AND source LIKE sp AND lang LIKE tp)
   AND NOT EXISTS (SELECT 1 FROM rule WHERE excludes AND source LIKE sp AND lang LIKE tp)""",
+    "scope_inner_rules": """
+WITH rule AS (
+  SELECT s_suppkey % 4 = 0 AS excludes,
+    CASE WHEN s_suppkey % 5 = 0 THEN '%' || right(s_name, 1) || '%' WHEN s_suppkey % 9 = 1 THEN '%UIL%' ELSE '%' END AS sp,
+    CASE WHEN s_suppkey % 3 = 0 THEN '%' || s_suppkey || '_' ELSE '%0' || s_suppkey || '%' END AS tp FROM supplier)
+SELECT c_custkey, c_mktsegment, c_name FROM customer
+WHERE EXISTS (SELECT 1 FROM rule WHERE NOT excludes AND c_mktsegment LIKE sp AND c_name LIKE tp)
+  AND NOT EXISTS (SELECT 1 FROM rule WHERE excludes AND c_mktsegment LIKE sp AND c_name LIKE tp)""",
     "review_listing": f"""
 SELECT 'c' || o_custkey AS table_name, 'o' || o_orderkey AS column_name, {_KIND_OF_ORDER} AS rule_kind,
   CASE WHEN o_orderkey % 2 = 0 THEN 'NODE_TYPE' END AS ai_recommended_kind,
@@ -859,6 +867,9 @@ GROUP BY n_nationkey""",
     "kg_duplicate_keys": """
 SELECT 'LINE' AS node_type, l_linenumber || '_' || l_orderkey AS node_id, count(*) AS n
 FROM lineitem GROUP BY l_linenumber, l_orderkey HAVING count(*) > 1""",
+    "kept_orphans": """
+SELECT 'CUSTOMER' AS node_type, o_custkey::VARCHAR AS node_id, count(*) AS n FROM orders
+WHERE o_orderkey % 7 <> 0 AND (o_custkey % 10 = 3 OR o_custkey NOT IN (SELECT c_custkey FROM customer)) GROUP BY o_custkey""",
     "insert_missing": """
 SELECT c_custkey, c_name, CASE WHEN c_custkey % 2 = 0 THEN 'existing' ELSE 'new' END AS origin
 FROM customer""",

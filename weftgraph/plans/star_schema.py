@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftgraph.functions.keys import content_key
-from weftgraph.operators import classify, decide, detect, draft, graph, profile, references, review
+from weftgraph.operators import classify, decide, detect, draft, graph, kept, profile, references, review
 from weftgraph.plans.cycle import run_cycle
 from weftgraph.session import configure, cut_lineage, new_dir
 from weftgraph.sources import digests
@@ -298,6 +298,27 @@ def kg_duplicate_keys(t: Tables) -> DataFrame:
     return graph.duplicate_keys(nodes, ["node_type", "node_id"])
 
 
+def kept_orphans(t: Tables) -> DataFrame:
+    """Customers that orders name and no row holds, kept from the changes between two versions of both tables."""
+    base = new_dir(t.spark, "kept")
+    customers = Tree(("c_custkey",), (), (), 1, 16)
+    orders = Tree(("o_custkey", "o_orderkey"), (), (), 1, 16)
+    state = kept.presence_tree(1, 16)
+    kind = F.lit("CUSTOMER").alias("node_type")
+    nodes = lambda rows: rows.select(kind, F.col("c_custkey").cast("string").alias("node_id"), *rows.columns[1:])
+    ends = lambda rows: rows.select(kind, F.col("o_custkey").cast("string").alias("node_id"), *rows.columns[2:])
+    was = t["customer"].select("c_custkey"), t["orders"].select("o_custkey", "o_orderkey")
+    now = was[0].where(_remainder("c_custkey", 10) != 3), was[1].where(_remainder("o_orderkey", 7) != 0)
+    for customer, order in (was, now):
+        digests.write(customer, f"{base}/customer", customers)
+        digests.write(order, f"{base}/orders", orders)
+    kept.keep(nodes(was[0]), ends(was[1]), f"{base}/state", state)
+    gone = digests.signed_changes(t.spark, f"{base}/customer", customers)
+    cancelled = digests.signed_changes(t.spark, f"{base}/orders", orders)
+    kept.fold(nodes(gone), ends(cancelled), f"{base}/state", state)
+    return kept.orphans(digests.read(t.spark, f"{base}/state", state))
+
+
 def insert_missing(t: Tables) -> DataFrame:
     rows = t["customer"].select("c_custkey", "c_name")
     existing = rows.where(_remainder("c_custkey", 2) == 0).withColumn("origin", F.lit("existing"))
@@ -329,6 +350,19 @@ def scope_rules(t: Tables) -> DataFrame:
     return detect.in_scope(documents, rules, "source", "lang")
 
 
+def scope_inner_rules(t: Tables) -> DataFrame:
+    """Customers by name, under rules that know only a part of the name or of the segment, one per supplier."""
+    key = F.col("s_suppkey")
+    digits = key.cast("string")
+    inside = F.when(key % 3 == 0, F.concat(F.lit("%"), digits, F.lit("_")))
+    rules = t["supplier"].select(
+        F.when(key % 4 == 0, "EXCLUDE").otherwise("INCLUDE").alias("filter_type"),
+        F.when(key % 5 == 0, F.concat(F.lit("%"), F.right("s_name", F.lit(1)), F.lit("%"))).when(key % 9 == 1, "%UIL%").otherwise("%").alias("schema_pattern"),
+        inside.otherwise(F.concat(F.lit("%0"), digits, F.lit("%"))).alias("table_pattern"),
+    )
+    return detect.in_scope(t["customer"].select("c_custkey", "c_mktsegment", "c_name"), rules, "c_mktsegment", "c_name")
+
+
 def _order_snapshots(t: Tables) -> tuple[DataFrame, DataFrame]:
     """(current, previous): orders grouped by customer, with the status as the value."""
     rows = t["orders"].select("o_custkey", "o_orderkey", "o_orderstatus")
@@ -1273,9 +1307,11 @@ QUERIES: dict[str, Query] = {
         kg_orphans,
         kg_orphan_edges,
         kg_duplicate_keys,
+        kept_orphans,
         insert_missing,
         scope_filter,
         scope_rules,
+        scope_inner_rules,
         snapshot_diff,
         stored_changes,
         new_groups,

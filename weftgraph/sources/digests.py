@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,21 +61,15 @@ def write(df: DataFrame, base: str, tree: Tree) -> int:
     """
     spark = df.sparkSession
     rows = df.select(*(F.col(f"`{c}`") for c in (*tree.keys, *tree.values)))
-    fields = json.dumps([_described(tree), rows.schema.json()])
+    schema = rows.schema
     known = _leaves(spark, base, versions.latest_version(spark, base), tree)[0]
     rows = rows.withColumn(_LEAF, _leaf(tree))
     found = {r[0]: tuple(r[1:]) for r in _digests(rows, tree).collect()}
     kept = {leaf: known[leaf] for leaf, digest in found.items() if leaf in known and known[leaf][:-1] == digest}
     fresh = sorted(set(found) - set(kept))
     if fresh:
-        place = f"{base}/leaves/{_WRITE}={uuid.uuid4().hex}"
-        # Small leaves share a task and a large one is split, by the sizes met at run time.
-        rows.where(_one_of(fresh, tree)).hint("rebalance", _LEAF).write.partitionBy(_LEAF).parquet(place)
-        written = _digests(spark.read.parquet(place), tree).collect()
-        kept |= {r[0]: (*r[1:], f"{place}/{_LEAF}={r[0]}") for r in written}
-    table = [(leaf, *kept[leaf], None) for leaf in sorted(kept)]
-    whole = (_WHOLE, sum(k[0] for k in kept.values()), *[None] * len(_SUMS), None, fields)
-    return versions.write_version(local_rows(spark, [whole, *table], _TABLE).coalesce(1), base)
+        kept |= _write_leaves(rows.where(_one_of(fresh, tree)), base, tree)
+    return _publish(spark, base, tree, schema, kept)
 
 
 def read(spark: SparkSession, base: str, tree: Tree, version: int | None = None) -> DataFrame:
@@ -101,21 +95,43 @@ def changes(
     Version 0 is an empty snapshot. A changed leaf is missed where its count and 96 bits of
     hash sums are equal by chance.
     """
-    now = versions.latest_version(spark, base) if now is None else now
-    was = max(now - 1, 0) if was is None else was
-    current, schema = _leaves(spark, base, now, tree)
+    return detect.snapshot_diff(*_differing(spark, base, tree, now, was), tree.keys, tree.values, labels)
+
+
+def signed_changes(
+    spark: SparkSession, base: str, tree: Tree, now: int | None = None, was: int | None = None
+) -> DataFrame:
+    """The same as signed rows: keys, values and ``weight``, how many more of these rows the newer version
+    holds. Unlike :func:`changes` this tells repeated rows of one key, and the values that went."""
+    current, previous = _differing(spark, base, tree, now, was)
+    both = current.withColumn("weight", F.lit(1)).unionByName(previous.withColumn("weight", F.lit(-1)))
+    return both.groupBy(*tree.keys, *tree.values).agg(F.sum("weight").alias("weight")).where("weight <> 0")
+
+
+def patch(
+    deltas: DataFrame, base: str, tree: Tree, fold: Callable[[DataFrame, DataFrame], DataFrame]
+) -> int:
+    """Replace what is kept under the keys of ``deltas`` by ``fold(kept, deltas)``, as the next version.
+
+    Only leaves that hold such keys are read and written; ``fold`` is given all rows of these and has to
+    give back what stays of them. ``deltas`` holds the keys and whatever ``fold`` needs, and is read
+    more than once. Without deltas nothing happens and the version stays.
+    """
+    spark = deltas.sparkSession
+    number = versions.latest_version(spark, base)
+    leaves, schema = _leaves(spark, base, number, tree)
     if schema is None:
-        raise ValueError(f"{base} has no version {now}")
-    previous, old_schema = _leaves(spark, base, was, tree)
-    if was and old_schema is None:
-        raise ValueError(f"{base} has no version {was}")
-    # One folder under two versions has one digest; equal digests in two folders are equal rows.
-    equal = {leaf for leaf in current.keys() & previous.keys() if current[leaf][:-1] == previous[leaf][:-1]}
-    sides = [
-        _rows(spark, base, found, [leaves[leaf][-1] for leaf in sorted(leaves.keys() - equal)])
-        for leaves, found in ((current, schema), (previous, old_schema or schema))
-    ]
-    return detect.snapshot_diff(*sides, tree.keys, tree.values, labels)
+        raise ValueError(f"{base} has no version")
+    met = {r[0] for r in deltas.select(_leaf(tree)).distinct().collect()}
+    if not met:
+        return number
+    rows = fold(_rows(spark, base, schema, [leaves[n][-1] for n in sorted(met & leaves.keys())]), deltas)
+    rows = rows.select(*(F.col(f"`{f.name}`").cast(f.dataType) for f in schema.fields))
+    written = _write_leaves(rows.withColumn(_LEAF, _leaf(tree)), base, tree)
+    if written.keys() - met:
+        raise ValueError("fold gave back keys of leaves it was not given")
+    kept = {n: row for n, row in leaves.items() if n not in met} | written
+    return _publish(spark, base, tree, schema, kept)
 
 
 def refresh(current: DataFrame, base: str, tree: Tree, scope: Column) -> int:
@@ -125,6 +141,41 @@ def refresh(current: DataFrame, base: str, tree: Tree, scope: Column) -> int:
     return write(detect.refreshed(read(spark, base, tree), current, scope), base, tree)
 
 
+def _write_leaves(rows: DataFrame, base: str, tree: Tree) -> dict[int, tuple]:
+    """Leaves as written: (n, sums, folder) of each."""
+    place = f"{base}/leaves/{_WRITE}={uuid.uuid4().hex}"
+    # Small leaves share a task and a large one is split, by the sizes met at run time.
+    rows.hint("rebalance", _LEAF).write.partitionBy(_LEAF).parquet(place)
+    stored = rows.sparkSession.read.schema(rows.schema).parquet(place)
+    return {r[0]: (*r[1:], f"{place}/{_LEAF}={r[0]}") for r in _digests(stored, tree).collect()}
+
+
+def _publish(spark: SparkSession, base: str, tree: Tree, schema: T.StructType, kept: dict[int, tuple]) -> int:
+    fields = json.dumps([_described(tree), schema.json()])
+    table = [(leaf, *kept[leaf], None) for leaf in sorted(kept)]
+    whole = (_WHOLE, sum(k[0] for k in kept.values()), *[None] * len(_SUMS), None, fields)
+    return versions.write_version(local_rows(spark, [whole, *table], _TABLE).coalesce(1), base)
+
+
+def _differing(
+    spark: SparkSession, base: str, tree: Tree, now: int | None, was: int | None
+) -> tuple[DataFrame, DataFrame]:
+    """(current, previous): the rows of the leaves that differ."""
+    now = versions.latest_version(spark, base) if now is None else now
+    was = max(now - 1, 0) if was is None else was
+    current, schema = _leaves(spark, base, now, tree)
+    previous, old_schema = _leaves(spark, base, was, tree)
+    for version, found in ((now, schema), (was, old_schema or was == 0)):
+        if not found:
+            raise ValueError(f"{base} has no version {version}")
+    # One folder under two versions has one digest; equal digests in two folders are equal rows.
+    equal = {leaf for leaf in current.keys() & previous.keys() if current[leaf][:-1] == previous[leaf][:-1]}
+    return tuple(
+        _rows(spark, base, found, [leaves[leaf][-1] for leaf in sorted(leaves.keys() - equal)])
+        for leaves, found in ((current, schema), (previous, old_schema or schema))
+    )
+
+
 def _described(tree: Tree) -> list:
     return [list(tree.keys), list(tree.values), list(tree.group), tree.branches, tree.leaves]
 
