@@ -135,3 +135,23 @@ def test_sketches_over_many_values(spark):
     many = {"all": spark.range(60_000).toDF("v"), "some": spark.range(0, 60_000, 7).toDF("v"), "more": spark.range(0, 60_600, 3).toDF("v")}
     pairs = [profile.KeyPair(c, "v", "all", "v") for c in ("some", "more")]
     assert references.undisproved(many, pairs) == pairs[:1]
+
+
+def test_only_what_sketches_leave_open_is_grouped(spark):
+    """A column that no other can hold is not in the index, nor a tuple that its key lacks; tuples are read once."""
+    ids = spark.range(9000)
+    tables = {
+        "all": ids.selectExpr("id AS p", "id % 90 AS q", "id + 1000000 AS lonely"),
+        "some": ids.where("id % 3 = 0").selectExpr("id AS p", "id % 90 AS q", "cast((id * 7) % 9000 AS int) AS r"),
+    }
+    found = references.discover_inclusions(tables)
+    assert {tuple(r) for r in found.collect()} == _want(tables)
+    assert "lonely" not in found._jdf.queryExecution().optimizedPlan().toString()
+    asked = [("all", ("p", "q"), "some", ("p", "q")), ("some", ("q", "p"), "all", ("q", "p")), ("all", ("p", "q"), "some", ("r", "q"))]
+    classes = {(t, c): kind for t, c, kind in references.compared_columns(tables)}
+    sides, pairs = references._sides(asked, classes)
+    assert len(sides) == 3 and pairs[:2] == [(0, 1), (1, 0)]
+    assert references._undisproved_tuples(tables, asked, classes) == asked[:1]
+    assert references._included(tables, asked, classes) == asked[:1]
+    keys = [("all", ("p", "q")), ("some", ("q", "p"))]
+    assert references.discover_composites(tables, found, keys) == [references.CompositeReference("some", ("p", "q"), "all", ("p", "q"))]

@@ -69,15 +69,23 @@ def _digest(column: str, kind: str) -> tuple[Column, Column]:
     return F.xxhash64(value), F.xxhash64(F.lit(1), value)
 
 
-def _index(rows: DataFrame, slot: str, words: int) -> DataFrame:
-    """Per set of members and slot, how many values exactly these members hold.
+def _index(rows: DataFrame, slots: Sequence[str], words: int) -> DataFrame:
+    """Per set of members (and slots), how many values exactly these members hold.
 
-    ``rows`` are (slot, a, b, w0, w1, ...), the words saying which members a row's value belongs to.
+    ``rows`` are (slots, a, b, w0, w1, ...), the words saying which members a row's value belongs to.
     Equal values are combined in each task first, so a value that fills a table is a row per task.
     """
     held = [f"w{i}" for i in range(words)]
-    by_value = rows.groupBy(slot, "a", "b").agg(*(F.bit_or(w).alias(w) for w in held))
-    return by_value.groupBy(slot, *held).agg(F.count(F.lit(1)).alias("n"))
+    by_value = rows.groupBy(*slots, "a", "b").agg(*(F.bit_or(w).alias(w) for w in held))
+    return by_value.groupBy(*slots, *held).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _whole_values(numbers: DataFrame, kind: int, words: int) -> DataFrame:
+    """Rows for :func:`_index` of columns of whole numbers, named by their member: one row per value."""
+    values = numbers.unpivot([], numbers.columns, "member", "a").where("a IS NOT NULL").withColumn("member", F.col("member").cast("int"))
+    bit = F.expr(f"shiftleft(1L, member % {_BITS})")
+    held = [F.when(F.floor(F.col("member") / F.lit(_BITS)) == i, bit).otherwise(F.lit(0).cast("long")).alias(f"w{i}") for i in range(words)]
+    return values.select(F.lit(kind).alias("kind"), "a", F.lit(0).cast("long").alias("b"), *held)
 
 
 def _words(member: int, words: int) -> list[Column]:
@@ -95,6 +103,12 @@ def _members(count: int, words: int) -> Column:
     return F.explode(F.filter(F.sequence(F.lit(0), F.lit(count - 1)), lambda m: _has(m, words)))
 
 
+def _common(sets: DataFrame, count: int, words: int) -> DataFrame:
+    """Per member ``child`` its number of values and, as words, the members that hold all of them."""
+    held = [F.bit_and(f"w{i}").alias(f"w{i}") for i in range(words)]
+    return sets.withColumn("child", _members(count, words)).groupBy("child").agg(F.sum("n").alias("n_distinct"), *held)
+
+
 def discover_inclusions(tables: Mapping[str, DataFrame]) -> DataFrame:
     """All pairs of columns of which one holds every value of the other.
 
@@ -102,28 +116,37 @@ def discover_inclusions(tables: Mapping[str, DataFrame]) -> DataFrame:
     column without any is in no pair; a column is not paired with itself. Tables without any column
     that can be compared are refused.
 
-    One inverted index from value to the set of columns that hold it, built in one shuffle over all
-    tables; a column's parents are the intersection of its values' sets.
+    Pairs that set sketches disprove (:func:`undisproved`) are gone first, and with them the columns that are in
+    no other. The rest are settled by one inverted index from value to the set of columns that hold it, built in
+    one shuffle over all tables; a column's parents are the intersection of its values' sets.
     """
-    columns = compared_columns(tables)
-    if not columns:
+    compared = compared_columns(tables)
+    if not compared:
         raise ValueError("no column whose values can be compared")
+    spark = next(iter(tables.values())).sparkSession
+    left = undisproved(tables, pairs_of_class(tables, [(t, c) for t, c, _ in compared]))
+    if not left:
+        return local_rows(spark, [], "child string, child_col string, parent string, parent_col string, n_distinct long")
+    open_ = {end for p in left for end in ((p.child, p.child_col), (p.parent, p.parent_col))}
+    columns = [(t, c, kind) for t, c, kind in compared if (t, c) in open_]
     words = -(-len(columns) // _BITS)
     kinds = {kind: i for i, kind in enumerate(sorted({kind for _, _, kind in columns}))}
     emitted = []
     for table in sorted({t for t, _, _ in columns}):
-        entries = []
+        entries, whole = [], []
         for number, (t, column, kind) in enumerate(columns):
-            if t == table:
+            if t == table and kind == _WHOLE:
+                whole.append(F.col(f"`{column}`").cast(kind).alias(str(number)))
+            elif t == table:
                 a, b = _digest(column, kind)
                 entry = F.struct(F.lit(kinds[kind]).alias("kind"), a.alias("a"), b.alias("b"), *_words(number, words))
                 entries.append(F.when(F.col(f"`{column}`").isNotNull(), entry))
-        emitted.append(tables[table].select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*"))
-    sets = _index(union_all(emitted), "kind", words)
-    held = [F.bit_and(f"w{i}").alias(f"w{i}") for i in range(words)]
-    children = sets.withColumn("child", _members(len(columns), words)).groupBy("child").agg(F.sum("n").alias("n_distinct"), *held)
+        if whole:
+            emitted.append(_whole_values(tables[table].select(*whole), kinds[_WHOLE], words))
+        if entries:
+            emitted.append(tables[table].select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*"))
+    children = _common(_index(union_all(emitted), ["kind"], words), len(columns), words)
     pairs = children.select("child", "n_distinct", _members(len(columns), words).alias("parent")).where("child <> parent")
-    spark = next(iter(tables.values())).sparkSession
     names = local_rows(spark, [(i, t, c) for i, (t, c, _) in enumerate(columns)], "no int, table string, col string")
     for end in ("child", "parent"):
         side = names.select(F.col("no").alias(end), F.col("table").alias(f"_{end}"), F.col("col").alias(f"{end}_col"))
@@ -138,7 +161,7 @@ def discover_composites(
 
     A tuple of n columns of one table can only be included in the first n columns of a key if each
     column is included in its own (``inclusions``, collected) and the shorter tuple was found to be. Every
-    level tests all tuples left, of all tables, in one shuffle. A tuple with a null part is no value; a
+    level drops the tuples that set sketches disprove, and tests all others, of all tables, in one shuffle. A tuple with a null part is no value; a
     tuple without values refers to nothing; columns of a tuple are different, and a key does not refer to itself.
     """
     classes = {(t, c): kind for t, c, kind in compared_columns(tables)}
@@ -159,39 +182,59 @@ def discover_composites(
             ]
         if level > 1:
             grown = [g for g in grown if g[0] != g[2] or g[3] != g[1][:level]]
+            grown = _undisproved_tuples(tables, grown, classes)
             grown = _included(tables, grown, classes) if grown else []
         found += [CompositeReference(child, cols, parent, key) for parent, key, child, cols in grown if len(key) == level > 1]
         open_ = [g for g in grown if len(g[1]) > level]
     return found
 
 
+def _tuple(cols: Sequence[str], kinds: Sequence[str]) -> tuple[Column, list[Column]]:
+    """Whether a tuple has no null part, and what its digests are made of."""
+    complete = F.lit(True)
+    for c in cols:
+        complete &= F.col(f"`{c}`").isNotNull()
+    return complete, [x for c, kind in zip(cols, kinds) for x in _digest(c, kind)]
+
+
+def _sides(tuples: list[tuple], classes: Mapping[tuple[str, str], str]) -> tuple[dict[tuple, int], list[tuple[int, int]]]:
+    """The different (table, columns, classes) of the (parent, key, child, columns), numbered, and the numbers of
+    each one's (child, parent). Columns are put in the order of the key's names on both sides, which changes no
+    verdict, so that a tuple is one side however many keys ask for it."""
+    sides: dict[tuple, int] = {}
+    asked = []
+    for parent, key, child, cols in tuples:
+        order = sorted(range(len(cols)), key=lambda i: key[i])
+        kinds = tuple(classes[parent, key[i]] for i in order)
+        ends = (child, tuple(cols[i] for i in order), kinds), (parent, tuple(key[i] for i in order), kinds)
+        asked.append(tuple(sides.setdefault(end, len(sides)) for end in ends))
+    return sides, asked
+
+
+def _undisproved_tuples(tables: Mapping[str, DataFrame], tuples: list[tuple], classes: Mapping[tuple[str, str], str]) -> list[tuple]:
+    """Those of the (parent, key, child, columns) that set sketches do not disprove; no true inclusion is lost."""
+    sides, asked = _sides(tuples, classes)
+    hashes = []
+    for table, cols, kinds in sides:
+        complete, parts = _tuple(cols, kinds)
+        hashes.append((table, F.when(complete, F.xxhash64(*parts))))
+    kept = _not_lacking(tables, hashes, asked)
+    return [t for i, t in enumerate(tuples) if i in kept]
+
+
 def _included(tables: Mapping[str, DataFrame], tuples: list[tuple], classes: Mapping[tuple[str, str], str]) -> list[tuple]:
     """Those of the (parent, key, child, columns) whose values all occur in as many columns of the key."""
-    level = len(tuples[0][3])
-    slots: dict[tuple, list[int]] = {}
-    for i, (parent, key, _, _) in enumerate(tuples):
-        slots.setdefault((parent, key), []).append(i)
-    words = -(-(1 + max(map(len, slots.values()))) // _BITS)
+    sides, asked = _sides(tuples, classes)
+    words = -(-len(sides) // _BITS)
     by_table: dict[str, list[Column]] = {}
-    asked = []
-    for slot, ((parent, key), members) in enumerate(slots.items()):
-        sides = [(0, parent, key[:level]), *((m, tuples[i][2], tuples[i][3]) for m, i in enumerate(members, 1))]
-        kinds = [classes[parent, c] for c in key[:level]]
-        for member, table, cols in sides:
-            parts = [x for c, kind in zip(cols, kinds) for x in _digest(c, kind)]
-            complete = F.lit(True)
-            for c in cols:
-                complete &= F.col(f"`{c}`").isNotNull()
-            digest = [F.xxhash64(F.lit(n), *parts).alias(name) for n, name in enumerate("ab")]
-            by_table.setdefault(table, []).append(F.when(complete, F.struct(F.lit(slot).alias("slot"), *digest, *_words(member, words))))
-        asked += [(slot, m, i) for m, i in enumerate(members, 1)]
+    for (table, cols, kinds), number in sides.items():
+        complete, parts = _tuple(cols, kinds)
+        digest = [F.xxhash64(F.lit(n), *parts).alias(name) for n, name in enumerate("ab")]
+        by_table.setdefault(table, []).append(F.when(complete, F.struct(*digest, *_words(number, words))))
     emitted = [tables[t].select(F.explode(F.array_compact(F.array(*e))).alias("e")).select("e.*") for t, e in by_table.items()]
-    sets = _index(union_all(emitted), "slot", words)
-    most = 1 + max(map(len, slots.values()))
-    verdict = sets.withColumn("whole", _has(F.lit(0), words)).withColumn("member", _members(most, words)).where("member > 0")
-    rows = verdict.groupBy("slot", "member").agg(F.bool_and("whole").alias("whole")).where("whole").collect()
-    good = {(r.slot, r.member) for r in rows}
-    return [tuples[i] for slot, m, i in asked if (slot, m) in good]
+    rows = _common(_index(union_all(emitted), [], words), len(sides), words).collect()
+    held = {r.child: [r[f"w{i}"] for i in range(words)] for r in rows}
+    return [t for t, (child, parent) in zip(tuples, asked) if child in held and held[child][parent // _BITS] >> parent % _BITS & 1]
 
 
 def reference_rows(spark, references: Iterable[CompositeReference], schema: str) -> DataFrame:
@@ -264,23 +307,27 @@ def undisproved(tables: Mapping[str, DataFrame], pairs: Sequence[KeyPair]) -> li
         return []
     wanted = sorted({end for p in comparable for end in ((p.child, p.child_col), (p.parent, p.parent_col))})
     number = {end: i for i, end in enumerate(wanted)}
+    hashes = [(t, F.when(F.col(f"`{c}`").isNotNull(), _hashed(c, classes[t, c]))) for t, c in wanted]
+    kept = _not_lacking(tables, hashes, [(number[p.child, p.child_col], number[p.parent, p.parent_col]) for p in comparable])
+    return [p for i, p in enumerate(comparable) if i in kept]
+
+
+def _not_lacking(tables: Mapping[str, DataFrame], hashes: Sequence[tuple[str, Column]], pairs: Sequence[tuple[int, int]]) -> set[int]:
+    """The places of the (child, parent) pairs of ``hashes`` whose sketches show no hash that the parent lacks.
+
+    ``hashes`` are (table, hash of a row's value, null for none). One pass over each table.
+    """
+    if not pairs:
+        return set()
     parts = []
-    for table in sorted({t for t, _ in wanted}):
-        own = [
-            F.struct(F.lit(number[t, c]).alias("no"), F.theta_sketch_agg(F.when(F.col(f"`{c}`").isNotNull(), _hashed(c, classes[t, c]))).alias("sketch"))
-            for t, c in wanted
-            if t == table
-        ]
+    for table in sorted({t for t, _ in hashes}):
+        own = [F.struct(F.lit(i).alias("no"), F.theta_sketch_agg(h).alias("sketch")) for i, (t, h) in enumerate(hashes) if t == table]
         parts.append(_stacked(tables[table], own))
     sketches = union_all(parts)
-    spark = sketches.sparkSession
-    asked = local_rows(
-        spark, [(i, number[p.child, p.child_col], number[p.parent, p.parent_col]) for i, p in enumerate(comparable)], "pair int, child int, parent int"
-    )
+    asked = local_rows(sketches.sparkSession, [(i, *pair) for i, pair in enumerate(pairs)], "pair int, child int, parent int")
     both = asked.join(sketches.toDF("child", "mine"), "child").join(sketches.toDF("parent", "theirs"), "parent")
     lacking = F.theta_sketch_estimate(F.theta_difference("mine", "theirs"))
-    kept = {r["pair"] for r in both.where(lacking == 0).select("pair").collect()}
-    return [p for i, p in enumerate(comparable) if i in kept]
+    return {r["pair"] for r in both.where(lacking == 0).select("pair").collect()}
 
 
 def _hashed(column: str, kind: str) -> Column:

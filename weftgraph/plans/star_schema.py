@@ -30,6 +30,10 @@ from weftgraph.streaming.first_seen import track_first_seen
 
 Query = Callable[[Tables], DataFrame]
 
+# Partitions that the shuffles of the largest sorts begin with; Spark joins them again by size. Up to 200 (its
+# bypassMergeThreshold) rows go to their partitions' files as they come, and the writing task holds none.
+FIRST_PARTITIONS = 200
+
 SCHEMA = "src"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -557,6 +561,8 @@ def _with_pairs(t: Tables) -> dict[str, DataFrame]:
 
 
 def _composites(t: Tables) -> list[references.CompositeReference]:
+    # Every value of every column still in question is grouped.
+    configure(t.spark, FIRST_PARTITIONS)
     tables = _with_pairs(t)
     singles = references.discover_inclusions(tables)
     keys = [*_MORE_KEYS, *(k for k in _DERIVED_KEYS if k[0] in tables)]

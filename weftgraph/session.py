@@ -21,11 +21,22 @@ _SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+_FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the SQL settings the operators expect to a running session."""
+
+def configure(spark: SparkSession, first_partitions: int | None = None) -> SparkSession:
+    """Apply the SQL settings the operators expect to a running session.
+
+    With ``first_partitions`` a shuffle begins with at least so many partitions, which Spark joins again up to
+    its advisory size: what a task holds then follows that size and not the input's, whatever
+    ``spark.sql.shuffle.partitions`` says. Without it a number set by an earlier call is taken back.
+    """
     for key, value in _SETTINGS.items():
         spark.conf.set(key, value)
+    if first_partitions is None:
+        spark.conf.unset(_FIRST_PARTITIONS)
+    else:
+        spark.conf.set(_FIRST_PARTITIONS, max(first_partitions, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     return spark
 
 
