@@ -108,3 +108,23 @@ def test_queue_order_and_deferred(spark):
     late = proposals.withColumn("status", F.when(F.col("final_name") == "n1", "DEFERRED").otherwise(F.col("status")))
     assert review.pending_queue(late).count() == 2
     assert review.pending_queue(late, include_deferred=True).count() == 3
+
+
+def test_a_worker_keeps_no_batches_that_are_done(spark):
+    """40 batches of 10 MB through one worker: its memory stays that of a few."""
+
+    def resident(prompts):
+        with open("/proc/self/status") as status:
+            mb = next(int(line.split()[1]) >> 10 for line in status if line.startswith("VmRSS"))
+        return [str(mb)] * len(prompts)
+
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "100")
+    try:
+        prompts = spark.range(0, 4000, 1, 1).selectExpr("id", "repeat(cast(id % 10 AS string), 100000) AS prompt")
+        rows = review.score_prompts(prompts, resident, "id").collect()
+    finally:
+        spark.conf.set(size, before)
+    mb = {r.id: int(r.response) for r in rows}
+    assert len(mb) == 4000 and mb[3999] - mb[0] < 120

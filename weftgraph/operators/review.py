@@ -7,6 +7,7 @@ evidence and is made of column expressions only (:func:`evidence_responses`).
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -36,6 +37,9 @@ RESPONSE_SCHEMA = (
     "rationale string, industry_note string"
 )
 
+# Characters of prompts and answers that a worker lets pass before it frees those that are done.
+_HELD_CHARS = 1 << 23
+
 _REVIEW = {
     "ai_agrees_with_rule": "boolean",
     "ai_recommended_kind": "string",
@@ -119,12 +123,21 @@ def score_prompts(
 
     The scorer is the caller's; it gets the prompts of one Arrow batch and returns as many
     JSON texts; another number of them fails the task. This is the only place where rows pass through Python.
+
+    Batches that are done stay in reference cycles, which Python alone looks for too rarely, as they are few but
+    large objects. They are freed whenever ``_HELD_CHARS`` have passed, so that a worker's memory does not grow
+    with its partition.
     """
     id_type = dict(prompts.dtypes)[id_col]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = 0
         for batch in batches:
+            if held > _HELD_CHARS:
+                gc.collect()
+                held = 0
             answers = list(scorer(batch["prompt"]))
+            held += sum(len(text) for text in (*batch["prompt"], *answers) if isinstance(text, str))
             if len(answers) != len(batch):
                 raise ValueError(f"the scorer gave {len(answers)} answers to {len(batch)} prompts")
             yield pd.DataFrame({id_col: batch[id_col], "response": answers})
