@@ -915,6 +915,8 @@ def pending_queue(t: Tables) -> DataFrame:
 def _decision_inputs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(proposals, decisions, artifacts): three decisions on every order, made so that all
     checks fire, and some on orders that do not exist."""
+    # Whole decisions are sorted and joined by proposal, so that what a task holds follows its partition.
+    configure(t.spark, FIRST_PARTITIONS)
     orders = t["orders"].select("o_orderkey", "o_orderdate", "o_orderstatus")
 
     def pick(values: list[str | None], number: Column) -> Column:
